@@ -1,0 +1,54 @@
+"""Per-page helper for the one page form that needs element ids: collapse panels."""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _Panels(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.stack: list[tuple[str, str]] = []
+        self.titles: list[list] = []
+        self.links: dict[str, list[str]] = {}
+        self.open_title: list | None = None
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        href = (a.get("href") or "").strip()
+        if tag == "a":
+            self.open_title = None
+            if href.startswith("#collapse-"):
+                self.open_title = [href[1:], ""]
+                self.titles.append(self.open_title)
+            elif ".pdf" in href.lower():
+                for _, ident in self.stack:
+                    if ident:
+                        self.links.setdefault(ident, []).append(href)
+        if tag not in VOID:
+            self.stack.append((tag, a.get("id") or ""))
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.open_title = None
+        if any(t == tag for t, _ in self.stack):
+            while self.stack and self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if self.open_title is not None:
+            self.open_title[1] += data
+
+
+def panel_links(html: str) -> list[tuple[str, str]]:
+    """(panel title, file link) pairs of one page."""
+    parser = _Panels()
+    parser.feed(html)
+    pairs = []
+    for ident, title in parser.titles:
+        text = " ".join(title.split())
+        if text:
+            pairs += [(text, href) for href in dict.fromkeys(parser.links.get(ident, []))]
+    return pairs
