@@ -145,8 +145,57 @@ DERIVED: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+def _chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks of all documents with the metadata and embeddings the index holds."""
+    from pyspark.sql import functions as F
+
+    from ..operators.chunks import chunk_documents
+
+    c = chunk_documents(derive(spark, folder, "documents"))
+    vectors = derive(spark, folder, "embeddings")
+    n = vectors.agg(F.max("vec_id") + 1).scalar()
+    k = F.col("doc_id")
+    c = c.withColumn("vec_id", (k * 7 + F.col("chunk_index")) % n)
+    c = c.join(vectors.select("vec_id", "embedding"), "vec_id")
+    return c.select(
+        (k * 100000 + F.col("chunk_index")).alias("id"),
+        F.concat(F.lit("f"), k).alias("file_id"),
+        "content",
+        F.struct(
+            F.when(k % 3 == 0, F.concat(F.lit("f"), k)).alias("file_id"),
+            F.when(k % 2 == 0, (k % 50).cast("string")).alias("edital_id"),
+            F.when(k % 23 != 0, F.col("chunk_index")).alias("chunk_index"),
+        ).alias("metadata"),
+        F.when(k % 17 != 0, F.col("embedding")).alias("embedding"),
+        F.when(k % 5 != 0, F.col("embedding")).alias("embedding_perguntas"),
+        F.timestamp_add("day", (k % 30).cast("int"), F.lit("1998-07-01").cast("timestamp")).alias("criado_em"),
+        k.alias("doc_id"),
+        "chunk_index",
+    )
+
+
+_WS = r"[\s\x0B\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+_CLEAN = f"trim(regexp_replace(replace(regexp_replace({{0}}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', ' ', 'g'), chr(92), ' '), '{_WS.replace('{', '{{').replace('}', '}}')}+', ' ', 'g'))"
+CHUNKS_DUCK = f"""
+SELECT doc_id * 100000 + chunk_index AS id, 'f'||CAST(doc_id AS VARCHAR) AS file_id, content, CASE WHEN doc_id % 3 = 0 THEN 'f'||CAST(doc_id AS VARCHAR) END AS m_file_id,
+ CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 50 AS VARCHAR) END AS m_edital_id, CASE WHEN doc_id % 23 <> 0 THEN chunk_index END AS m_index,
+ CASE WHEN doc_id % 17 <> 0 THEN embedding END AS embedding, CASE WHEN doc_id % 5 <> 0 THEN embedding END AS embedding_perguntas,
+ TIMESTAMP '1998-07-01' + to_days(CAST(doc_id % 30 AS INT)) AS criado_em, doc_id, chunk_index
+FROM (SELECT doc_id, content, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS chunk_index FROM
+  (SELECT doc_id, i, {_CLEAN.format("substring(t, CAST(i*600+1 AS BIGINT), 800)")} AS content FROM
+    (SELECT doc_id, t, unnest(generate_series(0, greatest(CAST(ceil((length(t)-800)/600.0) AS BIGINT), 0))) AS i FROM
+      (SELECT doc_id, trim(regexp_replace(text, '{_WS}+', ' ', 'g')) AS t FROM documents) a WHERE t <> '') b) c WHERE content <> '') d
+JOIN embeddings e ON e.vec_id = (doc_id * 7 + chunk_index) % (SELECT max(vec_id) + 1 FROM embeddings)
+"""
+
+#: Frames whose DuckDB SQL differs from the Spark plan: (builder, DuckDB SQL, inputs).
+BUILT = {"chunks": (_chunks, CHUNKS_DUCK, ("documents", "embeddings"))}
+
+
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived frame (or a given table) as a DataFrame."""
+    if name in BUILT:
+        return BUILT[name][0](spark, folder)
     if name not in DERIVED:
         return table(spark, folder, name)
     sql, inputs = DERIVED[name]
@@ -168,11 +217,12 @@ def ctes(*names: str) -> str:
     order: list[str] = []
 
     def add(n: str) -> None:
-        if n in DERIVED and n not in order:
-            for dep in DERIVED[n][1]:
-                add(dep)
-            order.append(n)
+        if n in order or (n not in DERIVED and n not in BUILT):
+            return
+        for dep in BUILT[n][2] if n in BUILT else DERIVED[n][1]:
+            add(dep)
+        order.append(n)
 
     for n in names:
         add(n)
-    return ",\n".join(f"{n} AS ({DERIVED[n][0]})" for n in order)
+    return ",\n".join(f"{n} AS ({BUILT[n][1] if n in BUILT else DERIVED[n][0]})" for n in order)
