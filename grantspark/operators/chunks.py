@@ -112,7 +112,7 @@ def parse_json_block(raw: Column | str) -> Column:
 def parse_enrichment(responses: DataFrame, raw: str = "raw") -> DataFrame:
     """Question types (20), known related fields (9) and sample questions (12) of each answer."""
     parsed = compute(responses, e=F.from_json(parse_json_block(raw), ENRICHMENT_SCHEMA, {"mode": "PERMISSIVE"}),
-                     ok=F.coalesce(F.is_variant_null(F.try_parse_json(parse_json_block(raw))) == F.lit(False), F.lit(False)))
+                     ok=F.try_parse_json(parse_json_block(raw)).isNotNull())
     empty = F.array().cast("array<string>")
     names = F.array(*[F.lit(x) for x in FIELDS])
     return parsed.select(
