@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -110,13 +112,10 @@ def cosine_scores(rows: DataFrame, queries: dict[str, Sequence[float]], full: bo
     The question vector is preferred unless ``full``; -1 where a norm is zero. The few query vectors
     are parameters of the job; one Arrow pass scores all fields.
     """
-    import numpy as np
-    import pandas as pd
-
     names = list(queries)
     q = [np.asarray(queries[n], dtype="float64") for n in names]
 
-    def score_batch(vectors: list) -> "np.ndarray":
+    def score_batch(vectors: list) -> np.ndarray:
         out = np.empty((len(vectors), len(q)))
         groups: dict[int, list[int]] = {}
         for i, v in enumerate(vectors):
