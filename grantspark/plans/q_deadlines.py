@@ -52,9 +52,9 @@ def extract_dates(f):
     return T.extract_dates(_texts(f), "text", "id").select("id", F.date_format("date", "yyyy-MM-dd").alias("date"))
 
 
-@query("latest_date", "", f"""WITH {_TEXTS} SELECT id, CASE form WHEN 1 THEN '1999-12-15' WHEN 2 THEN '1999-12-30' WHEN 4 THEN {_BACK} WHEN 6 THEN NULL WHEN 7 THEN '1991-03-05' ELSE {_DS} END AS latest,
+@query("latest_date", "", f"""WITH {_TEXTS} SELECT id, CASE form WHEN 1 THEN greatest('1999-12-15', {_DS}) WHEN 2 THEN greatest('1999-12-30', {_DS}) WHEN 4 THEN {_BACK} WHEN 6 THEN NULL WHEN 7 THEN '1991-03-05' ELSE {_DS} END AS latest,
  CASE form WHEN 4 THEN {_BACK} WHEN 6 THEN NULL WHEN 7 THEN '1991-03-05' ELSE {_DS} END AS phase_deadline,
- CASE form WHEN 1 THEN '1999-12-15' WHEN 2 THEN '1999-12-30' WHEN 4 THEN {_BACK} WHEN 6 THEN NULL WHEN 7 THEN '1991-03-05' ELSE {_DS} END AS text_deadline FROM tx""")
+ CASE form WHEN 1 THEN greatest('1999-12-15', {_DS}) WHEN 2 THEN greatest('1999-12-30', {_DS}) WHEN 4 THEN {_BACK} WHEN 6 THEN NULL WHEN 7 THEN '1991-03-05' ELSE {_DS} END AS text_deadline FROM tx""")
 def latest_date(f):
     out = T.latest_date(_texts(f), "text")
     return out.select("id", *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("latest", "phase_deadline", "text_deadline")])
@@ -81,7 +81,7 @@ def derive_deadline(f):
     return T.derive_deadline(f.notices.select("id", "timeline_estimada", "data_encerramento")).select("id", "derived")
 
 
-@query("normalize_deadline", "", f"""WITH {_TEXTS} SELECT id, CASE form WHEN 0 THEN 'Até '||strftime(dt, '%d/%m/%y') WHEN 1 THEN 'Até 15/12/1999' WHEN 2 THEN 'Até 30/12/1999' WHEN 4 THEN 'Até '||strftime(make_date(CAST(year(dt) AS INT), 2, 1) + to_days(30), '%d/%m/%Y')
+@query("normalize_deadline", "", f"""WITH {_TEXTS} SELECT id, CASE form WHEN 0 THEN 'Até '||strftime(dt, '%d/%m/%y') WHEN 1 THEN 'Até '||strftime(greatest(DATE '1999-12-15', CAST(dt AS DATE)), '%d/%m/%Y') WHEN 2 THEN 'Até '||strftime(greatest(DATE '1999-12-30', CAST(dt AS DATE)), '%d/%m/%Y') WHEN 4 THEN 'Até '||strftime(make_date(CAST(year(dt) AS INT), 2, 1) + to_days(30), '%d/%m/%Y')
  WHEN 6 THEN text WHEN 7 THEN 'Até 05/03/1991' ELSE 'Até '||strftime(dt, '%d/%m/%Y') END AS normalized FROM tx""")
 def normalize_deadline(f):
     return T.normalize_deadline(_texts(f), "text").select("id", "normalized")
