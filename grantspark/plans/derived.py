@@ -135,6 +135,36 @@ SELECT page_id, 'https://www.bndes.gov.br/chamada/'||{_P} AS url, replace(replac
 FROM pages
 """
 
+CATALOGUE = """
+SELECT id, numero, fonte, titulo, descricao, orgao, area, status, link, is_researcher, is_company, sobre_programa, criterios_elegibilidade, valor_projeto, CAST(NULL AS STRING) AS valor,
+  CASE WHEN id % 9 = 0 THEN NULL ELSE data_publicacao END AS data_encerramento, criado_em, CASE WHEN id % 5 = 0 THEN NULL ELSE criado_em END AS validado_em
+FROM notices WHERE id % 10 < 4
+"""
+PROFILES = """
+SELECT c_custkey AS user_id, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'pesquisador' WHEN 2 THEN 'consultor' ELSE 'ambos' END AS user_type,
+  CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '1-Urgent' WHEN 3 THEN '2-HIGH' WHEN 4 THEN 'bolsa%pesquisa' ELSE '_-low' END AS area,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '12.345.678/0001-'||CAST(c_custkey AS STRING) END AS cnpj, c_custkey % 5 <> 0 AS has_cnpj
+FROM customer
+"""
+COMPANIES = """
+SELECT s_suppkey AS id, s_suppkey * 2 AS owner_user_id, 'Empresa '||CAST(s_suppkey AS STRING) AS razao_social,
+  CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE '123456780001'||CAST(s_suppkey * 2 AS STRING) END AS cnpj, CASE s_suppkey % 3 WHEN 0 THEN ' ' WHEN 1 THEN '3-Medium' ELSE '5-low' END AS area
+FROM supplier
+"""
+REQUESTS = """
+SELECT user_id, CAST(NULL AS BIGINT) AS empresa_id, CAST(CASE user_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 7 ELSE 90 END AS INT) AS p_limit FROM profiles WHERE user_id % 7 <> 0
+UNION ALL SELECT CASE WHEN id % 10 = 0 THEN owner_user_id + 1 ELSE owner_user_id END, id, CAST(10 AS INT) FROM companies
+UNION ALL SELECT user_id + 100000000, CAST(NULL AS BIGINT), CAST(3 AS INT) FROM profiles WHERE user_id % 7 = 0
+"""
+PROJECTS = """
+SELECT o_orderkey AS id, o_custkey AS owner_user_id, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 97 END AS empresa_id,
+  CASE o_orderkey % 50 WHEN 0 THEN 'todos' WHEN 1 THEN 'empresa' ELSE 'ambos' END AS publico_alvo, CASE o_orderkey % 40 WHEN 0 THEN 'x' ELSE 'ativo' END AS status, o_orderkey % 30 AS uf_form
+FROM orders
+"""
+PROPOSALS = """
+SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS projeto_id, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_suppkey END AS empresa_id FROM lineitem
+"""
+
 DERIVED: dict[str, tuple[str, tuple[str, ...]]] = {
     "notices": (NOTICES, ("orders",)),
     "attachments": (ATTACHMENTS, ("documents",)),
@@ -142,6 +172,12 @@ DERIVED: dict[str, tuple[str, tuple[str, ...]]] = {
     "details": (f"SELECT page_id, url, html FROM ({DETAILS}) AS d", ("pages",)),
     "hubs": (HUBS, ("pages",)),
     "calls": (CALLS, ("pages",)),
+    "catalogue": (CATALOGUE, ("notices",)),
+    "profiles": (PROFILES, ("customer",)),
+    "companies": (COMPANIES, ("supplier",)),
+    "requests": (REQUESTS, ("profiles", "companies")),
+    "projects": (PROJECTS, ("orders",)),
+    "proposals": (PROPOSALS, ("lineitem",)),
 }
 
 
