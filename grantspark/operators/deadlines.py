@@ -48,10 +48,6 @@ def reconcile_deadline(notices: DataFrame) -> DataFrame:
     return out.withColumn("changed", changed & ~keeps).drop("normalized", "derived")
 
 
-def plausible(d: Column, created: Column) -> Column:
-    return (F.year(d) >= 2010) & F.coalesce(F.year(d) >= F.year(created) - 2, F.lit(True))
-
-
 def collect_deadlines(notices: DataFrame, plausible_from: int = 2010) -> DataFrame:
     """Plausible deadlines of the three sources per notice."""
     out = compute(
@@ -69,15 +65,15 @@ def active_patterns(spark: SparkSession, as_of: date) -> DataFrame:
     return spark.createDataFrame([(p,) for p in D.active_patterns(as_of)], "pattern string")
 
 
-def search_text() -> Column:
-    return F.lower(F.concat_ws(" ", *[none_if_blank(blank(c)) for c in SEARCHED]))
+def search_text(columns: tuple[str, ...] = SEARCHED) -> Column:
+    return F.lower(F.concat_ws(" ", *[none_if_blank(blank(c)) for c in columns]))
 
 
-def match_active_text(notices: DataFrame, as_of: date) -> DataFrame:
-    return compute(notices, active_text=D.has_active_pattern(search_text(), as_of))
+def match_active_text(notices: DataFrame, as_of: date, columns: tuple[str, ...] = SEARCHED) -> DataFrame:
+    return compute(notices, active_text=D.has_active_pattern(search_text(columns), as_of))
 
 
-def active_notices(notices: DataFrame, as_of: date) -> DataFrame:
+def active_notices(notices: DataFrame, as_of: date, columns: tuple[str, ...] = SEARCHED) -> DataFrame:
     """Active flag: closed status says no, structured dates decide, else text patterns or phase dates."""
     unset = F.lower(blank("prazo_inscricao")).isin("", "não informado", "nao informado")
     from_text = F.when(unset, F.array().cast("array<date>")).otherwise(D.token_dates("prazo_inscricao"))
@@ -88,7 +84,7 @@ def active_notices(notices: DataFrame, as_of: date) -> DataFrame:
         return F.flatten(F.transform(parts, lambda p: F.when(D.loose_date(p, names=False).isNotNull(), F.array(D.loose_date(p, names=False))).otherwise(D.token_dates(p))))
 
     all_phase = F.flatten(F.transform(F.coalesce(D.phases("timeline_estimada"), F.array().cast(f"array<{_PHASE}>")), phase_dates))
-    out = compute(match_active_text(notices, as_of), structured=structured, window=F.exists(all_phase, lambda d: D.in_active_window(d, as_of)))
+    out = compute(match_active_text(notices, as_of, columns), structured=structured, window=F.exists(all_phase, lambda d: D.in_active_window(d, as_of)))
     active = (
         F.when(F.lower(F.trim(blank("status"))).isin("encerrado", "finalizado"), False)
         .when(F.col("structured").isNotNull(), F.col("structured") >= F.lit(as_of))

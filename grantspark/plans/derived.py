@@ -165,6 +165,31 @@ PROPOSALS = """
 SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS projeto_id, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_suppkey END AS empresa_id FROM lineitem
 """
 
+# model answers: one per event, of every shape an answer can have
+_FIELD = "CASE CAST(floor(event_id / 500) AS BIGINT) % 9 WHEN 0 THEN 'valor_projeto' WHEN 1 THEN 'prazo_inscricao' WHEN 2 THEN 'localizacao' WHEN 3 THEN 'vagas' WHEN 4 THEN 'is_researcher' WHEN 5 THEN 'is_company' WHEN 6 THEN 'sobre_programa' WHEN 7 THEN 'criterios_elegibilidade' ELSE 'timeline_estimada' END"
+_VALUE = """CASE WHEN field IN ('is_researcher', 'is_company') THEN CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
+  WHEN field = 'timeline_estimada' THEN '{"fases":[{"nome":" Inscrição ","prazo":"até 10/05/1998"},{"nome":""}]}'
+  WHEN field = 'valor_projeto' THEN '{"por_projeto":["até R$ 5.000,00"]}' ELSE '"texto '||CAST(event_id AS STRING)||'"' END"""
+RESPONSES = f"""
+SELECT event_id, notice_id, field, stage, batch, timed_out, CASE event_id % 7 WHEN 0 THEN '{{"'||field||'":'||val||'}}' WHEN 1 THEN 'Segue ```json {{"'||field||'": '||val||'}} ```' WHEN 2 THEN '{{"'||field||'": '
+  WHEN 3 THEN '{{"outro":1}}' WHEN 4 THEN '{{"'||field||'":null}}' WHEN 5 THEN '{{"'||field||'":12}}' ELSE '{{"'||field||'":"Não informado"}}' END AS raw
+FROM (SELECT event_id, notice_id, field, stage, batch, timed_out, {_VALUE} AS val FROM
+  (SELECT event_id, event_id % 500 AS notice_id, {_FIELD} AS field, CASE CAST(floor(event_id / 4500) AS BIGINT) % 3 WHEN 0 THEN 'topk' WHEN 1 THEN 'chunkscan' ELSE 'window' END AS stage,
+   CAST(event_id % 5 AS INT) AS batch, event_id % 11 = 0 AS timed_out FROM events) AS r0) AS r1
+"""
+
+# audit answers of every decision, valid and not
+AUDITS = """
+SELECT event_id, event_id % 300 AS notice_id, CAST(floor(event_id / 300) AS BIGINT) % 4 AS fk, CASE CAST(floor(event_id / 300) AS BIGINT) % 4 WHEN 0 THEN 'prazo_inscricao' WHEN 1 THEN 'is_company' WHEN 2 THEN 'sobre_programa' ELSE 'timeline_estimada' END AS field,
+  event_id % 9 AS form, event_id % 13 = 0 AS timed_out FROM events
+"""
+DOMAIN_EVENTS = """
+SELECT event_id, event_type, user_id, ts, CASE WHEN event_id % 50 = 0 THEN '{"id": "e'||CAST(event_id AS STRING) ELSE '{"id":"'||CASE WHEN event_id % 41 = 0 THEN '  ' ELSE 'e'||CAST(event_id AS STRING) END||'","name":"'||CASE WHEN event_id % 37 = 0 THEN '' ELSE 'Job_'||event_type END||'","severity":"'||
+  CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'info' WHEN 'signup' THEN 'warn' WHEN 'view' THEN 'fatal' ELSE 'debug' END||'","message":"valor '||CAST(user_id AS STRING)||'","at":"'||CASE WHEN event_id % 43 = 0 THEN '0001-01-01T00:00:00Z' ELSE '2024-02-03T0'||CAST(event_id % 10 AS STRING)||':15:07Z' END||'"'||
+  CASE WHEN event_id % 2 = 0 THEN ',"component":"comp.a"' ELSE '' END||CASE WHEN event_id % 3 = 0 THEN ',"trace":{"trace_id":"t'||CAST(event_id AS STRING)||'"}' ELSE '' END||CASE WHEN event_id % 5 = 0 THEN ',"actor":{"user_id":"u'||CAST(user_id AS STRING)||'"},"request":{"method":"GET","path":"/x"}' ELSE '' END||
+  CASE WHEN event_id % 7 = 0 THEN ',"error":{"type":"E","message":"falhou","stack":"'||repeat('s', CAST(1490 + event_id % 20 AS INT))||'"}' ELSE '' END||'}' END AS detail FROM events
+"""
+
 DERIVED: dict[str, tuple[str, tuple[str, ...]]] = {
     "notices": (NOTICES, ("orders",)),
     "attachments": (ATTACHMENTS, ("documents",)),
@@ -178,6 +203,9 @@ DERIVED: dict[str, tuple[str, tuple[str, ...]]] = {
     "requests": (REQUESTS, ("profiles", "companies")),
     "projects": (PROJECTS, ("orders",)),
     "proposals": (PROPOSALS, ("lineitem",)),
+    "responses": (RESPONSES, ("events",)),
+    "audits": (AUDITS, ("events",)),
+    "domain_events": (DOMAIN_EVENTS, ("events",)),
 }
 
 
