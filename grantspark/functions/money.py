@@ -180,11 +180,10 @@ def has_money_signal(line: Column) -> Column:
     )
 
 
-def is_invalid(line: Column) -> Column:
-    return let(
-        squish(line),
-        lambda t: (t == "") | looks_like_number(t) | has(t, DATE_LINE) | (t.rlike(r"^\d[\d.\/\s-]*$") & ~has_money_signal(t)),
-    )
+def is_invalid(line: Column, money: Column | None = None) -> Column:
+    """Clearly no value; ``money`` is the line's money signal where already known."""
+    signal = money if money is not None else has_money_signal(line)
+    return let(squish(line), lambda t: (t == "") | looks_like_number(t) | has(t, DATE_LINE) | (t.rlike(r"^\d[\d.\/\s-]*$") & ~signal))
 
 
 def matches_number(lines: Column, number: Column | str) -> Column:

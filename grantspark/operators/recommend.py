@@ -99,13 +99,16 @@ def score_notices(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: boo
     scope is shuffled.
     """
     notices = _as_array(recent, as_of).scalar()
-    # % and _ in an area act as wildcards; a backslash stands for itself
+    # % and _ in an area act as wildcards; a backslash stands for itself. Only such areas need a pattern,
+    # which is compiled per comparison; the others are plain substrings.
+    wild = F.col("area").rlike(r"[%_\\]")
     pattern = F.concat(F.lit("%"), F.replace(F.lower("area"), F.lit("\\"), F.lit("\\\\")), F.lit("%"))
-    base = scopes.withColumn("_pattern", F.when(F.col("area") != "", pattern)).withColumn("_ns", notices)
+    base = scopes.withColumns({"_word": F.when(F.col("area") != "", F.lower("area")), "_pattern": F.when(wild, pattern), "_ns": notices})
 
     def one(n):
         points, who = _audience(n, legacy)
-        area = F.coalesce(F.like(n["hay"], F.col("_pattern")), F.lit(False))
+        hit = F.when(F.col("_pattern").isNull(), F.contains(n["hay"], F.col("_word"))).otherwise(F.like(n["hay"], F.col("_pattern")))
+        area = F.coalesce(hit, F.lit(False))
         total = (
             F.lit(10) + points + F.when(area, 25).otherwise(0) + F.when(n["deadline"] == 0, 5).when(n["deadline"] == 1, 15).otherwise(-35)
             + F.when(n["has_value"], 5).otherwise(0) + F.when(n["has_text"], 5).otherwise(0)
@@ -115,7 +118,7 @@ def score_notices(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: boo
         reasons = F.array_compact(F.array(who, F.when(area, aligned), when, F.when(n["has_value"], REASON_VALUE)))
         return F.struct((-F.greatest(F.lit(0), F.least(F.lit(100), total))).alias("neg"), n["id"].alias("edital_id"), reasons.alias("motivos"))
 
-    return base.withColumn("scored", F.transform("_ns", one)).drop("_ns", "_pattern")
+    return base.withColumn("scored", F.transform("_ns", one)).drop("_ns", "_pattern", "_word")
 
 
 def top_recommendations(scored: DataFrame, min_score: int = 25) -> DataFrame:

@@ -204,8 +204,8 @@ def pack_context_reading(blocks: DataFrame, budget: int = 3000) -> DataFrame:
     w = W.partitionBy("notice_id", "field").orderBy(F.coalesce("order_index", F.lit(-1)), "id")
     b = blocks.withColumn("ro", F.row_number().over(w))
     used = F.sum(F.length("piece") + 2).over(w.rowsBetween(W.unboundedPreceding, 0)) - F.length("piece") - 2
-    # blocks starting beyond the budget cannot be seen
-    b = b.withColumn("begin", used).where(F.col("begin") < budget)
+    # blocks whose separator already starts beyond the budget cannot be seen
+    b = b.withColumn("begin", used).where(F.col("begin") - 2 < budget)
     return b.groupBy("notice_id", "field").agg(
         F.substring(_joined("ro"), 1, budget).alias("context"), F.count("*").alias("pieces")
     )

@@ -50,14 +50,16 @@ def flatten_value(notices: DataFrame, column: str = "valor_projeto") -> DataFram
 def value_quality(notices: DataFrame, column: str = "valor_projeto", number: str = "numero") -> DataFrame:
     """Flags per value: matches its notice's number, invalid or money lines, suspicious, plausible."""
     n = compute(notices, lines=M.flat_lines(column))
+    # each line is judged once, all flags read the verdicts
+    judged = F.transform("lines", lambda l: let(M.has_money_signal(l), lambda money: F.struct(money.alias("money"), M.is_invalid(l, money).alias("invalid"))))
+    n = compute(n, _j=judged, matches_number=M.matches_number(F.col("lines"), number))
     n = compute(
         n,
-        matches_number=M.matches_number(F.col("lines"), number),
-        any_invalid=F.exists("lines", lambda l: M.is_invalid(l)),
-        all_invalid=F.forall("lines", lambda l: M.is_invalid(l)),
-        any_money=F.exists("lines", lambda l: M.has_money_signal(l)),
-        all_money=F.forall("lines", lambda l: M.has_money_signal(l)),
-    )
+        any_invalid=F.exists("_j", lambda x: x["invalid"]),
+        all_invalid=F.forall("_j", lambda x: x["invalid"]),
+        any_money=F.exists("_j", lambda x: x["money"]),
+        all_money=F.forall("_j", lambda x: x["money"]),
+    ).drop("_j")
     suspicious = F.expr("size(lines) = 0 OR matches_number OR any_invalid OR NOT any_money")
     n = n.withColumn("suspicious", suspicious)
     return n.withColumn("plausible", F.expr("size(lines) > 0 AND NOT suspicious"))
@@ -105,72 +107,86 @@ def parse_structured(value: Column | str) -> Column:
     return let(M.json_fields(value), read)
 
 
+def _described(lines: Column) -> Column:
+    """Each line with its amounts and what its wording says, worked out once."""
+
+    def one(l):
+        return let(
+            F.struct(M.amounts(l).alias("all"), has(l, FOREIGN).alias("foreign")),
+            lambda x: F.struct(
+                l.alias("t"),
+                F.when(x["foreign"], F.array().cast("array<double>")).otherwise(F.filter(x["all"], lambda n: n >= 100)).alias("ns"),
+                ((F.size(x["all"]) > 0) | (x["foreign"] & l.rlike(r"\d"))).alias("amount"),
+                x["foreign"].alias("foreign"),
+                has(l, MONTHLY).alias("monthly"),
+                (has(l, TOTAL_WORDS) & ~has(l, PER_PROJECT_WORDS)).alias("total"),
+                has(l, RANGE_WORDS).alias("range"),
+            ),
+        )
+
+    return F.transform(lines, one)
+
+
 def structure_value(rows: DataFrame, raw: str = "raw", context: str = "contexto") -> DataFrame:
     """Per-project lines, stipends and programme total of a model answer, checked against its context."""
-    none = F.array().cast(M.STRINGS)
+    numbers = lambda c: F.flatten(F.transform(c, lambda l: l["ns"]))
     at = lambda k: F.try_element_at("m", F.lit(k))
     text = squish(raw)
     r = compute(rows, stored=parse_structured(raw), m=M.json_fields(raw), ctx=F.when(F.trim(blank(context)) != "", M.amounts(context)))
     plain = (text != "") & ~text.startswith("{")
     lines = F.when(plain & text.startswith("["), M.clean_lines(text)).when(plain, F.array_distinct(F.array_compact(F.transform(M.value_lines(raw), lambda x: M.clean_line(x)))))
+    is_number = at("total_programa").rlike(r"^\d+(\.\d+)?([eE]\d+)?$")
+    total_text = F.coalesce(M.clean_line(at("total_programa_texto")), F.when(~is_number, M.clean_line(at("total_programa"))))
     r = compute(
         r,
         linhas=F.coalesce(lines, M.clean_lines(F.coalesce(at("por_projeto"), at("valor")))),
-        bolsas=F.coalesce(M.clean_lines(at("bolsas")), none),
-        total_raw=at("total_programa"),
+        bolsas=M.clean_lines(at("bolsas")),
+        total_text=F.array_compact(F.array(total_text)),
+        total_num=F.when(is_number, at("total_programa").cast("double")),
         qtd=_project_count(at("qtd_projetos")),
         llm_min=_positive(at("por_projeto_min")),
         llm_max=_positive(at("por_projeto_max")),
         usable=F.col("m").isNotNull() | plain,
     )
-    numeric_total = F.col("total_raw").rlike(r"^\d+(\.\d+)?([eE]\d+)?$")
+    r = compute(r, linhas=_described(F.col("linhas")), bolsas=_described(F.col("bolsas")), total_text=_described(F.col("total_text")))
     in_context = lambda n: F.col("ctx").isNull() | F.exists("ctx", lambda c: M.near(c, n))
-    supported = lambda l: let(line_amounts(l), lambda ns: (F.size(ns) == 0) | F.exists(ns, in_context))
-    total_text = F.coalesce(M.clean_line(at("total_programa_texto")), F.when(~numeric_total, M.clean_line(F.col("total_raw"))))
-    r = compute(
-        r,
-        linhas=F.filter("linhas", supported),
-        bolsas=F.filter("bolsas", supported),
-        total_text=F.when(supported(total_text), total_text),
-        total_num=F.when(numeric_total, F.col("total_raw").cast("double")),
-    )
+    supported = lambda l: (F.size(l["ns"]) == 0) | F.exists(l["ns"], in_context)
+    r = compute(r, linhas=F.filter("linhas", supported), bolsas=F.filter("bolsas", supported), total_text=F.filter("total_text", supported))
     # monthly pay is a stipend; a stipend without an amount says nothing
-    monthly = F.filter("linhas", lambda l: has(l, MONTHLY))
-    has_amount = lambda l: (F.size(M.amounts(l)) > 0) | (has(l, FOREIGN) & l.rlike(r"\d"))
-    r = compute(r, linhas=F.filter("linhas", lambda l: ~has(l, MONTHLY)), bolsas=F.filter(F.array_union("bolsas", monthly), has_amount))
+    monthly = F.filter("linhas", lambda l: l["monthly"])
+    r = compute(r, linhas=F.filter("linhas", lambda l: ~l["monthly"]), bolsas=F.filter(F.array_union("bolsas", monthly), lambda l: l["amount"]))
 
-    def repeats(ns, others):
-        return (F.size(ns) > 0) & F.forall(ns, lambda n: F.exists(others, lambda o: M.near(o, n)))
+    def repeats(l, others):
+        return (F.size(l["ns"]) > 0) & F.forall(l["ns"], lambda n: F.exists(others, lambda o: M.near(o, n)))
 
-    r = compute(r, nb=F.transform("bolsas", line_amounts))
-    r = compute(r, fb=F.flatten("nb"))
-    kept = F.filter(
-        F.transform("bolsas", lambda b, i: F.struct(b.alias("b"), repeats(F.get("nb", i), F.flatten(F.slice("nb", 1, i))).alias("again"))), lambda x: ~x["again"]
+    r = compute(
+        r,
+        linhas=F.filter("linhas", lambda l: ~repeats(l, numbers(F.col("bolsas")))),
+        bolsas=F.filter("bolsas", lambda l, i: ~repeats(l, numbers(F.slice("bolsas", 1, i)))),
     )
-    r = compute(r, linhas=F.filter("linhas", lambda l: ~repeats(line_amounts(l), F.col("fb"))), bolsas=F.transform(kept, lambda x: x["b"]))
     # lines that describe the whole call move to its total
-    is_total = lambda l: has(l, TOTAL_WORDS) & ~has(l, PER_PROJECT_WORDS)
-    r = compute(r, linhas=F.filter("linhas", lambda l: ~is_total(l)), total_text=F.coalesce("total_text", F.get(F.filter("linhas", is_total), F.lit(0))))
-    by_number = F.col("total_text").isNull() & F.col("total_num").isNotNull() & in_context(F.col("total_num"))
+    total_line = F.coalesce(F.get("total_text", F.lit(0)), F.get(F.filter("linhas", lambda l: l["total"]), F.lit(0)))
+    r = compute(r, linhas=F.filter("linhas", lambda l: ~l["total"]), total_line=total_line)
+    by_number = F.col("total_line").isNull() & F.col("total_num").isNotNull() & in_context(F.col("total_num"))
     r = compute(
         r,
-        total=F.when(F.col("total_text").isNotNull(), F.array_max(line_amounts(F.col("total_text")))).when(by_number, F.col("total_num")),
-        total_text=F.coalesce(F.col("total_text"), F.when(by_number, M.format_brl(F.col("total_num")))),
-        per=F.flatten(F.transform("linhas", line_amounts)),
+        total=F.when(F.col("total_line").isNotNull(), F.array_max("total_line.ns")).when(by_number, F.col("total_num")),
+        total_text=F.coalesce(F.col("total_line.t"), F.when(by_number, M.format_brl(F.col("total_num")))),
+        per=numbers(F.col("linhas")),
     )
     differs = F.coalesce(F.exists("per", lambda n: ~M.near(n, F.col("total"))), F.lit(False))
     only_total = F.col("total").isNotNull() & (F.size("per") > 0) & ~differs & ~F.col("qtd").eqNullSafe(F.lit(1))
     r = compute(
         r,
-        linhas=F.when(only_total, none).otherwise(F.col("linhas")),
+        linhas=F.when(only_total, F.filter("linhas", lambda l: F.lit(False))).otherwise(F.col("linhas")),
         per=F.when(only_total, F.array().cast("array<double>")).when(F.col("total").isNotNull() & differs, F.filter("per", lambda n: ~M.near(n, F.col("total")))).otherwise(F.col("per")),
     )
     top = F.array_max("per")
     low = F.when(F.coalesce((F.col("llm_min") < top) & in_context(F.col("llm_min")), F.lit(False)), F.col("llm_min")).when(
-        (F.size("per") >= 2) & F.exists("linhas", lambda l: has(l, RANGE_WORDS)), F.array_min("per")
+        (F.size("per") >= 2) & F.exists("linhas", lambda l: l["range"]), F.array_min("per")
     )
-    guess = F.when((F.size("per") == 0) & F.exists("linhas", lambda l: ~has(l, FOREIGN)) & in_context(F.col("llm_max")), F.col("llm_max"))
-    r = compute(r, low=low, high=F.coalesce(top, guess))
+    guess = F.when((F.size("per") == 0) & F.exists("linhas", lambda l: ~l["foreign"]) & in_context(F.col("llm_max")), F.col("llm_max"))
+    r = compute(r, low=low, high=F.coalesce(top, guess), linhas=F.transform("linhas", lambda l: l["t"]), bolsas=F.transform("bolsas", lambda l: l["t"]))
     odd = F.coalesce(F.col("total") < F.col("high"), F.lit(False))
     r = compute(r, total=F.when(~odd, F.col("total")), total_text=F.when(~odd, F.col("total_text")))
     single = (F.size("linhas") == 0) & F.col("total").isNotNull() & F.col("qtd").eqNullSafe(F.lit(1))
