@@ -121,11 +121,20 @@ def score_notices(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: boo
     return base.withColumn("scored", F.transform("_ns", one)).drop("_ns", "_pattern", "_word")
 
 
-def top_recommendations(scored: DataFrame, min_score: int = 25) -> DataFrame:
-    """Best notices of each scope within its limit; ties by id."""
-    good = F.filter("scored", lambda x: x["neg"] <= -min_score)
-    picked = F.slice(F.array_sort(good), 1, F.col("v_limit"))
-    rows = scored.select("user_id", "empresa_id", F.posexplode(picked).alias("pos", "x"))
+def top_recommendations(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: bool = False, min_score: int = 25, most: int = 50) -> DataFrame:
+    """Best notices of each scope within its limit; ties by id.
+
+    A score depends only on type, area and whether a company asks, so each distinct combination is
+    scored once, keeps its best ``most`` (the largest limit there is), and is joined back to its scopes.
+    """
+    keyed = scopes.withColumn("by_company", F.col("empresa_id").isNotNull())
+    # a stand-in company id keeps the wording of the reasons per combination
+    keys = keyed.select("user_type", "area", "by_company").distinct().withColumn("empresa_id", F.when(F.col("by_company"), F.lit(0)))
+    scored = score_notices(keys, recent, as_of, legacy)
+    best = F.slice(F.array_sort(F.filter("scored", lambda x: x["neg"] <= -min_score)), 1, most)
+    top = scored.select("user_type", "area", "by_company", best.alias("best"))
+    rows = keyed.join(top, ["user_type", "area", "by_company"])
+    rows = rows.select("user_id", "empresa_id", F.posexplode(F.slice("best", 1, F.col("v_limit"))).alias("pos", "x"))
     return rows.select("user_id", "empresa_id", (F.col("pos") + 1).alias("rank"), "x.edital_id", (-F.col("x.neg")).alias("score"), "x.motivos")
 
 

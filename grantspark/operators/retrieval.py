@@ -230,27 +230,30 @@ def topk_batches(blocks: DataFrame, per_batch: int = 3, max_batches: int = 5, ma
 def scan_batches(ordered: DataFrame, per_batch: int = 3, max_chars: int = 3000, max_batches: int = 0) -> DataFrame:
     """Whole notice in reading order, greedy batches of few blocks and bounded text.
 
-    The counter restarts with each batch, so this is a fold over one notice's block lengths; the reading
-    cap bounds it. Texts are joined back only by (notice, batch).
+    The counter restarts with each batch, so this is a fold over one notice's blocks; the reading cap
+    bounds them, and the blocks travel with their lengths so that the notice is read once.
     """
     rows = compute(ordered.where(strip("content") != ""), piece=chunk_block()).select("notice_id", "id", "pos", "piece")
-    seq = F.array_sort(F.collect_list(F.struct("pos", F.length("piece").alias("len"))))
+    blocks = rows.groupBy("notice_id").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "piece"))).alias("xs"))
+    lengths = F.transform("xs", lambda x: F.length(x["piece"]))
     start = F.struct(F.lit(0).alias("items"), F.lit(0).alias("chars"), F.lit(0).alias("batch"), F.array().cast("array<int>").alias("ids"))
 
-    def step(acc, x):
-        joined = F.when(acc["items"] > 0, acc["chars"] + 2 + x["len"]).otherwise(x["len"])
+    def step(acc, n):
+        joined = F.when(acc["items"] > 0, acc["chars"] + 2 + n).otherwise(n)
         close = (acc["items"] > 0) & ((acc["items"] >= per_batch) | (joined > max_chars))
         batch = F.when(close, acc["batch"] + 1).otherwise(acc["batch"])
         return F.struct(
-            F.when(close, 1).otherwise(acc["items"] + 1).alias("items"), F.when(close, x["len"]).otherwise(joined).alias("chars"),
+            F.when(close, 1).otherwise(acc["items"] + 1).alias("items"), F.when(close, n).otherwise(joined).alias("chars"),
             batch.alias("batch"), F.array_append(acc["ids"], batch).alias("ids"),
         )
 
-    folded = rows.groupBy("notice_id").agg(seq.alias("xs")).select("notice_id", "xs", F.aggregate("xs", start, step)["ids"].alias("ids"))
-    numbered = folded.select("notice_id", F.inline(F.arrays_zip(F.col("xs.pos").alias("pos"), F.col("ids").alias("batch"))))
+    folded = compute(blocks, ids=F.aggregate(lengths, start, step)["ids"])
+    numbered = folded.select(
+        "notice_id", F.inline(F.arrays_zip(F.col("xs.pos").alias("pos"), F.col("xs.id").alias("id"), F.col("xs.piece").alias("piece"), F.col("ids").alias("batch")))
+    )
     if max_batches:
         numbered = numbered.where(F.col("batch") < max_batches)
-    return rows.join(numbered, ["notice_id", "pos"]).groupBy("notice_id", "batch").agg(
+    return numbered.groupBy("notice_id", "batch").agg(
         F.substring(_joined("pos"), 1, max_chars).alias("context"), F.count("*").alias("pieces"), F.min_by("id", "pos").alias("first_id")
     )
 

@@ -114,7 +114,7 @@ w AS (SELECT file_id, i, 1 AS items, len AS chars, CAST(0 AS BIGINT) AS batch FR
   CASE WHEN w.items >= 8 OR w.chars + x.len > 2048 THEN w.batch + 1 ELSE w.batch END FROM w JOIN x ON x.file_id = w.file_id AND x.i = w.i + 1)
 SELECT file_id, i AS chunk_index, batch AS batch_id FROM w""", recursive=True)
 def pack_embed_batches(f):
-    out = C.pack_embed_batches(f.chunks.select("file_id", "chunk_index", "content"))
+    out = C.pack_embed_batches(f.stored("chunks").select("file_id", "chunk_index", "content"))
     return out.select("file_id", F.col("chunk_index").cast("long").alias("chunk_index"), "batch_id")
 
 

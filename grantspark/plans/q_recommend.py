@@ -44,6 +44,10 @@ def _scopes(f, legacy=False):
     return R.resolve_scopes(f.requests, f.profiles, f.companies, legacy)
 
 
+def _top(f):
+    return R.top_recommendations(_scopes(f)[0], R.recent_notices(f.catalogue), AS_OF)
+
+
 def _scored(f, legacy=False):
     return R.score_notices(_scopes(f, legacy)[0], R.recent_notices(f.catalogue), AS_OF, legacy)
 
@@ -81,7 +85,7 @@ def legacy_audience_score(f):
 
 @query("score_reasons", USES, f"WITH {_pairs_sql()} SELECT user_id, empresa_id, edital_id, motivos FROM tp")
 def score_reasons(f):
-    return R.top_recommendations(_scored(f)).select("user_id", "empresa_id", "edital_id", F.array_join("motivos", ";").alias("motivos"))
+    return _top(f).select("user_id", "empresa_id", "edital_id", F.array_join("motivos", ";").alias("motivos"))
 
 
 @query("recent_500", "catalogue", f"WITH {_RECENT} SELECT id, validado_em IS NULL AS unvalidated FROM rc")
@@ -91,7 +95,7 @@ def recent_500(f):
 
 @query("top_recommendations", USES, f"WITH {_pairs_sql()} SELECT user_id, empresa_id, rank, edital_id, CAST(score AS BIGINT) AS score FROM tp")
 def top_recommendations(f):
-    out = R.top_recommendations(_scored(f))
+    out = _top(f)
     return out.select("user_id", "empresa_id", F.col("rank").cast("long").alias("rank"), "edital_id", F.col("score").cast("long").alias("score"))
 
 
@@ -109,7 +113,7 @@ def _stored(f):
 SELECT user_id, empresa_id, edital_id, CAST(score AS BIGINT) AS score FROM so WHERE NOT EXISTS (SELECT 1 FROM sc WHERE sc.user_id = so.user_id AND sc.empresa_id IS NOT DISTINCT FROM so.empresa_id)
 UNION ALL SELECT user_id, empresa_id, edital_id, CAST(score AS BIGINT) FROM tp""")
 def replace_scope_rows(f):
-    new = R.top_recommendations(_scored(f)).select("user_id", "empresa_id", "edital_id", "score")
+    new = _top(f).select("user_id", "empresa_id", "edital_id", "score")
     snapshot, _ = R.replace_scope_rows(_stored(f), new, _scopes(f)[0].select("user_id", "empresa_id"))
     return snapshot.withColumn("score", F.col("score").cast("long"))
 

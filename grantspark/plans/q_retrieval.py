@@ -19,11 +19,11 @@ USES = "chunks attachments"
 
 
 def _pairs(f):
-    return R.associate_chunks(f.chunks, f.attachments)
+    return R.associate_chunks(f.stored("chunks"), f.attachments)
 
 
 def _ordered(f, cap=2500, *cols):
-    return R.reading_order(R.notice_chunks(_pairs(f), f.chunks, "file_id", "content", *cols), cap)
+    return R.reading_order(R.notice_chunks(_pairs(f), f.stored("chunks"), "file_id", "content", *cols), cap)
 
 
 @query("associate_chunks", USES, f"WITH {_PAIRS} SELECT * FROM pr")
@@ -121,7 +121,7 @@ _BLK = f"{_TOPK}, bl AS (SELECT tk.notice_id, tk.field, tk.rn, tk.id, c.m_index,
 
 
 def _blocks(f):
-    return R.with_blocks(_top(f), f.chunks)
+    return R.with_blocks(_top(f), f.stored("chunks"))
 
 
 @query("pack_context_by_score", USES, f"""WITH {_BLK}, us AS (SELECT *, sum(length(piece) + 2) OVER (PARTITION BY notice_id, field ORDER BY rn) - 2 AS used FROM bl)
@@ -200,7 +200,7 @@ p AS (SELECT r.*, base, coalesce(sum(length(content) + 5) OVER (PARTITION BY r.n
 o AS (SELECT *, max(CASE WHEN big THEN 1 ELSE 0 END) OVER (PARTITION BY notice_id ORDER BY rn) AS over FROM p)
 SELECT bs.notice_id, any_value(bs.base)||coalesce(string_agg(chr(10)||'---'||chr(10)||content, '' ORDER BY rn), '') AS context, count(content) AS pieces FROM bs LEFT JOIN o ON o.notice_id = bs.notice_id AND over = 0 GROUP BY 1""".replace(" WHERE id < 60", ""))
 def keyword_rank_context(f):
-    rows = R.notice_chunks(_pairs(f), f.chunks, "content")
+    rows = R.notice_chunks(_pairs(f), f.stored("chunks"), "content")
     base = f.notices.select(F.col("id").cast("string").alias("notice_id"), F.concat(F.lit("SOBRE O PROGRAMA: "), F.coalesce("sobre_programa", F.lit(""))).alias("base"))
     return R.keyword_rank_context(rows, _TERMS, 16, 6000, base=base)
 

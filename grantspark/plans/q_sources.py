@@ -172,9 +172,10 @@ pd AS (SELECT DISTINCT fonte, chave, pdf_url FROM r WHERE pdf_url IS NOT NULL)""
 
 
 def _merged(f):
-    return listings.merge_listing_rows(
-        listings.listing_rows(listings.classify_notice_links(listings.extract_anchors(f.listings, "fonte")))
-    )
+    def rows():
+        return listings.listing_rows(listings.classify_notice_links(listings.extract_anchors(f.listings, "fonte")))
+
+    return listings.merge_listing_rows(f.stored("listing_rows", rows))
 
 
 def _with_files(headers, pdfs):

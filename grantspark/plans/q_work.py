@@ -26,7 +26,7 @@ _COUNTS = f"{_PAIRS}, cc AS (SELECT CAST(notice_id AS BIGINT) AS id, count(*) AS
 
 
 def _counts(f):
-    return associate_chunks(f.chunks, f.attachments).groupBy(F.col("notice_id").cast("long").alias("id")).agg(F.count("*").alias("chunks"))
+    return associate_chunks(f.stored("chunks"), f.attachments).groupBy(F.col("notice_id").cast("long").alias("id")).agg(F.count("*").alias("chunks"))
 
 
 @query("filter_backlog", "notices catalogue attachments chunks", f"""WITH {_COUNTS}, {_STATE}

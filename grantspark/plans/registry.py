@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize
 from .derived import ctes, derive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,13 @@ class Frames:
     def __getattr__(self, name: str) -> DataFrame:
         return derive(self.spark, self.folder, name)
 
+    def stored(self, name: str, build: Callable[[], DataFrame] | None = None) -> DataFrame:
+        """A stage's output written once and read by every later step of the query, as the pipeline stores it."""
+        kept = self.__dict__.setdefault("_stored", {})
+        if name not in kept:
+            kept[name] = materialize(build() if build else derive(self.spark, self.folder, name), name)
+        return kept[name]
+
 
 def query(name: str, uses: str = "", sql: str | None = None, recursive: bool = False):
     """Register ``fn(frames)``; ``sql`` is the oracle's tail after the CTEs of the frames in ``uses``."""

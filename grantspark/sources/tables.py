@@ -9,8 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input with fewer splits than cores to all cores.
+
+    Text work per row outweighs the one small shuffle; an input that already has enough splits, as any
+    large one does, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet"))
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None) -> DataFrame:

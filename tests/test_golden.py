@@ -178,6 +178,8 @@ def test_scores(spark):
     assert all(0 <= s <= 100 for s in got.values())
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    top = recommend.top_recommendations(scopes, recommend.recent_notices(cat), as_of).collect()
+    assert [(r["user_id"], r["edital_id"], r["rank"], r["score"]) for r in top if r["user_id"] == "u1"] == [("u1", "a", 1, 100)]
 
 
 def test_audit_accept_beats_earlier_rejects(spark):
