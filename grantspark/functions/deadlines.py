@@ -23,6 +23,7 @@ SUBMISSION_WORDS = r"submiss|envio|propost|cadastr"
 REGISTRATION_WORDS = r"inscri|habilit|registr"
 ACCENTED, PLAIN = "áàâãäåéèêëíìîïóòôõöúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn"
 
+# Date forms and the wording before a deadline.
 ISO = r"\d{4}-\d{2}-\d{2}"
 DMY4 = r"\d{1,2}[\/\-.]\d{1,2}[\/\-.]\d{4}"
 DMY2 = r"\d{1,2}[\/\-.]\d{1,2}[\/\-.]\d{2}" + WB_END

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import FIELDS
+from ..functions import prompts
 from ..functions.frames import compute
 from ..functions.text import blank, has, head, none_if_blank, strip
 
@@ -406,16 +407,51 @@ def build_field_queries(notices: DataFrame) -> DataFrame:
     )
 
 
-def build_requests(contexts: DataFrame, notices: DataFrame, stage: str, instructions: dict[str, str] | None = None) -> DataFrame:
+def _per_field(texts: dict[str, str]) -> Column:
+    out = F.lit("")
+    for name, text in texts.items():
+        out = F.when(F.col("field") == name, text).otherwise(out)
+    return out
+
+
+def build_requests(contexts: DataFrame, notices: DataFrame, stage: str) -> DataFrame:
     """Request rows (notice_id, field, stage, batch, prompt) for contexts (notice_id, field, batch, context)."""
-    extra = F.lit("")
-    for name, text in (instructions or {}).items():
-        extra = F.when(F.col("field") == name, text).otherwise(extra)
     rule = F.concat(F.lit('- Responda em UMA linha JSON, exatamente com a chave "'), "field", F.lit('"'))
     n = notices.select(F.col("id").cast("string").alias("notice_id"), notice_line().alias("base"))
     prompt = F.concat_ws(
         "\n", *[F.lit(x) for x in PROMPT_HEAD], F.lit(""), "base", F.lit(""), F.concat(F.lit("Campo: "), "field"),
+        F.concat(F.lit("Formato esperado (exemplo): "), _per_field({f: prompts.example(f) for f in FIELDS})), F.lit(""),
         F.lit("REGRAS CRÍTICAS:"), rule, F.lit("- Não inclua outras chaves"), F.lit("- Não inclua quebras de linha fora do JSON"),
-        none_if_blank(extra), F.lit(""), F.lit("CONTEÚDO:"), F.coalesce(none_if_blank("context"), F.lit("(vazio)")),
+        none_if_blank(_per_field({"valor_projeto": "\n".join(prompts.VALUE_RULES)})), F.lit(""), F.lit("CONTEÚDO:"), F.coalesce(none_if_blank("context"), F.lit("(vazio)")),
     )
     return contexts.join(n, "notice_id").select("notice_id", "field", F.lit(stage).alias("stage"), "batch", prompt.alias("prompt"))
+
+
+def build_audit_requests(targets: DataFrame, notices: DataFrame) -> DataFrame:
+    """Audit request per target (id, field, before, optional source and snippet); the document text follows the prompt."""
+    t = targets.join(notices.select("id", "numero", "titulo", "fonte"), "id")
+    for c in ("source", "snippet"):
+        if c not in t.columns:
+            t = t.withColumn(c, F.lit(None).cast("string"))
+    boolean = F.col("field").isin("is_researcher", "is_company", "timeline_estimada")
+    quoted = F.regexp_replace(F.to_json(F.array("before")), r"^\[|\]$", "")
+    before = F.when(F.col("before").isNull(), "null").when(boolean, F.col("before")).otherwise(quoted)
+    evidence = F.when(
+        F.trim(blank("snippet")) != "", F.concat(F.lit("Trecho usado na extração (origem: "), blank("source"), F.lit("):\n"), head("snippet", 6000))
+    ).otherwise(F.lit(prompts.NO_EVIDENCE))
+    prompt = F.concat_ws(
+        "\n", *[F.lit(x) for x in prompts.AUDIT_HEAD],
+        F.concat(F.lit("Edital: "), F.coalesce(none_if_blank("numero"), F.lit("N/A")), F.lit(" — "), blank("titulo")), F.concat(F.lit("Fonte: "), blank("fonte")), F.lit(""),
+        F.concat(F.lit("Campo: "), "field"), F.concat(F.lit("Valor atual (extração): "), before), F.lit(""), evidence, F.lit(""),
+        F.lit("Orientação do campo:"), _per_field(prompts.GUIDANCE), F.lit(""), F.lit("Formato de saída: APENAS JSON válido (uma linha se possível) com:"),
+        F.concat(F.lit('- a chave do campo "'), "field", F.lit('" com o valor final (tipo correto: string, boolean, objeto timeline, ou null)')),
+        F.lit('- a chave "_audit" com objeto { "decision": "accept"|"replace"|"reject", "reason": "breve, PT-BR" }'),
+        F.concat(F.lit('Exemplo de chaves: "'), "field", F.lit('" e "_audit".')),
+        F.concat(F.lit("Referência de tipo/estrutura: "), _per_field({f: prompts.example(f, audit=True) for f in FIELDS})),
+    )
+    return t.select(F.col("id").alias("notice_id"), "field", prompt.alias("prompt"))
+
+
+def build_stipend_requests(contexts: DataFrame) -> DataFrame:
+    """Stipend question over each notice's keyword context (notice_id, context)."""
+    return contexts.select("notice_id", F.lit("valor_bolsa").alias("field"), F.concat(F.lit(prompts.STIPEND_PROMPT), "context").alias("prompt"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +10,10 @@ from ..functions.frames import compute
 from ..functions.html import ANCHOR, all_matches, blocks, part, text_of
 from ..functions.text import blank, grab, has, head, none_if_blank
 from ..functions.titles import build_title, is_supplement, link_number, parent_number, title_score, link_text
+from ..functions.tree import panel_links
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, path, resolve_pdf_url
 
+# Headings and registration wording.
 HEADING = r"<h[234][^>]*>"
 # Month names the section dates use; any other month reads as June.
 SECTION_MONTHS = {"maio": "05", "junho": "06", "julho": "07"}
@@ -87,10 +90,6 @@ def collapse_sections(pages: DataFrame) -> DataFrame:
     """Collapse panels (tree form): panel title and its files, panels without files dropped."""
 
     def walk(batches):
-        import pandas as pd
-
-        from ..functions.tree import panel_links
-
         for pdf in batches:
             out = [
                 (pid, url, title, href)

@@ -10,6 +10,7 @@ from ..operators import fields as S
 from ..operators.chunks import build_queue, index_health, summarize_processing
 from ..session import shared_dir
 from ..streaming import events as E
+from .q_chunks import _HEALTH, _QUEUE
 from .q_fields import _STATE, _WORK
 from .registry import query
 
@@ -60,9 +61,11 @@ def emit_run_events(f):
     return out.select("name", "severity", "key", F.get_json_object("detail", "$.message").alias("message"))
 
 
-@query("emit_processing_event", "attachments chunks", None)
+@query("emit_processing_event", "attachments chunks", f"""WITH {_QUEUE}, {_HEALTH}, t AS (SELECT CAST(coalesce(sum(total),0) AS BIGINT) AS c, CAST(coalesce(sum(with_embedding),0) AS BIGINT) AS e, count(*) FILTER (WHERE NOT coalesce(fully_indexed,false)) AS p FROM qu LEFT JOIN hl ON qu.file_key = hl.file_id)
+SELECT 'DocumentProcessingCompleted' AS name, CASE WHEN p > 0 THEN 'warn' ELSE 'info' END AS severity, 'Document processing finished: '||CAST(c AS VARCHAR)||' chunks, '||CAST(e AS VARCHAR)||' embeddings, '||CAST(p AS VARCHAR)||' failures' AS message FROM t""")
 def emit_processing_event(f):
-    return E.processing_event(summarize_processing(index_health(f.chunks), build_queue(f.attachments)))
+    out = E.processing_event(summarize_processing(index_health(f.chunks), build_queue(f.attachments)))
+    return out.select("name", "severity", F.get_json_object("detail", "$.message").alias("message"))
 
 
 @query("incremental_pending", "", None)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import FIELDS
+from ..functions import prompts
+from ..operators import catalogue as C
 from ..operators import retrieval as R
 from . import duck as d
 from .registry import query
@@ -214,12 +216,39 @@ def build_requests_query_text(f):
     return R.build_field_queries(f.notices)
 
 
+_EX = "CASE field " + " ".join(f"WHEN '{n}' THEN {d.q(prompts.example(n))}" for n in FIELDS) + " END"
+_VR = "||chr(10)||".join(d.q(x) for x in prompts.VALUE_RULES)
 _HEADSQL = "||chr(10)||".join(d.q(x) for x in R.PROMPT_HEAD)
 
 
 @query("build_requests", f"{USES} notices", f"""WITH {_BLK}, cx AS (SELECT notice_id, field, CAST(floor((rn-1)/3) AS BIGINT) AS batch, left(string_agg(piece, chr(10)||chr(10) ORDER BY rn), 3000) AS context FROM bl WHERE rn <= 15 GROUP BY 1, 2, 3)
-SELECT cx.notice_id, field, 'topk' AS stage, batch, {_HEADSQL}||chr(10)||chr(10)||{_LINE}||chr(10)||chr(10)||'Campo: '||field||chr(10)||'REGRAS CRÍTICAS:'||chr(10)||'- Responda em UMA linha JSON, exatamente com a chave "'||field||'"'
- ||chr(10)||'- Não inclua outras chaves'||chr(10)||'- Não inclua quebras de linha fora do JSON'||chr(10)||chr(10)||'CONTEÚDO:'||chr(10)||context AS prompt FROM cx JOIN notices n ON CAST(n.id AS VARCHAR) = cx.notice_id""")
+SELECT cx.notice_id, field, 'topk' AS stage, batch, {_HEADSQL}||chr(10)||chr(10)||{_LINE}||chr(10)||chr(10)||'Campo: '||field||chr(10)||'Formato esperado (exemplo): '||{_EX}||chr(10)||chr(10)||'REGRAS CRÍTICAS:'||chr(10)||'- Responda em UMA linha JSON, exatamente com a chave "'||field||'"'
+ ||chr(10)||'- Não inclua outras chaves'||chr(10)||'- Não inclua quebras de linha fora do JSON'||CASE WHEN field = 'valor_projeto' THEN chr(10)||{_VR} ELSE '' END||chr(10)||chr(10)||'CONTEÚDO:'||chr(10)||context AS prompt FROM cx JOIN notices n ON CAST(n.id AS VARCHAR) = cx.notice_id""")
 def build_requests(f):
     out = R.build_requests(R.topk_batches(_blocks(f)), f.notices, "topk")
     return out.withColumn("batch", F.col("batch").cast("long"))
+
+
+_AUDIT = "||chr(10)||".join(d.q(x) for x in prompts.AUDIT_HEAD)
+_CELLS = " UNION ALL ".join(
+    f"SELECT id, numero, titulo, fonte, '{c}' AS field, CASE WHEN coalesce(lower(trim({c})),'') NOT IN ('','não informado') THEN '\"'||{c}||'\"' ELSE 'null' END AS before FROM notices"
+    for c in ("prazo_inscricao", "valor_projeto", "sobre_programa", "criterios_elegibilidade")
+)
+
+
+@query("build_requests_audit", "notices", f"""WITH c AS ({_CELLS}) SELECT id AS notice_id, field, {_AUDIT}||chr(10)||'Edital: '||coalesce(numero,'N/A')||' — '||titulo||chr(10)||'Fonte: '||fonte||chr(10)||chr(10)||'Campo: '||field||chr(10)||'Valor atual (extração): '||before||chr(10)||chr(10)
+ ||CASE WHEN id % 2 = 0 THEN 'Trecho usado na extração (origem: topk):'||chr(10)||'trecho '||CAST(id AS VARCHAR) ELSE {d.q(prompts.NO_EVIDENCE)} END||chr(10)||chr(10)||'Orientação do campo:'||chr(10)||CASE field {" ".join(f"WHEN '{n}' THEN {d.q(t)}" for n, t in prompts.GUIDANCE.items())} END
+ ||chr(10)||chr(10)||'Formato de saída: APENAS JSON válido (uma linha se possível) com:'||chr(10)||'- a chave do campo "'||field||'" com o valor final (tipo correto: string, boolean, objeto timeline, ou null)'||chr(10)||'- a chave "_audit" com objeto {{ "decision": "accept"|"replace"|"reject", "reason": "breve, PT-BR" }}'
+ ||chr(10)||'Exemplo de chaves: "'||field||'" e "_audit".'||chr(10)||'Referência de tipo/estrutura: {{"'||field||'":"texto..."}} ou {{"'||field||'": null}}' AS prompt FROM c""")
+def build_requests_audit(f):
+    targets = C.audit_targets(f.notices).where("action = 'audit'").where(F.col("field").isin(*C.ALWAYS_AUDITED))
+    snippet = F.when(F.col("id") % 2 == 0, F.concat(F.lit("trecho "), "id"))
+    return R.build_audit_requests(targets.withColumns({"source": F.lit("topk"), "snippet": snippet}), f.notices)
+
+
+@query("build_requests_stipend", f"{USES}", f"""WITH {_ORD}, k AS (SELECT notice_id, id, content, {_KW} AS kw FROM od), r AS (SELECT *, row_number() OVER (PARTITION BY notice_id ORDER BY kw DESC, id) AS rn FROM k),
+p AS (SELECT *, coalesce(sum(length(content) + 5) OVER (PARTITION BY notice_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(content) > 12000 AS big FROM r WHERE rn <= 10), o AS (SELECT *, max(CASE WHEN big THEN 1 ELSE 0 END) OVER (PARTITION BY notice_id ORDER BY rn) AS over FROM p)
+SELECT notice_id, 'valor_bolsa' AS field, {d.q(prompts.STIPEND_PROMPT)}||string_agg(chr(10)||'---'||chr(10)||content, '' ORDER BY rn) AS prompt FROM o WHERE over = 0 GROUP BY 1""")
+def build_requests_stipend(f):
+    rows = R.notice_chunks(_pairs(f), f.stored("chunks"), "content")
+    return R.build_stipend_requests(R.keyword_rank_context(rows, _TERMS, 10, 12000, positive=False))

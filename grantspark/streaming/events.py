@@ -87,6 +87,7 @@ def format_messages(routed: DataFrame, source: str | None = None, detail_type: s
     return routed.withColumn("text", text)
 
 
+# The component names below are fixed values the event consumers filter on.
 def _event(name: Column, severity: Column, message: Column, component: str, props: Column, key: Column) -> list[Column]:
     body = F.struct(
         F.sha2(F.concat_ws("/", name, key), 256).alias("id"), name.alias("name"), severity.alias("severity"), message.alias("message"),
