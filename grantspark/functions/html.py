@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank, grab, squish, sub
+from .text import blank, squish
 
 ANCHOR = r"<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)<\/a>"
 FRAME_SRC = r"<(?:iframe|embed|object)\s[^>]*?src\s*=\s*[\"']([^\"']*)[\"']"

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.html import ANCHOR, all_matches, block_text, element, part, text_of
-from ..functions.text import WB_END, WB_START, blank, grab, grab_all, has, head, none_if_blank, sub
+from ..functions.text import WB_END, WB_START, grab, grab_all, has, head, none_if_blank, sub
 from ..functions.urls import absolute_url, bare_host, decoded, path, query
 
 # Words and patterns of call pages.

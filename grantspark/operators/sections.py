@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.frames import compute
 from ..functions.html import ANCHOR, all_matches, blocks, part, text_of
 from ..functions.text import blank, grab, has, head, none_if_blank
-from ..functions.titles import build_title, is_supplement, link_number, parent_number, title_score, link_text
+from ..functions.titles import build_title, is_supplement, link_number, title_score, link_text
 from ..functions.tree import panel_links
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, path, resolve_pdf_url
 

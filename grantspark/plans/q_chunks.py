@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..operators import chunks as C
-from . import duck as d
 from .derived import _CLEAN
 from .registry import query
 

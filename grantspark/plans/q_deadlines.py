@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import deadlines as D
 from ..operators import deadlines as T
-from . import duck as d
 from .derived import AS_OF
 from .registry import query
 

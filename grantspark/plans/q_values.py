@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import money as M
 from ..operators import values as V
 from . import duck as d
 from .registry import query

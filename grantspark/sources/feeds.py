@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.dates import br_date, in_year, year_in
 from ..functions.html import all_matches, ANCHOR, FRAME_SRC, part
