@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, shared_dir  # noqa: F401  (re-exported)
 
@@ -31,10 +32,19 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+#: Rows of an Arrow batch: texts are long, and a batch of Spark's default of 10,000 would hold many MB several times over.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
+    return T.StructType(list(schema) + list(T.StructType.fromDDL(ddl)))
+
+
 def worker_state(key, make: Callable):
     """A value made once per Python worker (a tokenizer, a word cache) and kept for its later tasks."""
     box = sys.__dict__.setdefault("_grantspark_worker_state", {})
