@@ -34,8 +34,14 @@ CAPACITY = 2048
 END_ID = 0
 #: Words a worker remembers the ids of, in each of two generations.
 KEPT_WORDS = 250_000
-#: The solver's bounds: times the rest is solved again, pricing rounds each, fillings per round.
-PASSES, ROUNDS, FILLINGS = 6, 24, 96
+#: The solver's bounds: pricing rounds of a pass, fillings per round.
+ROUNDS, FILLINGS = 24, 96
+#: Passes: whole parts of fillings with at most so many empty places are fixed, then the rest is solved again.
+SLACKS = (0, 0, 0, 2, 8, 32)
+#: After a pass that leaves at most so many pieces, best fit of the rest is tried; the best pass counts.
+LAST_STEP = 200_000
+#: Where the bound by total length is missed, such shares of the fixed fillings are given back to the last step.
+RELEASED = (0.2, 0.4, 0.6, 0.8)
 #: Weight of a length when it is covered once: exp(-RATE).
 RATE = 3.0
 
@@ -198,31 +204,49 @@ def best_fit(counts: np.ndarray, capacity: int) -> Counter:
 def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
     """[(filling, how often)], holding every length exactly as often as it is counted.
 
-    ``counts[s]`` pieces have length s. Fillings are bounded by PASSES * ROUNDS * FILLINGS, plus those of the last step: each pass
-    leaves less than one filling's worth of each fractional filling.
+    ``counts[s]`` pieces have length s. Fillings are bounded by len(SLACKS) * ROUNDS * FILLINGS, plus those of the last step.
     """
     left = counts.astype(np.int64).copy()
     plan: Counter = Counter()
     if left[capacity]:
         plan[((capacity, 1),)] = int(left[capacity])
         left[capacity] = 0
-    for _ in range(PASSES):
-        if not left.any():
-            break
-        before = int(left.sum())
+    # short pieces held back let the last step close its gaps
+    spare = np.where(np.arange(capacity + 1) <= capacity // 4, left // 4, left // 20)
+    left -= spare
+    best: tuple[int, Counter, Counter] | None = None
+    for slack in SLACKS:
         used = fractional(left, capacity)
         fill = {k: sum(s * a for s, a in k) for k in used}
         for key in sorted(used, key=lambda k: (-fill[k], -used[k], k)):
-            if fill[key] < capacity * 0.995:
+            if fill[key] < capacity - slack:
                 break
             often = min([round(used[key] + 0.25), *(int(left[s]) // a for s, a in key)])
             if often > 0:
                 plan[key] += often
                 for s, a in key:
                     left[s] -= often * a
-        if before - int(left.sum()) < before // 50:
+        if left.sum() > LAST_STEP and slack < SLACKS[-1]:
+            continue
+        rest = best_fit(left + spare, capacity)
+        total = sum(plan.values()) + sum(rest.values())
+        if best is None or total <= best[0]:
+            best = total, plan.copy(), rest
+    total, fixed, _ = best
+    least = -(-int((counts * np.arange(capacity + 1)).sum()) // capacity)
+    for share in RELEASED:
+        if total == least:
             break
-    plan.update(best_fit(left, capacity))
+        held = Counter({k: n if k[0][0] == capacity else n - int(n * share + 0.5) for k, n in fixed.items()})
+        loose = counts.astype(np.int64).copy()
+        for key, n in held.items():
+            for s, a in key:
+                loose[s] -= n * a
+        if loose.sum() <= LAST_STEP:
+            other = best_fit(loose, capacity)
+            if (now := sum(held.values()) + sum(other.values())) < total:
+                total, best = now, (now, held, other)
+    plan = +best[1] + best[2]
     return sorted(plan.items(), key=lambda x: (-sum(s * a for s, a in x[0]), x[0]))
 
 
