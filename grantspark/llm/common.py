@@ -46,11 +46,15 @@ def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
 
 
 def worker_state(key, make: Callable):
-    """A value made once per Python worker (a tokenizer, a word cache) and kept for its later tasks."""
+    """A value made once per Python worker (a tokenizer, a word cache) and kept for its later tasks.
+
+    ``key`` is a name, or begins with one; of each name only the latest is kept.
+    """
     box = sys.__dict__.setdefault("_grantspark_worker_state", {})
-    if key not in box:
-        box[key] = make()
-    return box[key]
+    kind = key if isinstance(key, str) else key[0]
+    if kind not in box or box[kind][0] != key:
+        box[kind] = key, make()
+    return box[kind][1]
 
 
 def texts_of(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[list[str]]:
