@@ -43,39 +43,32 @@ def with_offsets(records: DataFrame, *order: str) -> DataFrame:
     return records.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 
 
-def _keys(level: int) -> list[Column]:
-    """Key of the node of a level that a record or node belongs to."""
-    if level == 0:
-        return [F.col("file"), F.col("offset")]
-    if level <= len(RANGE_BITS):
-        bits = RANGE_BITS[level - 1]
+def _above(level: int, depth: int) -> list[Column]:
+    """Key of a node's parent, from the node's own key; the top level is one node."""
+    if level + 1 == depth:
+        return [F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("offset")]
+    if level < len(RANGE_BITS):
+        bits = RANGE_BITS[level]
         return [F.col("file"), F.shiftleft(F.shiftright("offset", bits), bits).alias("offset")]
-    return [F.shiftright("file", FILE_BITS * (level - len(RANGE_BITS) - 1)).alias("file"), F.lit(0).cast("long").alias("offset")]
-
-
-def _above(level: int) -> list[Column]:
-    """Key of a node's parent, from the node's own key."""
-    if level + 1 <= len(RANGE_BITS):
-        return _keys(level + 1)
     step = 0 if level == len(RANGE_BITS) else FILE_BITS
     return [F.shiftright("file", step).alias("file"), F.lit(0).cast("long").alias("offset")]
 
 
 def depth_of(*replicas: DataFrame) -> int:
-    """Levels above the records until all files share one node."""
-    depth = len(RANGE_BITS) + 1
+    """Levels above the records: ranges, files, runs of files until at most one of either sign is left, and the root."""
+    runs = 0
     for replica in replicas:
         least, most = replica.agg(F.min("file"), F.max("file")).first()
-        while most is not None and least >> FILE_BITS * (depth - len(RANGE_BITS) - 1) != most >> FILE_BITS * (depth - len(RANGE_BITS) - 1):
-            depth += 1
-    return depth
+        while most is not None and (least >> FILE_BITS * runs < -1 or most >> FILE_BITS * runs > 0):
+            runs += 1
+    return len(RANGE_BITS) + 1 + runs + 1
 
 
 def merkle(records: DataFrame, depth: int) -> list[DataFrame]:
     """Node tables (file, offset, hash) by level; level 0 holds the records (file, offset, hash), stored by the caller."""
     levels = [records.select("file", "offset", "hash")]
     for level in range(depth):
-        file, offset = _above(level)
+        file, offset = _above(level, depth)
         children = F.array_sort(F.collect_list(F.struct(F.col("child_file"), F.col("child_offset"), F.col("hash"))))
         nodes = (
             levels[-1].select(file, offset, F.col("file").alias("child_file"), F.col("offset").alias("child_offset"), "hash")
@@ -96,7 +89,7 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     for level in range(depth, -1, -1):
         a, b = left[level], right[level]
         if suspects is not None:
-            file, offset = _above(level)
+            file, offset = _above(level, depth)
             a, b = (
                 x.withColumns({"up_file": file, "up_offset": offset}).join(suspects, ["up_file", "up_offset"], "left_semi").select("file", "offset", "hash")
                 for x in (a, b)
