@@ -13,8 +13,11 @@ words of the factors are the duplicate spans, judged on the input.
 Anchors, contexts and windows are counted with partial aggregation and joined by sort-merge joins, so a passage that a
 third of all documents share is a large count and no large group; what comes together per document is no more than that document.
 
+Marks meet their text by a 128-bit digest of it, so copies share their marks and nothing depends on the order of a scan.
+
 A null text has no words. Texts shorter than the window keep everything. Repeated rows are documents of their own (each is a
-copy of the other); ids may be null or repeat, as rows carry a number of their own. Further columns are carried along.
+copy of the other); ids may be null or repeat, as no id is used. Further columns are carried along, but for those named
+like the added ones.
 """
 
 from __future__ import annotations
@@ -98,19 +101,19 @@ def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def _index(window: int, gram: int, others: int):
-    import zstandard
-
+def _index(window: int, gram: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        from pyspark import TaskContext
+
+        # numbers rows so that a row's number plus a word offset is unique and in the rows' order
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            sizes, packed, offsets, parts = [], [], [0], []
-            for x in batch.column(others):
-                body = x.as_buffer().to_pybytes() if x.is_valid else b""
-                words = body.split()
+            rows, offsets, parts = [], [0], []
+            for x in batch.column(1):
+                words = x.as_buffer().to_pybytes().split() if x.is_valid else []
                 found = anchors_of(words, window, gram)
-                sizes.append(len(words))
-                packed.append(pack(body) if x.is_valid else None)
+                rows.append(number)
+                number += len(words) + 1
                 offsets.append(offsets[-1] + len(found[0]))
                 parts.append(found)
             offsets = pa.array(offsets, pa.int32())
@@ -118,10 +121,7 @@ def _index(window: int, gram: int, others: int):
                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([p[i] for p in parts]).view(kind) if parts else np.zeros(0, kind)))
                 for i, kind in enumerate((np.int32, np.int32, np.int64, np.int64))
             ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:others], pa.array(sizes, pa.int64()), pa.array(packed, pa.binary()), *lists],
-                names=[*batch.schema.names[:others], "_words", "_packed", "first", "count", "anchor", "context"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), batch.column(0), *lists], names=["row", "key", "first", "count", "anchor", "context"])
 
     return index
 
@@ -130,14 +130,18 @@ def _boundary(window: int):
     import zstandard
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack, seen = zstandard.ZstdDecompressor().decompress, set()
         for batch in batches:
-            for row, packed, marks in zip(*(batch.column(i) for i in range(3))):
+            for key, packed, marks in zip(*(batch.column(i) for i in range(3))):
+                key = key.as_py()
+                if key in seen:  # copies of a text
+                    continue
+                seen.add(key)
                 starts = [i for m in marks.as_py() for i in range(m["first"], m["first"] + m["count"])]
                 both = np.frombuffer(b"".join(window_hashes(unpack(packed.as_buffer()).split(), starts, window)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(starts), row.as_py(), np.int64)), pa.array(starts, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())],
-                    names=["_row", "first", "h1", "h2"],
+                    [pa.array([key] * len(starts), pa.binary()), pa.array(starts, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())],
+                    names=["key", "first", "h1", "h2"],
                 )
 
     return hashes
@@ -149,17 +153,19 @@ def _stripped(window: int, others: int):
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            removed, spans, kept = [], [], []
-            for n, packed, marks in zip(*(batch.column(others + i) for i in range(3))):
+            sizes, removed, spans, kept = [], [], [], []
+            for packed, marks in zip(batch.column(others), batch.column(others + 1)):
                 body = unpack(packed.as_buffer()) if packed.is_valid else None
-                if body is None or not marks.is_valid:
+                words = body.split() if body else []
+                sizes.append(len(words))
+                if not marks.is_valid:
                     removed.append(0), spans.append([]), kept.append(body)
                     continue
-                mask = covered(n.as_py(), [(m["first"], m["count"]) for m in marks.as_py()], window)
+                mask = covered(len(words), [(m["first"], m["count"]) for m in marks.as_py()], window)
                 removed.append(int(mask.sum())), spans.append(spans_of(mask))
-                kept.append(b" ".join(compress(body.split(), (~mask).tolist())))
+                kept.append(b" ".join(compress(words, (~mask).tolist())))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:others + 1], pa.array(removed, pa.int64()),
+                [*batch.columns[:others], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                  pa.array(kept, pa.binary()).cast(pa.string())],
                 names=[*batch.schema.names[:others], "n_words", "n_removed", "spans", "kept"],
@@ -168,37 +174,49 @@ def _stripped(window: int, others: int):
     return strip
 
 
+@F.arrow_udf(T.BinaryType())
+def _packed(column: pa.Array) -> pa.Array:
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([pack(x.as_buffer().to_pybytes()) if x.is_valid else None for x in column], pa.binary())
+
+
 def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WINDOW_WORDS, gram: int = GRAM_WORDS) -> DataFrame:
     """The other columns of ``docs`` with n_words, n_removed, spans (word offsets, stop excluded) and kept.
 
     ``kept`` is the text itself (null for null) where nothing is removed, else the words left, joined by one space.
     """
-    others = [c for c in docs.columns if c != text_col]
-    body = docs.select(*[F.col(f"`{c}`") for c in others], F.monotonically_increasing_id().alias("_row"), F.col(text_col).cast("binary").alias("_body"))
-    width = len(others) + 1
+    others = [c for c in docs.columns if c != text_col and c not in ("n_words", "n_removed", "spans", "kept", "key")]
+    carried = [F.col(f"`{c}`") for c in others]
+    body = F.col(f"`{text_col}`").cast("binary")
+    key = F.unhex(F.md5(F.coalesce(body, F.lit("").cast("binary"))))
+    texts = docs.select(*carried, key.alias("key"), body.alias("_body"))
     index = materialize(
-        body.mapInArrow(_index(window, gram, width), with_fields(
-            T.StructType(list(body.schema)[:width]),
-            "_words long, _packed binary, first array<int>, count array<int>, anchor array<long>, context array<long>",
-        )), "blocks",
+        texts.select("key", "_body").mapInArrow(_index(window, gram), "row long, key binary, first array<int>, count array<int>, anchor array<long>, context array<long>"),
+        "blocks",
     )
-    anchors = index.select("_row", F.explode(F.arrays_zip("first", "count", "anchor", "context")).alias("a")).select("_row", "a.*")
+    keys = index.filter(F.size("first") > 0).select("row", "key")
+    anchors = index.select("row", F.explode(F.arrays_zip("first", "count", "anchor", "context")).alias("a")).select("row", "a.*")
+    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("least"), F.max("context").alias("most"))
+    shared = shared.filter("n > 1").select("anchor", (F.col("least") < F.col("most")).alias("mixed"))
+    repeated = materialize(anchors.join(shared, "anchor"), "repeated")
     contexts = materialize(
-        anchors.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("_row", "first", "count")).alias("at")), "contexts"
+        repeated.groupBy("anchor", "context")
+        .agg(F.count("*").alias("n"), F.max("mixed").alias("mixed"), F.min("row").alias("row"), F.min(F.col("row") + F.col("first")).alias("place"), F.min("count").alias("count"))
+        .filter("n > 1 OR mixed"), "contexts",
     )
-    shared = contexts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).filter("total > 1").select("anchor", "kinds")
-    contexts = contexts.join(shared, "anchor")
-    inside = anchors.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("_row", "first", "count")
+    inside = repeated.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("row", "first", "count")
     # one occurrence stands for all of a context; those of contexts with several are known and only serve as a reference
-    boundary = contexts.filter("kinds > 1").select("at.*").groupBy("_row").agg(F.collect_list(F.struct("first", "count")).alias("marks"))
+    boundary = contexts.filter("mixed").select("row", (F.col("place") - F.col("row")).cast("int").alias("first"), "count")
+    looked_up = boundary.join(keys, "row").groupBy("key").agg(F.collect_set(F.struct("first", "count")).alias("marks"))
     windows = materialize(
-        index.select("_row", "_packed").join(boundary, "_row").mapInArrow(_boundary(window), "_row long, first int, h1 long, h2 long"), "windows"
+        texts.select("key", _packed("_body").alias("_packed")).join(looked_up, "key").mapInArrow(_boundary(window), "key binary, first int, h1 long, h2 long"), "windows"
     )
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    outside = windows.join(twice, ["h1", "h2"], "left_semi").select("_row", "first", F.lit(1).alias("count"))
-    marks = inside.union(outside).groupBy("_row").agg(F.collect_list(F.struct("first", "count")).alias("_marks"))
-    found = index.select(*[F.col(f"`{c}`") for c in others], "_row", "_words", "_packed").join(marks, "_row", "left")
-    found = found.select(*[F.col(f"`{c}`") for c in others], "_words", "_packed", "_marks")
+    outside = windows.join(twice, ["h1", "h2"], "left_semi").select("key", "first", F.lit(1).alias("count"))
+    marks = inside.join(keys, "row").select("key", "first", "count").distinct().union(outside).groupBy("key").agg(F.collect_list(F.struct("first", "count")).alias("_marks"))
+    found = texts.select(*carried, "key", _packed("_body").alias("_packed")).join(marks, "key", "left").select(*carried, "_packed", "_marks")
     return found.mapInArrow(
         _stripped(window, len(others)),
         with_fields(T.StructType(list(found.schema)[:len(others)]), "n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept string"),
