@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIELDS
 from ..functions.frames import compute
+from ..functions.vectors import finite
 from ..functions.text import blank, grab, head, none_if_blank, squish, strip
 
 # Markers and labels of the stored chunk text.
@@ -196,7 +197,7 @@ def _small_file_batches(items: DataFrame, max_items: int, max_chars: int) -> Dat
     return folded.select("file_id", F.inline(F.arrays_zip(F.col("xs.chunk_index").alias("chunk_index"), F.col("ids").alias("batch_id"))))
 
 
-def _large_file_batches(items: DataFrame, max_items: int, max_chars: int, block: int) -> DataFrame:
+def blockwise_batches(items: DataFrame, max_items: int, max_chars: int, block: int) -> DataFrame:
     """The same fold for files of any length, without any task seeing a whole file.
 
     A batch holds at most ``max_items`` chunks, so the first batch that starts inside a block starts at
@@ -262,28 +263,26 @@ def pack_embed_batches(chunks: DataFrame, text: str = "content", max_text: int =
     items = chunks.select("file_id", "chunk_index", F.least(F.length(blank(text)), F.lit(max_text)).alias("len"))
     long_files = items.where(F.col("chunk_index") == block).select("file_id").distinct()
     small = _small_file_batches(items.join(long_files, "file_id", "left_anti"), max_items, max_chars)
-    large = _large_file_batches(items.join(long_files, "file_id", "left_semi"), max_items, max_chars, block)
+    large = blockwise_batches(items.join(long_files, "file_id", "left_semi"), max_items, max_chars, block)
     return small.unionByName(large)
 
 
 def coerce_vector(raw: Column | str) -> Column:
-    """Vector from JSON text, flat or one level nested; shorter than four is no vector."""
-    flat = F.from_json(blank(raw), "array<double>")
-    nested = F.get(F.from_json(blank(raw), "array<array<double>>"), F.lit(0))
-    v = F.when(strip(raw).startswith("[["), nested).otherwise(flat)
+    """Vector from JSON text, flat or in any number of one-vector lists; shorter than four is no vector."""
+    inner = F.regexp_replace(F.regexp_replace(strip(raw), r"^(?:\[\s*)+(?=\[)", ""), r"\](?:\s*[,\]][\s\S]*)?$", "]")
+    v = F.from_json(inner, "array<double>")
     return F.when(F.size(v) >= 4, v)
 
 
 def check_embeddings(embeddings: DataFrame, dimension: int, column: str = "embedding") -> DataFrame:
     """Counts of vectors that are present, long enough, finite and of the expected dimension."""
     v = F.col(column)
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    ok = (F.size(v) >= 4) & finite & (F.size(v) == dimension)
+    ok = (F.size(v) >= 4) & finite(v) & (F.size(v) == dimension)
     return embeddings.agg(
         F.count("*").alias("rows"),
         F.count_if(v.isNotNull()).alias("present"),
         F.count_if(F.coalesce(F.size(v) >= 4, F.lit(False))).alias("long_enough"),
-        F.count_if(F.coalesce(finite, F.lit(False))).alias("finite"),
+        F.count_if(F.coalesce(finite(v), F.lit(False))).alias("finite"),
         F.count_if(F.coalesce(F.size(v) == dimension, F.lit(False))).alias("right_dimension"),
         F.count_if(F.coalesce(ok, F.lit(False))).alias("valid"),
     )

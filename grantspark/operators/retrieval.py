@@ -1,8 +1,8 @@
 """Chunks of a notice: association, ranking and context packing.
 
 Frames: ``assoc`` (notice_id, id, file_id, content, chunk_index, embeddings), ``scores`` (notice_id,
-field, id, score), ``ranked`` (notice_id, field, rn, id, score). The row caps of the reading order are
-part of the results; they also bound every per-notice window and fold below.
+field, id, score), ``ranked`` (notice_id, field, rn, id, score). Every chunk is read; positions and running
+sums are found in blocks and shifted by the blocks before, so no window or fold holds a whole notice.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..config import FIELDS
 from ..functions import prompts
 from ..functions.frames import compute
+from ..functions.vectors import finite
+from ..session import materialize
+from .chunks import BLOCK, blockwise_batches
 from ..functions.text import blank, has, head, none_if_blank, strip
 
 # How many chunks each field looks at; every other field takes DEFAULT_TOP_K.
@@ -71,7 +74,7 @@ def associate_chunks(chunks: DataFrame, attachments: DataFrame) -> DataFrame:
 
 def notice_chunks(pairs: DataFrame, chunks: DataFrame, *columns: str) -> DataFrame:
     """Pairs with the chunk columns a job needs, and the order index."""
-    picked = chunks.select("id", F.col("metadata.chunk_index").alias("order_index"), *columns)
+    picked = chunks.select("id", F.col("metadata.file_id").alias("meta_file_id"), F.col("metadata.chunk_index").alias("order_index"), *columns)
     return pairs.join(picked, "id")
 
 
@@ -79,18 +82,33 @@ def rank_notices_by_chunks(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("notice_id").agg(F.count("*").alias("chunks")).orderBy(F.desc("chunks"), "notice_id")
 
 
-def reading_order(rows: DataFrame, cap: int) -> DataFrame:
-    """Position of each chunk in its notice, only the first ``cap`` kept."""
-    w = W.partitionBy("notice_id").orderBy(F.coalesce("order_index", F.lit(-1)), "id")
-    return rows.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= cap)
+def reading_order(rows: DataFrame, cap: int | None = None) -> DataFrame:
+    """Position of each chunk in its notice; with ``cap`` only the first so many.
+
+    The keys alone are dealt out by range and stored, ranked within (notice, range), and shifted by the counts of the ranges before.
+    """
+    keys = rows.select("notice_id", "id", F.coalesce("order_index", F.lit(-1)).alias("oi")).repartitionByRange("notice_id", "oi", "id")
+    keys = materialize(keys.withColumn("block", F.spark_partition_id()), "reading-order")
+    sizes = keys.groupBy("notice_id", "block").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy("notice_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
+    sizes = sizes.select("notice_id", "block", F.coalesce(before, F.lit(0)).alias("before"))
+    rank = F.row_number().over(W.partitionBy("notice_id", "block").orderBy("oi", "id"))
+    placed = keys.withColumn("rank", rank).join(sizes, ["notice_id", "block"]).select("notice_id", "id", (F.col("rank") + F.col("before")).alias("pos"))
+    if cap is not None:
+        placed = placed.where(F.col("pos") <= cap)
+    return rows.join(placed, ["notice_id", "id"])
 
 
 def plain_text_spans(ordered: DataFrame) -> DataFrame:
     """[start, end) of each chunk in its notice's text, chunks joined by two characters."""
-    rows = compute(ordered.select("notice_id", "id", "pos", "content"), n=F.length(strip("content"))).where("n > 0")
-    w = W.partitionBy("notice_id").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    end = F.sum(F.col("n") + 2).over(w) - 2
-    return rows.withColumn("end", end).select("notice_id", "id", "pos", F.expr("end - n").alias("start"), "end")
+    rows = compute(ordered.select("notice_id", "id", "pos", "content"), n=F.length(strip("content"))).where("n > 0").drop("content")
+    rows = rows.withColumn("block", F.floor(F.col("pos") / BLOCK))
+    sizes = rows.groupBy("notice_id", "block").agg(F.sum(F.col("n") + 2).alias("size"))
+    before = F.sum("size").over(W.partitionBy("notice_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
+    sizes = sizes.select("notice_id", "block", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.sum(F.col("n") + 2).over(W.partitionBy("notice_id", "block").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
+    rows = rows.withColumn("inside", inside).join(sizes, ["notice_id", "block"]).withColumn("end", F.col("before") + F.col("inside") - 2)
+    return rows.select("notice_id", "id", "pos", F.expr("end - n").alias("start"), "end")
 
 
 def plain_lengths(ordered: DataFrame) -> DataFrame:
@@ -135,7 +153,7 @@ def cosine_scores(rows: DataFrame, queries: dict[str, Sequence[float]], full: bo
         return pd.Series(list(score_batch(v.tolist())))
 
     def valid(c: str) -> Column:
-        return F.when(F.size(c) >= 4, F.col(c))
+        return F.when((F.size(c) >= 4) & finite(c), F.col(c))
 
     vector = valid("embedding") if full else F.coalesce(valid("embedding_perguntas"), valid("embedding"))
     v = rows.withColumn("_v", vector).where("_v IS NOT NULL").select(*keep, scores("_v").alias("_s"))
@@ -157,7 +175,7 @@ def add_lexical_bonus(rows: DataFrame) -> DataFrame:
 
 
 def topk_by_field(scores: DataFrame, bonus: DataFrame | None = None, top_k: dict[str, int] | None = None) -> DataFrame:
-    """Best chunks per notice and field; ties by id."""
+    """Best chunks per notice and field; ties by id. ``bonus`` may also be a column of the scores."""
     ks = {**FIELD_TOP_K, **(top_k or {})}
     k = F.lit(DEFAULT_TOP_K)
     for name, n in ks.items():
@@ -165,6 +183,7 @@ def topk_by_field(scores: DataFrame, bonus: DataFrame | None = None, top_k: dict
     k = F.greatest(F.lit(5), F.least(F.lit(300), k))
     if bonus is not None:
         scores = scores.join(bonus.select("notice_id", "id", "bonus"), ["notice_id", "id"], "left")
+    if "bonus" in scores.columns:
         extra = F.when(F.col("field") == "valor_projeto", F.coalesce("bonus", F.lit(0.0))).otherwise(0.0)
         scores = scores.withColumn("score", F.col("score") + extra).drop("bonus")
     w = W.partitionBy("notice_id", "field").orderBy(F.desc("score"), "id")
@@ -174,16 +193,22 @@ def topk_by_field(scores: DataFrame, bonus: DataFrame | None = None, top_k: dict
     return ranked.where(F.col("rn") <= k)
 
 
-def chunk_block() -> Column:
+def file_name(rows: DataFrame) -> Column:
+    """The chunk's file, else the file its metadata name, else its own id."""
+    return F.coalesce(*[none_if_blank(c) for c in ("file_id", "meta_file_id") if c in rows.columns], F.col("id").cast("string"))
+
+
+def chunk_block(rows: DataFrame) -> Column:
     """Header line and text of a chunk inside a context."""
-    fid = F.coalesce(none_if_blank("file_id"), F.col("id").cast("string"))
+    fid = file_name(rows)
     index = F.coalesce(F.col("order_index").cast("string"), F.lit("?"))
     return F.concat(F.lit("--- Documento "), head(fid, 12), F.lit(" / chunk "), index, F.lit(" ---\n"), strip("content"))
 
 
 def with_blocks(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
-    texts = chunks.select("id", "file_id", F.col("metadata.chunk_index").alias("order_index"), "content")
-    return compute(ranked.join(texts, "id"), piece=chunk_block()).drop("content")
+    texts = chunks.select("id", "file_id", F.col("metadata.file_id").alias("meta_file_id"), F.col("metadata.chunk_index").alias("order_index"), "content")
+    rows = ranked.join(texts, "id")
+    return compute(rows, piece=chunk_block(rows)).drop("content")
 
 
 def _joined(order: str, piece: str = "piece") -> Column:
@@ -215,14 +240,15 @@ def pack_context_reading(blocks: DataFrame, budget: int = 3000) -> DataFrame:
 def sample_context(ordered: DataFrame, rows: int = 100, budget: int = 6000) -> DataFrame:
     """First ``rows`` chunks in reading order as one context, cut at the budget."""
     s = ordered.where(F.col("pos") <= rows)
-    fid = F.coalesce(none_if_blank("file_id"), F.col("id").cast("string"))
-    s = compute(s, piece=F.concat(F.lit("--- Documento "), head(fid, 12), F.lit(" ---\n"), strip("content")))
+    s = compute(s, piece=F.concat(F.lit("--- Documento "), head(file_name(s), 12), F.lit(" ---\n"), strip("content")))
     return s.groupBy("notice_id").agg(F.substring(_joined("pos"), 1, budget).alias("context"))
 
 
-def topk_batches(blocks: DataFrame, per_batch: int = 3, max_batches: int = 5, max_chars: int = 3000) -> DataFrame:
-    """Ranked chunks in fixed groups, text cut at the cap."""
-    b = blocks.where(F.col("rn") <= per_batch * max_batches).withColumn("batch", F.floor((F.col("rn") - 1) / per_batch).cast("int"))
+def topk_batches(blocks: DataFrame, per_batch: int = 3, max_batches: int | None = None, max_chars: int = 3000) -> DataFrame:
+    """All ranked chunks (or the first ``max_batches`` groups) in fixed groups, text cut at a request's budget."""
+    if max_batches is not None:
+        blocks = blocks.where(F.col("rn") <= per_batch * max_batches)
+    b = blocks.withColumn("batch", F.floor((F.col("rn") - 1) / per_batch).cast("int"))
     return b.groupBy("notice_id", "field", "batch").agg(
         F.substring(_joined("rn"), 1, max_chars).alias("context"), F.count("*").alias("pieces"), F.min_by("id", "rn").alias("first_id")
     )
@@ -231,27 +257,16 @@ def topk_batches(blocks: DataFrame, per_batch: int = 3, max_batches: int = 5, ma
 def scan_batches(ordered: DataFrame, per_batch: int = 3, max_chars: int = 3000, max_batches: int = 0) -> DataFrame:
     """Whole notice in reading order, greedy batches of few blocks and bounded text.
 
-    The counter restarts with each batch, so this is a fold over one notice's blocks; the reading cap
-    bounds them, and the blocks travel with their lengths so that the notice is read once.
+    The counter restarts with each batch, so this is a fold over a notice; it runs blockwise, on lengths alone, like the
+    batches of a long file. ``ordered`` must hold chunks with text only, their positions without a gap.
     """
-    rows = compute(ordered.where(strip("content") != ""), piece=chunk_block()).select("notice_id", "id", "pos", "piece")
-    blocks = rows.groupBy("notice_id").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "piece"))).alias("xs"))
-    lengths = F.transform("xs", lambda x: F.length(x["piece"]))
-    start = F.struct(F.lit(0).alias("items"), F.lit(0).alias("chars"), F.lit(0).alias("batch"), F.array().cast("array<int>").alias("ids"))
-
-    def step(acc, n):
-        joined = F.when(acc["items"] > 0, acc["chars"] + 2 + n).otherwise(n)
-        close = (acc["items"] > 0) & ((acc["items"] >= per_batch) | (joined > max_chars))
-        batch = F.when(close, acc["batch"] + 1).otherwise(acc["batch"])
-        return F.struct(
-            F.when(close, 1).otherwise(acc["items"] + 1).alias("items"), F.when(close, n).otherwise(joined).alias("chars"),
-            batch.alias("batch"), F.array_append(acc["ids"], batch).alias("ids"),
-        )
-
-    folded = compute(blocks, ids=F.aggregate(lengths, start, step)["ids"])
-    numbered = folded.select(
-        "notice_id", F.inline(F.arrays_zip(F.col("xs.pos").alias("pos"), F.col("xs.id").alias("id"), F.col("xs.piece").alias("piece"), F.col("ids").alias("batch")))
+    rows = compute(ordered, piece=chunk_block(ordered)).select("notice_id", "id", "pos", "piece")
+    lengths = rows.select(
+        F.col("notice_id").cast("string").alias("file_id"), (F.col("pos") - 1).cast("int").alias("chunk_index"), (F.length("piece") + 2).alias("len")
     )
+    batches = blockwise_batches(lengths, per_batch, max_chars + 2, BLOCK)
+    batches = batches.select(F.col("file_id").alias("notice_id"), (F.col("chunk_index") + 1).alias("pos"), F.col("batch_id").alias("batch"))
+    numbered = rows.join(batches, ["notice_id", "pos"])
     if max_batches:
         numbered = numbered.where(F.col("batch") < max_batches)
     return numbered.groupBy("notice_id", "batch").agg(
@@ -259,11 +274,11 @@ def scan_batches(ordered: DataFrame, per_batch: int = 3, max_chars: int = 3000,
     )
 
 
-def sliding_windows(lengths: DataFrame, size: int = 3000, overlap: int = 1000, max_windows: int = 24) -> DataFrame:
-    """Overlapping windows over each notice's text until its end or the maximum."""
+def sliding_windows(lengths: DataFrame, size: int = 3000, overlap: int = 1000, max_windows: int | None = None) -> DataFrame:
+    """Overlapping windows over each notice's text until its end (or the maximum)."""
     step = max(1, size - overlap)
     last = F.ceil(F.greatest(F.col("plain_len") - size, F.lit(0)) / F.lit(step)).cast("int")
-    idx = F.sequence(F.lit(0), F.least(last, F.lit(max_windows - 1)))
+    idx = F.sequence(F.lit(0), last if max_windows is None else F.least(last, F.lit(max_windows - 1)))
     w = lengths.where("plain_len > 0").select("notice_id", "plain_len", F.explode(idx).alias("window_index"))
     return w.select("notice_id", "window_index", (F.col("window_index") * step).alias("w_start"),
                     F.least(F.col("plain_len"), F.col("window_index") * step + size).alias("w_end"))

@@ -24,8 +24,8 @@ def _pairs(f):
     return R.associate_chunks(f.stored("chunks"), f.attachments)
 
 
-def _ordered(f, cap=2500, *cols):
-    return R.reading_order(R.notice_chunks(_pairs(f), f.stored("chunks"), "file_id", "content", *cols), cap)
+def _ordered(f):
+    return R.reading_order(R.notice_chunks(_pairs(f), f.stored("chunks"), "file_id", "content"))
 
 
 @query("associate_chunks", USES, f"WITH {_PAIRS} SELECT * FROM pr")
@@ -38,12 +38,12 @@ def rank_notices_by_chunks(f):
     return R.rank_notices_by_chunks(_pairs(f))
 
 
-@query("reading_order", USES, f"WITH {_ORD} SELECT notice_id, id, pos FROM od WHERE pos <= 2500")
+@query("reading_order", USES, f"WITH {_ORD} SELECT notice_id, id, pos FROM od")
 def reading_order(f):
     return _ordered(f).select("notice_id", "id", F.col("pos").cast("long").alias("pos"))
 
 
-_SPANS = f"{_ORD}, sp AS (SELECT notice_id, id, pos, CAST(e - n AS BIGINT) AS start, CAST(e AS BIGINT) AS \"end\" FROM (SELECT *, length(content) AS n, sum(length(content) + 2) OVER (PARTITION BY notice_id ORDER BY pos) - 2 AS e FROM od WHERE pos <= 2500) t)"
+_SPANS = f"{_ORD}, sp AS (SELECT notice_id, id, pos, CAST(e - n AS BIGINT) AS start, CAST(e AS BIGINT) AS \"end\" FROM (SELECT *, length(content) AS n, sum(length(content) + 2) OVER (PARTITION BY notice_id ORDER BY pos) - 2 AS e FROM od) t)"
 _LEN = f"{_SPANS}, ln AS (SELECT notice_id, max(\"end\") AS plain_len FROM sp GROUP BY 1)"
 
 
@@ -53,7 +53,7 @@ def plain_text_spans(f):
 
 
 _SLIDE = f"""{_LEN}, sw AS (SELECT notice_id, i AS window_index, i * 2000 AS w_start, least(plain_len, i * 2000 + 3000) AS w_end FROM
- (SELECT notice_id, plain_len, unnest(range(0, CAST(least(ceil(greatest(plain_len - 3000, 0) / 2000.0), 23) AS BIGINT) + 1)) AS i FROM ln) t)"""
+ (SELECT notice_id, plain_len, unnest(range(0, CAST(ceil(greatest(plain_len - 3000, 0) / 2000.0) AS BIGINT) + 1)) AS i FROM ln) t)"""
 
 
 def _windows(f):
@@ -73,7 +73,7 @@ def span_overlap_join(f):
 
 _FIELDROWS = "(VALUES " + ",".join(f"({i},'{n}')" for i, n in enumerate(FIELDS)) + ") AS fv(k, field)"
 _QV = f"qv AS (SELECT fv.field, CAST(e.embedding AS DOUBLE[]) AS vector FROM embeddings e JOIN {_FIELDROWS} ON e.vec_id = fv.k)"
-_SCORES = f"""{_ORD}, {_QV}, ve AS (SELECT notice_id, id, content, CAST(coalesce(embedding_perguntas, embedding) AS DOUBLE[]) AS v FROM od WHERE pos <= 1200 AND coalesce(embedding_perguntas, embedding) IS NOT NULL),
+_SCORES = f"""{_ORD}, {_QV}, ve AS (SELECT notice_id, id, content, CAST(coalesce(embedding_perguntas, embedding) AS DOUBLE[]) AS v FROM od WHERE coalesce(embedding_perguntas, embedding) IS NOT NULL),
 sc AS (SELECT notice_id, field, id, list_cosine_similarity(v, vector) AS score FROM ve CROSS JOIN qv)"""
 
 
@@ -83,7 +83,7 @@ def _queries(f):
 
 
 def _scores(f):
-    return R.cosine_scores(_ordered(f, 1200, "embedding", "embedding_perguntas"), _queries(f))
+    return R.cosine_scores(R.notice_chunks(_pairs(f), f.stored("chunks"), "embedding", "embedding_perguntas"), _queries(f))
 
 
 @query("cosine_scores", USES, f"WITH {_SCORES} SELECT notice_id, field, id, round(score, 6) AS score FROM sc")
@@ -111,7 +111,8 @@ _TOPK = f"""{_SCORES}, tk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTIT
 
 
 def _top(f):
-    return R.topk_by_field(_scores(f), R.add_lexical_bonus(_ordered(f, 1200)))
+    rows = R.add_lexical_bonus(R.notice_chunks(_pairs(f), f.stored("chunks"), "embedding", "embedding_perguntas", "content")).drop("content")
+    return R.topk_by_field(R.cosine_scores(rows, _queries(f), keep=("notice_id", "id", "bonus")))
 
 
 @query("topk_by_field", USES, f"WITH {_TOPK} SELECT notice_id, field, id, rn, round(score, 6) AS score FROM tk")
@@ -137,18 +138,20 @@ def pack_context_reading(f):
     return R.pack_context_reading(_blocks(f)).drop("pieces")
 
 
-@query("pack_context_reading_sample", USES, f"""WITH {_ORD} SELECT notice_id, left(string_agg('--- Documento '||left(file_id, 12)||' ---'||chr(10)||content, chr(10)||chr(10) ORDER BY pos), 6000) AS context FROM od WHERE pos <= 100 GROUP BY 1""")
+@query("pack_context_reading_sample", USES, f"""WITH {_ORD}, ov AS (SELECT *, row_number() OVER (PARTITION BY notice_id ORDER BY pos) AS vp FROM od WHERE coalesce(embedding_perguntas, embedding) IS NOT NULL)
+SELECT notice_id, left(string_agg('--- Documento '||left(file_id, 12)||' ---'||chr(10)||content, chr(10)||chr(10) ORDER BY pos), 6000) AS context FROM ov WHERE vp <= 100 GROUP BY 1""")
 def pack_context_reading_sample(f):
-    return R.sample_context(_ordered(f, 1200))
+    usable = f.stored("chunks").where("embedding_perguntas IS NOT NULL OR embedding IS NOT NULL")
+    return R.sample_context(R.reading_order(R.notice_chunks(_pairs(f), usable, "file_id", "content")))
 
 
-@query("topk_batches", USES, f"WITH {_BLK} SELECT notice_id, field, CAST(floor((rn-1)/3) AS BIGINT) AS batch, left(string_agg(piece, chr(10)||chr(10) ORDER BY rn), 3000) AS context, count(*) AS pieces FROM bl WHERE rn <= 15 GROUP BY 1, 2, 3")
+@query("topk_batches", USES, f"WITH {_BLK} SELECT notice_id, field, CAST(floor((rn-1)/3) AS BIGINT) AS batch, left(string_agg(piece, chr(10)||chr(10) ORDER BY rn), 3000) AS context, count(*) AS pieces FROM bl GROUP BY 1, 2, 3")
 def topk_batches(f):
     return R.topk_batches(_blocks(f)).drop("first_id").withColumn("batch", F.col("batch").cast("long"))
 
 
 @query("scan_batches", USES, f"""WITH {_ORD},
-x AS (SELECT notice_id, pos, '--- Documento '||left(file_id, 12)||' / chunk '||coalesce(CAST(m_index AS VARCHAR),'?')||' ---'||chr(10)||content AS piece FROM od WHERE pos <= 2500),
+x AS (SELECT notice_id, pos, '--- Documento '||left(file_id, 12)||' / chunk '||coalesce(CAST(m_index AS VARCHAR),'?')||' ---'||chr(10)||content AS piece FROM od),
 w AS (SELECT notice_id, pos, 1 AS items, length(piece) AS chars, CAST(0 AS BIGINT) AS batch FROM x WHERE pos = 1 UNION ALL
  SELECT x.notice_id, x.pos, CASE WHEN w.items >= 3 OR w.chars + 2 + length(x.piece) > 3000 THEN 1 ELSE w.items + 1 END, CASE WHEN w.items >= 3 OR w.chars + 2 + length(x.piece) > 3000 THEN length(x.piece) ELSE w.chars + 2 + length(x.piece) END,
  CASE WHEN w.items >= 3 OR w.chars + 2 + length(x.piece) > 3000 THEN w.batch + 1 ELSE w.batch END FROM w JOIN x ON x.notice_id = w.notice_id AND x.pos = w.pos + 1)
@@ -177,7 +180,7 @@ def window_plan(f):
 
 
 @query("subsample_long", USES, f"""WITH {_ORD},
-r AS (SELECT notice_id, id, pos, length(content) + 2 AS w FROM od WHERE pos <= 2500),
+r AS (SELECT notice_id, id, pos, length(content) + 2 AS w FROM od),
 z AS (SELECT notice_id, count(*) AS total, sum(w) - 2 AS chars, greatest(1, CAST(ceil(count(*) * 0.22) AS INT)) AS cut FROM r GROUP BY 1),
 q AS (SELECT r.*, total, cut, CASE WHEN chars <= 20000 THEN 'all' WHEN pos <= cut THEN 'head' WHEN pos > total - cut THEN 'tail' ELSE 'middle' END AS part FROM r JOIN z ON r.notice_id = z.notice_id),
 g AS (SELECT notice_id, sum(w) FILTER (WHERE part='head') - 2 AS hc, sum(w) FILTER (WHERE part='tail') - 2 AS tc, greatest(coalesce(sum(w) FILTER (WHERE part='middle'),0) - 2, 0) AS mc, count(*) FILTER (WHERE part='middle') AS mn FROM q WHERE part <> 'all' GROUP BY 1),
@@ -221,7 +224,7 @@ _VR = "||chr(10)||".join(d.q(x) for x in prompts.VALUE_RULES)
 _HEADSQL = "||chr(10)||".join(d.q(x) for x in R.PROMPT_HEAD)
 
 
-@query("build_requests", f"{USES} notices", f"""WITH {_BLK}, cx AS (SELECT notice_id, field, CAST(floor((rn-1)/3) AS BIGINT) AS batch, left(string_agg(piece, chr(10)||chr(10) ORDER BY rn), 3000) AS context FROM bl WHERE rn <= 15 GROUP BY 1, 2, 3)
+@query("build_requests", f"{USES} notices", f"""WITH {_BLK}, cx AS (SELECT notice_id, field, CAST(floor((rn-1)/3) AS BIGINT) AS batch, left(string_agg(piece, chr(10)||chr(10) ORDER BY rn), 3000) AS context FROM bl GROUP BY 1, 2, 3)
 SELECT cx.notice_id, field, 'topk' AS stage, batch, {_HEADSQL}||chr(10)||chr(10)||{_LINE}||chr(10)||chr(10)||'Campo: '||field||chr(10)||'Formato esperado (exemplo): '||{_EX}||chr(10)||chr(10)||'REGRAS CRÍTICAS:'||chr(10)||'- Responda em UMA linha JSON, exatamente com a chave "'||field||'"'
  ||chr(10)||'- Não inclua outras chaves'||chr(10)||'- Não inclua quebras de linha fora do JSON'||CASE WHEN field = 'valor_projeto' THEN chr(10)||{_VR} ELSE '' END||chr(10)||chr(10)||'CONTEÚDO:'||chr(10)||context AS prompt FROM cx JOIN notices n ON CAST(n.id AS VARCHAR) = cx.notice_id""")
 def build_requests(f):

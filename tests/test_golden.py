@@ -131,6 +131,29 @@ def test_batches_of_long_files_equal_the_plain_fold(spark):
         assert [got[(f, i)] for i in range(len(lens))] == brute_batches([min(n, 512) for n in lens], 8, 2048)
 
 
+def test_a_long_notice_is_read_whole(spark):
+    """Over 5,000 chunks of one notice: every position once, in order, none cut."""
+    df = spark.range(6000).select(
+        F.lit("n").alias("notice_id"), F.pmod(F.col("id") * 7919, F.lit(6000)).alias("id"), F.lit("f").alias("file_id"),
+        F.concat(F.lit("chunk "), "id").alias("content"), F.expr("CAST(id % 3 AS INT)").alias("order_index"),
+    )
+    ordered = retrieval.reading_order(df)
+    rows = sorted((r["order_index"], r["id"]) for r in df.collect())
+    assert {r["id"]: r["pos"] for r in ordered.collect()} == {i: k + 1 for k, (_, i) in enumerate(rows)}
+    spans = sorted((r["start"], r["end"]) for r in retrieval.plain_text_spans(ordered).collect())
+    assert spans[0][0] == 0 and all(b == a + 2 for (_, a), (b, _) in zip(spans, spans[1:])) and len(spans) == 6000
+    assert sum(r["pieces"] for r in retrieval.scan_batches(ordered).collect()) == 6000
+
+
+def test_vectors_unwrap_and_reject(spark):
+    raw = ["[1,2,3,4]", "[[1,2,3,4]]", "[ [ [1,2,3,4] ] ]", "[1,2]", "no", "[[1,2,3,4],[5,6,7,8]]"]
+    df = spark.createDataFrame([(r,) for r in raw], "raw string")
+    got = [r["v"] for r in df.select(chunks.coerce_vector("raw").alias("v")).collect()]
+    assert got == [[1, 2, 3, 4]] * 3 + [None, None, [1, 2, 3, 4]]
+    nan = spark.createDataFrame([("n", 1, [1.0, float("nan"), 2.0, 3.0], [1.0, 0.0, 0.0, 0.0])], "notice_id string, id long, embedding_perguntas array<double>, embedding array<double>")
+    assert [r["score"] for r in retrieval.cosine_scores(nan, {"vagas": [1.0, 0.0, 0.0, 0.0]}).collect()] == [1.0]
+
+
 def test_scan_batches_partition_in_order(spark):
     rng = random.Random(3)
     rows = [("n1", i, "f", "y" * rng.choice((10, 900, 1500, 3200)), i) for i in range(60)]
