@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,16 +52,19 @@ _CHUNKS = re.compile(r"[^\S\x1c-\x1f]*(?:[^\s]|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
 _ASCII_SPACED = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text in parts that are tokenized independently of each other."""
+def chunks_of(text: str) -> tuple[list[str], list[str] | None]:
+    """The text in parts that are tokenized independently of each other.
+
+    Most texts are one part without a space before it and words with one: ([first part], words). Others: (parts, None).
+    """
     if any(s in text for s in _ASCII_SPACED) if text.isascii() else _SPACED.search(text):
-        return _CHUNKS.findall(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + w for w in rest]
+        return _CHUNKS.findall(text), None
+    first, *words = text.split(" ")
+    return [first], words
 
 
 class ChunkIds:
-    """Ids of text parts by the tokenizers library; frequent parts are remembered in two generations."""
+    """Ids of text parts by the tokenizers library; words with a space before them are remembered in two generations."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,28 +74,68 @@ class ChunkIds:
         self.tokenizer.encode_special_tokens = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        # tokens that begin with a space, which the byte-level vocabulary spells so
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
 
     def encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        found: list[bytes] = []
+        for i in range(0, len(parts), 2000):
+            found += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts[i:i + 2000], add_special_tokens=False)]
+        return found
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters with a space before each; many at a time, cut where a token begins with the space."""
+        found: list[bytes] = []
+        runs = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast([" " + " ".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(run):
+                found += self.encode([" " + w for w in run])
+                continue
+            raw, cuts = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
+            found += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return found
+
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of new words; marks after a word's letters are a part of their own."""
+        young, old = self.young, self.old
+        marked, unknown, hard = [], set(), []
+        for w in words:
+            if w in old:
+                young[w] = old[w]
+                continue
+            base = w.rstrip(".,;:!?")
+            if len(base) < len(w) and base.isalpha():
+                marked.append((w, base, w[len(base):]))
+                if base not in young:
+                    if base in old:
+                        young[base] = old[base]
+                    else:
+                        unknown.add(base)
+            elif w.isalpha():
+                unknown.add(w)
+            else:
+                hard.append(w)
+        unknown = list(unknown)
+        young.update(zip(unknown, self.encode_words(unknown)))
+        young.update(zip(hard, self.encode([" " + w for w in hard])))
+        marks = list({mark for _, _, mark in marked}.difference(self.marks))
+        self.marks.update(zip(marks, self.encode(marks)))
+        for w, base, mark in marked:
+            young[w] = young[base] + self.marks[mark]
 
     def texts(self, texts: list[str], end: bytes) -> list[bytes]:
         cut = [chunks_of(t) for t in texts]
-        young = self.young
-        missing = {c for chunks in cut for c in chunks if c not in young}
-        known = {c: self.old[c] for c in missing if c in self.old}
-        unknown = [c for c in missing if c not in known]
-        young.update(known)
-        passing = {}  # too long to be worth keeping
-        for i in range(0, len(unknown), 2000):
-            some = unknown[i:i + 2000]
-            for c, ids in zip(some, self.encode(some)):
-                (young if len(c) <= 48 else passing)[c] = ids
-        found = [b"".join([young[c] if c in young else passing[c] for c in chunks]) + end for chunks in cut] if passing else [
-            b"".join([young[c] for c in chunks]) + end for chunks in cut
-        ]
-        if len(young) > KEPT_WORDS:
-            self.old, self.young = young, {}
-        return found
+        if len(self.young) > KEPT_WORDS:
+            self.old, self.young, self.marks = self.young, {}, {}
+        self.learn(set().union(*[words for _, words in cut if words]).difference(self.young))
+        parts = list({p for parts, _ in cut for p in parts})
+        others = dict(zip(parts, self.encode(parts)))
+        word_ids = self.young.__getitem__
+        return [b"".join([*map(others.__getitem__, parts), *map(word_ids, words or ()), end]) for parts, words in cut]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
