@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank, squish
+from .text import blank, let, squish
 
-ANCHOR = r"<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)<\/a>"
-FRAME_SRC = r"<(?:iframe|embed|object)\s[^>]*?src\s*=\s*[\"']([^\"']*)[\"']"
+#: An attribute's value, quoted or bare.
+_VALUE = r"[\"']?((?<=[\"'])[^\"']*|(?<![\"'])[^\s\"'>]+)[\"']?"
+ANCHOR = rf"<a\s[^>]*?href\s*=\s*{_VALUE}[^>]*>(.*?)<\/a>"
+FRAME_SRC = rf"<(?:iframe|embed|object)\s[^>]*?src\s*=\s*{_VALUE}"
 #: Elements whose text is the surroundings of a link.
 BLOCK_OPEN = r"<(li|tr|article|section|td|p)([\s>])"
 MARK = "\u0001"
-# Named entities seen in link texts.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+_ENTITY = r"^&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: All named entities of HTML 4, from the standard library; a space that does not break is a space.
+_NAMED = json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"})
+
+
+def _decoded(piece: Column) -> Column:
+    """A piece of text that may begin with an entity; unknown ones stay as they are."""
+    name = F.regexp_extract(piece, _ENTITY, 1)
+    digits = F.lower(F.substring(name, 2, 7))
+    code = F.when(digits.startswith("x"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).try_cast("int")
+    numeric = F.when(code == 160, " ").when(
+        code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    )
+    char = F.when(name.startswith("#"), numeric).otherwise(F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), name))
+    rest = F.substring(piece, F.length(name) + 3, F.length(piece))
+    return F.when(name == "", piece).otherwise(F.coalesce(F.concat(char, rest), piece))
 
 
 def unescape(c: Column | str) -> Column:
-    out = blank(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Text with its named and numeric entities decoded, once."""
+    return let(blank(c), lambda t: F.when(F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "(?=&)"), _decoded), "")).otherwise(t))
 
 
 def text_of(html: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import in_year
 from ..functions.frames import compute
-from ..functions.html import ANCHOR, all_matches, element, part, text_of, without
+from ..functions.html import ANCHOR, all_matches, element, part, text_of, unescape, without
 from ..functions.text import blank, grab_all, has, head, none_if_blank
 from ..functions.titles import build_title, is_supplement, is_weak, preferred_title, text_number
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, resolve_pdf_url
@@ -26,9 +26,9 @@ def extract_anchors(pages: DataFrame, *keep: str) -> DataFrame:
     parsed = F.transform(
         all_matches("html", ANCHOR),
         lambda m: F.struct(
-            F.trim(part(m, ANCHOR, 1)).alias("href"),
+            F.trim(unescape(part(m, ANCHOR, 1))).alias("href"),
             text_of(part(m, ANCHOR, 2)).alias("text"),
-            absolute_url(part(m, ANCHOR, 1), F.col("url")).alias("abs"),
+            absolute_url(unescape(part(m, ANCHOR, 1)), F.col("url")).alias("abs"),
         ),
     )
     found = pages.select("page_id", "url", *keep, F.posexplode(parsed).alias("pos", "a"))
@@ -89,10 +89,12 @@ def detail_title(html, fallback):
     )
 
 
-def enrich_from_detail(headers: DataFrame, pdfs: DataFrame, details: DataFrame, max_details: int = 120) -> tuple[DataFrame, DataFrame]:
-    """Add title, number and files of each notice's own page, for the first pages of each source."""
-    order = W.partitionBy("fonte").orderBy("page_id", "pos", "chave")
-    todo = headers.where("needs_detail").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= max_details)
+def enrich_from_detail(headers: DataFrame, pdfs: DataFrame, details: DataFrame, max_details: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Add title, number and files of each notice's own page; with ``max_details`` of each source's first pages only."""
+    todo = headers.where("needs_detail")
+    if max_details is not None:
+        order = W.partitionBy("fonte").orderBy("page_id", "pos", "chave")
+        todo = todo.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= max_details)
     todo = todo.select("fonte", "chave", "link", "titulo", "numero")
     # one copy of a page is enough, and a page several rows point to is parsed once
     wanted = details.join(todo.select(F.col("link").alias("url")).distinct(), "url", "left_semi")

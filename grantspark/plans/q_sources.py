@@ -189,7 +189,7 @@ def merge_listing_rows(f):
 
 _CUR, _CAND = d.link_text("titulo"), d.link_text("page_title")
 _ENRICHED = f"""{_ROWS},
-todo AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fonte ORDER BY ord, chave) AS rn FROM h WHERE needs_detail) t WHERE rn <= 120),
+todo AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fonte ORDER BY ord, chave) AS rn FROM h WHERE needs_detail) t),
 pg AS (SELECT url AS plink, arg_min(html, page_id) AS html, min(page_id) AS page_id FROM details GROUP BY url),
 pt AS (SELECT *, {d.text_of(d.element('html', 'h1'))} AS h1, {d.text_of(d.element('html', 'title'))} AS tt FROM pg),
 f0 AS (SELECT todo.*, CASE WHEN length(h1) > 6 THEN left(h1, 400) WHEN length(tt) > 6 AND NOT {d.has('tt', '404|erro')} THEN left(tt, 400) ELSE titulo END AS page_title
@@ -399,13 +399,13 @@ def filter_current_year(f):
 
 
 @query("dedupe_first_wins", "", """
-WITH k AS (SELECT doc_id, left(text, 120) AS key, source||'/'||CAST(doc_id % 300 AS VARCHAR)||'.pdf' AS pdf_url FROM documents),
+WITH k AS (SELECT doc_id, text AS key, source||'/'||CAST(doc_id % 300 AS VARCHAR)||'.pdf' AS pdf_url FROM documents),
 g AS (SELECT key, min(doc_id) AS keep FROM k WHERE key <> '' GROUP BY key)
 SELECT g.keep AS row_id, k.pdf_url FROM k JOIN g ON k.key = g.key GROUP BY 1, 2""")
 def dedupe_first_wins(f):
-    rows = f.documents.select(F.col("doc_id").alias("row_id"), F.substring("text", 1, 120).alias("titulo"))
+    rows = f.documents.select(F.col("doc_id").alias("row_id"), F.col("text").alias("titulo"))
     files = f.documents.select(F.col("doc_id").alias("row_id"), F.concat("source", F.lit("/"), F.col("doc_id") % 300, F.lit(".pdf")).alias("pdf_url"))
-    kept, donated = listings.dedupe_first_wins(rows, F.substring("titulo", 1, 120), ["row_id"], files)
+    kept, donated = listings.dedupe_first_wins(rows, F.col("titulo"), ["row_id"], files)
     return kept.select("row_id").join(donated, "row_id")
 
 
