@@ -245,10 +245,32 @@ def best_fit(counts: np.ndarray, capacity: int) -> Counter:
     return Counter(tuple(sorted(Counter(f).items(), reverse=True)) for f in sealed + [f for fs in rooms.values() for f in fs])
 
 
+def many_at_once(left: np.ndarray, capacity: int, most: int) -> Counter:
+    """Best fit by whole counts until at most ``most`` pieces are left (``left`` is lowered).
+
+    A filling takes the longest piece, then again the longest that fits, and is used as often as its lengths allow; each use
+    exhausts a length or brings it below what one filling takes, so a few thousand steps are enough for any corpus.
+    """
+    found: Counter = Counter()
+    while left.sum() > most:
+        filling, room, free = Counter(), capacity, left.copy()
+        while room > 0 and len(fits := np.flatnonzero(free[:room + 1])):
+            s = int(fits[-1])
+            filling[s] += 1
+            free[s] -= 1
+            room -= s
+        often = min(int(left[s]) // a for s, a in filling.items())
+        found[tuple(sorted(filling.items(), reverse=True))] += often
+        for s, a in filling.items():
+            left[s] -= often * a
+    return found
+
+
 def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
     """[(filling, how often)], holding every length exactly as often as it is counted.
 
-    ``counts[s]`` pieces have length s. Fillings are bounded by len(SLACKS) * ROUNDS * FILLINGS, plus those of the last step.
+    ``counts[s]`` pieces have length s. Different fillings are bounded by len(SLACKS) * ROUNDS * FILLINGS, those of
+    ``many_at_once`` and LAST_STEP of the last step, whatever the counts are.
     """
     left = counts.astype(np.int64).copy()
     plan: Counter = Counter()
@@ -257,6 +279,7 @@ def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int
         left[capacity] = 0
     # short pieces held back let the last step close its gaps
     spare = np.where(np.arange(capacity + 1) <= capacity // 4, left // 4, left // 20)
+    spare = (spare * min(1.0, LAST_STEP / 2 / max(1, int(spare.sum())))).astype(np.int64)
     left -= spare
     best: tuple[int, Counter, Counter] | None = None
     for slack in SLACKS:
@@ -270,8 +293,10 @@ def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple, int
                 plan[key] += often
                 for s, a in key:
                     left[s] -= often * a
-        if left.sum() > LAST_STEP and slack < SLACKS[-1]:
-            continue
+        if left.sum() > LAST_STEP:
+            if slack < SLACKS[-1]:
+                continue
+            plan.update(many_at_once(left, capacity, LAST_STEP // 2))
         rest = best_fit(left + spare, capacity)
         total = sum(plan.values()) + sum(rest.values())
         if best is None or total <= best[0]:

@@ -113,6 +113,19 @@ def test_plan_is_whole_and_near_the_bound(seed):
     assert bins <= 1.01 * -(-int((counts * np.arange(cap + 1)).sum()) // cap) + 1
 
 
+def test_plan_of_a_huge_corpus_is_small_and_whole():
+    rng = np.random.default_rng(9)
+    cap = 256
+    counts = np.zeros(cap + 1, int)
+    counts[1:] = rng.integers(0, 10**9, cap)
+    plan = packing.solve(counts, cap)
+    held = np.zeros(cap + 1, int)
+    for filling, often in plan:
+        for s, a in filling:
+            held[s] += a * often
+    assert (held == counts).all() and len(plan) < 100_000
+
+
 def test_program_beats_best_fit_where_that_wastes():
     counts = np.zeros(101, int)
     counts[[45, 30, 25, 34, 33, 23]] = 300, 300, 600, 400, 800, 200
