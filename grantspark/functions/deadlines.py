@@ -117,8 +117,13 @@ def text_deadline(text: Column | str) -> Column:
 
 
 def phases(timeline: Column | str) -> Column:
-    t = F.from_json(blank(timeline), TIMELINE)
-    return F.coalesce(t["fases"], F.from_json(t["json"], TIMELINE)["fases"])
+    """Phases of a timeline, which may be wrapped as text in another one, up to three times."""
+    level = F.from_json(blank(timeline), TIMELINE)
+    found = [level["fases"]]
+    for _ in range(3):
+        level = F.from_json(level["json"], TIMELINE)
+        found.append(level["fases"])
+    return F.coalesce(*found)
 
 
 def timeline_deadline(timeline: Column | str) -> Column:

@@ -99,10 +99,11 @@ def score_notices(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: boo
     scope is shuffled.
     """
     notices = _as_array(recent, as_of).scalar()
-    # % and _ in an area act as wildcards; a backslash stands for itself. Only such areas need a pattern,
-    # which is compiled per comparison; the others are plain substrings.
+    # % and _ in an area act as wildcards, a backslash takes the next character literally. Only such areas need a
+    # pattern, which is compiled per comparison; the others are plain substrings.
     wild = F.col("area").rlike(r"[%_\\]")
-    pattern = F.concat(F.lit("%"), F.replace(F.lower("area"), F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    # before any other character the backslash is left out, as the pattern language knows no such pair
+    pattern = F.regexp_replace(F.concat(F.lit("%"), F.lower("area"), F.lit("%")), r"(\\[%_\\])|\\", "$1")
     base = scopes.withColumns({"_word": F.when(F.col("area") != "", F.lower("area")), "_pattern": F.when(wild, pattern), "_ns": notices})
 
     def one(n):

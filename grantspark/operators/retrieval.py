@@ -61,7 +61,9 @@ def associate_chunks(chunks: DataFrame, attachments: DataFrame) -> DataFrame:
         .where("notice_id IS NOT NULL AND file_key <> ''")
         .distinct()
     )
-    keys = chunks.where(strip("content") != "").select(
+    if "content" in chunks.columns:  # else the chunks were already reduced to those with text
+        chunks = chunks.where(strip("content") != "")
+    keys = chunks.select(
         "id", none_if_blank(F.trim("file_id")).alias("f"), none_if_blank(F.trim("metadata.file_id")).alias("mf"), none_if_blank(F.trim("metadata.edital_id")).alias("mn")
     )
     direct = keys.where("mn IS NOT NULL").select(F.col("mn").alias("notice_id"), "id")

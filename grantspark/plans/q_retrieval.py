@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIELDS
 from ..functions import prompts
+from ..functions.text import strip
 from ..operators import catalogue as C
 from ..operators import retrieval as R
 from . import duck as d
@@ -24,18 +25,24 @@ def _pairs(f):
     return R.associate_chunks(f.stored("chunks"), f.attachments)
 
 
+def _pairs_only(f):
+    """The pairs where no text or vector is read later: only keys are stored."""
+    keys = f.stored("chunk_keys", lambda: f.chunks.where(strip("content") != "").select("id", "file_id", "metadata"))
+    return R.associate_chunks(keys, f.attachments)
+
+
 def _ordered(f):
     return R.reading_order(R.notice_chunks(_pairs(f), f.stored("chunks"), "file_id", "content"))
 
 
 @query("associate_chunks", USES, f"WITH {_PAIRS} SELECT * FROM pr")
 def associate_chunks(f):
-    return _pairs(f)
+    return _pairs_only(f)
 
 
 @query("rank_notices_by_chunks", USES, f"WITH {_PAIRS} SELECT notice_id, count(DISTINCT id) AS chunks FROM pr GROUP BY 1")
 def rank_notices_by_chunks(f):
-    return R.rank_notices_by_chunks(_pairs(f))
+    return R.rank_notices_by_chunks(_pairs_only(f))
 
 
 @query("reading_order", USES, f"WITH {_ORD} SELECT notice_id, id, pos FROM od")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,10 +30,15 @@ def build_session(app: str = "grantspark", master: str | None = None, **extra: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates: the cluster's ``spark.checkpoint.dir``; a local one only if unset."""
+    """Folder for written intermediates: the cluster's ``spark.checkpoint.dir``; a local one only in local mode.
+
+    Executors of a cluster do not see each other's temporary folders, so there an unset folder is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = os.path.join(tempfile.gettempdir(), "grantspark-shared")
     spark.conf.set("spark.checkpoint.dir", local)
     return local

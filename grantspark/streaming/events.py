@@ -25,13 +25,26 @@ STACK_CHARS = 1500
 PROPS_CHARS = 1200
 CUT = "\n…(truncated)"
 LOCAL_OFFSET = "-03:00"
+#: Fixed value: the form of a time that readers of events accept.
+RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:[.,]\d+)?(?:Z|[+-]\d{2}:\d{2})$"
 
 
 def parse_events(raw: DataFrame, column: str = "detail") -> DataFrame:
     """Typed event and the first reason it is not valid (NULL when it is)."""
     e = raw.withColumn("event", F.from_json(column, EVENT_SCHEMA)).withColumn("at", F.try_to_timestamp(F.col("event.at")))
     empty = lambda c: strip(f"event.{c}") == ""
-    malformed = F.try_parse_json(column).isNull() | ~F.trim(column).startswith("{")
+    json = F.try_parse_json(column)
+
+    def text_at(path: str) -> Column:
+        """Absent, null or a JSON string."""
+        kind = F.schema_of_variant(F.try_variant_get(json, path, "variant"))
+        return F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
+
+    typed = [text_at(f"$.{c}") for c in ("id", "name", "severity", "message", "at", "component")]
+    timed = F.coalesce(F.col("event.at").rlike(RFC3339), F.lit(True))
+    malformed = json.isNull() | ~F.trim(column).startswith("{") | ~timed
+    for ok in typed:
+        malformed = malformed | ~ok
     invalid = (
         F.when(malformed, "malformed")
         .when(empty("id"), "missing id")

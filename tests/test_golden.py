@@ -145,6 +145,44 @@ def test_a_long_notice_is_read_whole(spark):
     assert sum(r["pieces"] for r in retrieval.scan_batches(ordered).collect()) == 6000
 
 
+def test_events_are_read_strictly(spark):
+    body = '"id":"1","name":"n","severity":"info","message":"m"'
+    cases = {
+        '{%s,"at":"2024-01-01T00:00:00Z"}' % body: None, '{%s,"at":"2024-01-01"}' % body: "malformed", '{%s}' % body: "missing at",
+        '{"id":5,"name":"n","severity":"info","message":"m","at":"2024-01-01T00:00:00Z"}': "malformed", "[]": "malformed", "{bad": "malformed",
+        '{%s,"at":"2024-01-01T00:00:00.5-03:00","props":{"a":1}}' % body: None,
+    }
+    got = events.parse_events(spark.createDataFrame([(c,) for c in cases], "detail string")).select("detail", "invalid").collect()
+    assert {r["detail"]: r["invalid"] for r in got} == cases
+
+
+def test_wrapped_timelines(spark):
+    import json
+
+    text = json.dumps({"fases": [{"nome": "Submissão", "data_fim": "2026-05-10"}]})
+    for _ in range(4):
+        assert one(spark, F.size(D.phases("t")), t=text) == 1
+        text = json.dumps({"json": text})
+    assert one(spark, F.coalesce(F.size(D.phases("t")), F.lit(-1)), t=text) == -1
+
+
+def test_entities_and_bare_attributes(spark):
+    page = "<a class=z href=/f.pdf>um</a><a href='b?a=1&amp;b=2'>do&ccedil;e n&ordm; &#231;&#xE7; &foo;</a><a href=\"c d\">a&amp;lt;b</a>"
+    df = spark.createDataFrame([(1, "http://a.br/x/", page)], "page_id long, url string, html string")
+    got = [(r["href"], r["text"], r["abs"]) for r in listings.extract_anchors(df).orderBy("pos").collect()]
+    assert got == [("/f.pdf", "um", "http://a.br/f.pdf"), ("b?a=1&b=2", "doçe nº çç &foo;", "http://a.br/x/b?a=1&b=2"), ("c d", "a&lt;b", "http://a.br/x/c d")]
+
+
+def test_area_patterns_escape(spark):
+    scopes = spark.createDataFrame([(1, None, "x", a, 20) for a in ("a\\%b", "x_z", "q\\w", "plain")], "user_id long, empresa_id long, user_type string, area string, v_limit int")
+    notices = spark.createDataFrame(
+        [(i, None, None, None, None, None, None, None, t) for i, t in enumerate(("A%B", "aXb", "xyz", "qw", "plain"))],
+        "id long, is_researcher boolean, is_company boolean, data_encerramento string, valor_projeto string, valor string, sobre_programa string, criterios_elegibilidade string, titulo string",
+    ).withColumns({"area": F.lit(None).cast("string"), "descricao": F.lit(None).cast("string")})
+    got = {r["area"]: [x["edital_id"] for x in r["scored"] if recommend.REASON_AREA_PROFILE in x["motivos"]] for r in recommend.score_notices(scopes, notices, dt.date(2026, 1, 1)).collect()}
+    assert got == {"a\\%b": [0], "x_z": [2], "q\\w": [3], "plain": [4]}
+
+
 def test_vectors_unwrap_and_reject(spark):
     raw = ["[1,2,3,4]", "[[1,2,3,4]]", "[ [ [1,2,3,4] ] ]", "[1,2]", "no", "[[1,2,3,4],[5,6,7,8]]"]
     df = spark.createDataFrame([(r,) for r in raw], "raw string")
