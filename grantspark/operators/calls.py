@@ -38,8 +38,8 @@ def page_key(url):
     return F.when(inner.isNotNull(), sub(F.lower(decoded(inner)), r"\/+$")).otherwise(sub(F.lower(path(url)), r"\/+$"))
 
 
-def call_candidates(anchors: DataFrame, year: int, limit: int = 60) -> DataFrame:
-    """Distinct call pages linked from hub pages, old ones skipped, in hub order up to ``limit``."""
+def call_candidates(anchors: DataFrame, year: int, limit: int | None = None) -> DataFrame:
+    """Distinct call pages linked from hub pages, old ones skipped; with ``limit`` the first so many in hub order."""
     rows = anchors.where(
         (bare_host("abs") == CALL_HOST)
         & ~has("href", r"^mailto:")
@@ -53,7 +53,8 @@ def call_candidates(anchors: DataFrame, year: int, limit: int = 60) -> DataFrame
     years = grab_all("text", WB_START + r"(20\d{2})" + WB_END, 1).cast("array<int>")
     in_hub = in_hub.where(F.coalesce(F.array_max(years) >= year - 1, F.lit(True)))
     first = in_hub.groupBy("key").agg(F.min_by(F.struct("page_id", "pos", "abs", "text"), F.struct("page_id", "pos")).alias("r"))
-    return first.select("key", "r.*").orderBy("page_id", "pos").limit(limit)
+    found = first.select("key", "r.*")
+    return found if limit is None else found.orderBy("page_id", "pos").limit(limit)
 
 
 def _iso(match, pattern, d, m, y):
@@ -89,7 +90,7 @@ def file_score(text, url):
     return F.when(has(s, RELEVANT_FILE), 2).when(has(s, SIDE_FILE), 1).otherwise(0)
 
 
-def call_detail(pages: DataFrame, as_of: date, max_files: int = 8) -> tuple[DataFrame, DataFrame]:
+def call_detail(pages: DataFrame, as_of: date, max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Call pages (page_id, url, html) to notices, and their files by relevance."""
     p = pages.select("page_id", "url", "html", element("html", "h1", TITLE_HEAD).alias("h1"))
     p = p.withColumn("titulo", F.coalesce(none_if_blank(text_of("h1")), text_of(element("html", "title")))).where("titulo <> ''")
@@ -101,8 +102,7 @@ def call_detail(pages: DataFrame, as_of: date, max_files: int = 8) -> tuple[Data
     closed = (F.col("d.data_encerramento") < as_of.isoformat()) | has(head("text", 600), CLOSED_HEAD)
     notices = p.select(
         "page_id",
-        head("titulo", 400).alias("titulo"),
-        F.when(F.col("descricao").isNotNull(), head("descricao", 1000)).alias("descricao"),
+        "titulo", "descricao",
         F.lit("bndes").alias("fonte"), F.lit("BNDES").alias("orgao"), F.col("url").alias("link"),
         "d.data_publicacao", "d.data_encerramento", "d.max_year",
         F.when(F.coalesce(closed, F.lit(False)), "Encerrada").otherwise("Aberta").alias("status"),
@@ -116,8 +116,8 @@ def call_detail(pages: DataFrame, as_of: date, max_files: int = 8) -> tuple[Data
     once = links.groupBy("page_id", "key").agg(F.min_by(F.struct("pos", "pdf_url", "text"), "pos").alias("r")).select("page_id", "r.*")
     once = once.withColumn("score", file_score("text", "pdf_url"))
     rank = F.row_number().over(W.partitionBy("page_id").orderBy(F.desc("score"), "pos"))
-    files = once.withColumn("rn", rank).where(F.col("rn") <= max_files).select("page_id", "pdf_url", "score", "rn")
-    return notices, files
+    files = once.withColumn("rn", rank).select("page_id", "pdf_url", "score", "rn")
+    return notices, files if max_files is None else files.where(F.col("rn") <= max_files)
 
 
 def filter_current_calls(notices: DataFrame, files: DataFrame, year: int) -> DataFrame:

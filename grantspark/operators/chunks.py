@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import FIELDS
 from ..functions.frames import compute
 from ..functions.vectors import finite
-from ..functions.text import blank, grab, head, none_if_blank, squish, strip
+from ..functions.text import blank, grab, none_if_blank, squish, strip
 
 # Markers and labels of the stored chunk text.
 CONTEXT_MARK = "[CONTEXTO PARA BUSCA — alinhado ao pipeline process-edital-info]"
@@ -38,24 +38,19 @@ def build_queue(attachments: DataFrame, limit: int | None = None, all_files: boo
     return queue.orderBy("edital_id", "id").limit(limit) if limit else queue
 
 
-def requeue_stale(queue: DataFrame, attachments: DataFrame, health: DataFrame, batch: int | None = None, newest: int = 5000) -> DataFrame:
-    """Queue plus some processed files whose index is incomplete, looked for among the newest."""
-    marked = attachments.where("is_processed").orderBy(F.desc("edital_id"), F.desc("id")).limit(newest)
+def requeue_stale(queue: DataFrame, attachments: DataFrame, health: DataFrame, batch: int | None = None, newest: int | None = None) -> DataFrame:
+    """Queue plus the processed files whose index is incomplete; newest first where ``batch`` or ``newest`` limits them."""
+    order = [F.desc("edital_id"), F.desc("id")]
+    marked = attachments.where("is_processed")
+    if newest is not None:
+        marked = marked.orderBy(*order).limit(newest)
     keyed = marked.withColumn("file_key", file_key()).where("file_key <> ''")
     first = keyed.groupBy("file_key").agg(F.max_by(F.struct(*keyed.columns), F.struct("edital_id", "id")).alias("r")).select("r.*")
     healthy = health.where("fully_indexed").select(F.col("file_id").alias("file_key"))
     stale = first.join(queue.select("file_key"), "file_key", "left_anti").join(healthy, "file_key", "left_anti")
-    size = F.lit(batch) if batch is not None else F.when(queue.agg(F.count("*")).scalar() == 0, 50).otherwise(15)
-    # at most `newest` rows compete, so ranking them in one place is bounded
-    order = F.row_number().over(_by(F.desc("edital_id"), F.desc("id")))
-    picked = stale.withColumn("rn", order).where(F.col("rn") <= size).drop("rn")
-    return queue.unionByName(picked.select(*queue.columns))
-
-
-def _by(*order):
-    from pyspark.sql import Window as W
-
-    return W.partitionBy(F.lit(1)).orderBy(*order)
+    if batch is not None:
+        stale = stale.orderBy(*order).limit(batch)
+    return queue.unionByName(stale.select(*queue.columns))
 
 
 def index_health(chunks: DataFrame, min_chars: int = 50) -> DataFrame:
@@ -111,7 +106,7 @@ def parse_json_block(raw: Column | str) -> Column:
 
 
 def parse_enrichment(responses: DataFrame, raw: str = "raw") -> DataFrame:
-    """Question types (20), known related fields (9) and sample questions (12) of each answer."""
+    """Question types, known related fields and sample questions of each answer."""
     parsed = compute(responses, e=F.from_json(parse_json_block(raw), ENRICHMENT_SCHEMA, {"mode": "PERMISSIVE"}),
                      ok=F.try_parse_json(parse_json_block(raw)).isNotNull())
     empty = F.array().cast("array<string>")
@@ -122,9 +117,9 @@ def parse_enrichment(responses: DataFrame, raw: str = "raw") -> DataFrame:
         F.when(
             F.col("ok"),
             F.struct(
-                F.slice(F.coalesce("e.tipos_de_pergunta", empty), 1, 20).alias("tipos_de_pergunta"),
-                F.slice(F.filter(F.coalesce("e.campos_relacionados", empty), lambda x: F.array_contains(names, x)), 1, 9).alias("campos_relacionados"),
-                F.slice(F.coalesce("e.perguntas_exemplo", empty), 1, 12).alias("perguntas_exemplo"),
+                F.coalesce("e.tipos_de_pergunta", empty).alias("tipos_de_pergunta"),
+                F.filter(F.coalesce("e.campos_relacionados", empty), lambda x: F.array_contains(names, x)).alias("campos_relacionados"),
+                F.coalesce("e.perguntas_exemplo", empty).alias("perguntas_exemplo"),
             ),
         ).alias("enrichment"),
     )
@@ -157,7 +152,7 @@ def compose_chunk_text(chunks: DataFrame, enrichments: DataFrame, max_enriched:
             "file_id",
             F.col("edital_id").cast("string").alias("edital_id"),
             "chunk_index",
-            head("content", 1500).alias("chunk_plain_preview"),
+            F.col("content").alias("chunk_plain_preview"),
             F.when(F.col("header").isNotNull(), F.col("enrichment")).alias("enrichment"),
             (F.col("enrichment").isNull() & ~F.col("skipped")).alias("enrich_failed"),
             F.col("skipped").alias("enrich_skipped_llm"),
@@ -169,7 +164,7 @@ def compose_chunk_text(chunks: DataFrame, enrichments: DataFrame, max_enriched:
 def retrieval_text(content: Column | str) -> Column:
     t = strip(content)
     at = F.instr(t, EXCERPT_MARK)
-    return F.when(at > 1, strip(F.substr(t, F.lit(1), at - 1))).otherwise(head(t, 4096))
+    return F.when(at > 1, strip(F.substr(t, F.lit(1), at - 1))).otherwise(t)
 
 
 def split_retrieval_text(chunks: DataFrame) -> DataFrame:

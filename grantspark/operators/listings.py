@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import in_year
 from ..functions.frames import compute
 from ..functions.html import ANCHOR, all_matches, element, part, text_of, unescape, without
-from ..functions.text import blank, grab_all, has, head, none_if_blank
+from ..functions.text import blank, grab_all, has, none_if_blank
 from ..functions.titles import build_title, is_supplement, is_weak, preferred_title, text_number
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, resolve_pdf_url
 from .source_rules import is_file_link, is_notice_link
@@ -83,8 +83,8 @@ def detail_title(html, fallback):
     h1 = text_of(element(html, "h1"))
     title = text_of(element(html, "title"))
     return (
-        F.when(F.length(h1) > 6, head(h1, 400))
-        .when((F.length(title) > 6) & ~has(title, "404|erro"), head(title, 400))
+        F.when(F.length(h1) > 6, h1)
+        .when((F.length(title) > 6) & ~has(title, "404|erro"), title)
         .otherwise(fallback)
     )
 
@@ -150,13 +150,13 @@ def dedupe_first_wins(rows: DataFrame, key, order: Sequence[str], files: DataFra
 
 
 def extract_main_text_dates(pages: DataFrame) -> DataFrame:
-    """Cleaned main text (800 chars) and the first and last distinct date of each page."""
+    """Cleaned main text and the first and last distinct date of each page."""
     whole = text_of(element("html", "body"))
     dates = F.array_distinct(grab_all(whole, r"\d{2}\/\d{2}\/\d{4}"))
     bare = without("html", "script", "style", "noscript", "iframe", "nav", "header", "footer")
     root = F.coalesce(element(bare, "main"), element(bare, "article"), element(bare, "body"))
     return pages.select(
-        "page_id", "url", dates.alias("dates"), none_if_blank(head(text_of(root), 800)).alias("descricao")
+        "page_id", "url", dates.alias("dates"), none_if_blank(text_of(root)).alias("descricao")
     ).select(
         "page_id", "url",
         F.try_element_at("dates", F.lit(1)).alias("data_publicacao"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.frames import compute
 from ..functions.html import ANCHOR, all_matches, blocks, part, text_of
-from ..functions.text import blank, grab, has, head, none_if_blank
+from ..functions.text import blank, grab, has, none_if_blank
 from ..functions.titles import build_title, is_supplement, link_number, title_score, link_text
 from ..functions.tree import panel_links
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, path, resolve_pdf_url
@@ -33,7 +33,7 @@ def block_anchors(pages: DataFrame) -> DataFrame:
     """PDF anchors with the text of the block element they stand in."""
     cut = pages.select("page_id", "url", F.posexplode(blocks("html")).alias("bpos", "block"))
     inner = F.regexp_replace(F.col("block"), r"(?is)<\/(li|tr|article|section|td|p)\s*>.*$", "")
-    cut = compute(cut.where(F.lower("block").contains(".pdf")), block_text=head(text_of(inner), 2500))
+    cut = compute(cut.where(F.lower("block").contains(".pdf")), block_text=text_of(inner))
     parsed = F.transform(
         all_matches("block", ANCHOR),
         lambda m: F.struct(text_of(part(m, ANCHOR, 2)).alias("text"), absolute_url(part(m, ANCHOR, 1), F.col("url")).alias("pdf_url")),
@@ -77,7 +77,7 @@ def split_sections(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     # a heading that is never closed has no usable end: its last character belongs to the body
     title = F.when(F.col("cut") > 0, F.expr("substring(chunk, 1, cut - 1)")).otherwise(F.expr("substring(chunk, 1, length(chunk) - 1)"))
     body = F.when(F.col("cut") > 0, F.expr("substring(chunk, cut)")).otherwise(F.expr("right(chunk, 1)"))
-    parts = parts.select("page_id", "url", "section", head(text_of(title), 400).alias("titulo"), body.alias("body"))
+    parts = parts.select("page_id", "url", "section", text_of(title).alias("titulo"), body.alias("body"))
     parts = parts.where(F.length("titulo") >= 8)
     until = grab("body", r"Inscri[çc][õo]es\s+at[ée]:?\s*([^<]+)")
     rows = parts.select("page_id", "section", "titulo", registration_date(until).alias("data_encerramento"), F.col("url").alias("link"))
@@ -101,7 +101,7 @@ def collapse_sections(pages: DataFrame) -> DataFrame:
     found = pages.select("page_id", "url", "html").mapInPandas(walk, "page_id long, url string, titulo string, href string")
     clean = F.trim(F.regexp_replace("titulo", r"[+\-]\s*$", ""))
     found = found.withColumn("titulo", clean).where("titulo <> ''")
-    found = found.select("page_id", head("titulo", 400).alias("titulo"), F.col("url").alias("link"), absolute_url("href", "url").alias("pdf_url"))
+    found = found.select("page_id", "titulo", F.col("url").alias("link"), absolute_url("href", "url").alias("pdf_url"))
     return found.where("pdf_url <> ''").distinct()
 
 

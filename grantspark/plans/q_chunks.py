@@ -22,9 +22,9 @@ def build_queue(f):
 
 
 @query("requeue_stale", "attachments chunks", f"""WITH {_QUEUE}, {_HEALTH},
-mk AS (SELECT * FROM ak WHERE is_processed ORDER BY edital_id DESC, id DESC LIMIT 5000),
+mk AS (SELECT * FROM ak WHERE is_processed),
 m1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY edital_id DESC, id DESC) AS rn FROM mk) t WHERE rn = 1),
-st AS (SELECT * FROM m1 WHERE file_key NOT IN (SELECT file_key FROM qu) AND file_key NOT IN (SELECT file_id FROM hl WHERE fully_indexed) ORDER BY edital_id DESC, id DESC LIMIT 15)
+st AS (SELECT * FROM m1 WHERE file_key NOT IN (SELECT file_key FROM qu) AND file_key NOT IN (SELECT file_id FROM hl WHERE fully_indexed))
 SELECT file_key, id FROM qu UNION ALL SELECT file_key, id FROM st""")
 def requeue_stale(f):
     return C.requeue_stale(C.build_queue(f.attachments), f.attachments, C.index_health(f.chunks)).select("file_key", "id")
@@ -81,15 +81,15 @@ def parse_enrichment(f):
     )
 
 
-_COMPOSED = f"""{_ANS}, hd AS (SELECT *, CASE WHEN NOT enrich_failed AND chunk_index < 6 THEN '[CONTEXTO PARA BUSCA — alinhado ao pipeline process-edital-info]'||chr(10)||'Tipos de pergunta: '||tipos||chr(10)||
+_COMPOSED = f"""{_ANS}, hd AS (SELECT *, CASE WHEN NOT enrich_failed THEN '[CONTEXTO PARA BUSCA — alinhado ao pipeline process-edital-info]'||chr(10)||'Tipos de pergunta: '||tipos||chr(10)||
  'Campos relacionados: '||campos||chr(10)||'Perguntas exemplo: '||coalesce(nullif(perguntas,''),'(nenhuma)') END AS header FROM an),
 cp AS (SELECT file_id, chunk_index, CASE WHEN header IS NULL THEN content ELSE header||chr(10)||chr(10)||'[TRECHO DO EDITAL]'||chr(10)||content END AS content, coalesce(header, content) AS retrieval_text,
- enrich_failed AND chunk_index < 6 OR (enrich_failed AND false) AS failed, chunk_index >= 6 AS skipped FROM hd)"""
+ enrich_failed AS failed, false AS skipped FROM hd)"""
 
 
 def _composed(f):
     a = _answers(f)
-    return C.compose_chunk_text(a.drop("raw"), C.parse_enrichment(a), max_enriched=6)
+    return C.compose_chunk_text(a.drop("raw"), C.parse_enrichment(a))
 
 
 @query("compose_chunk_text", "chunks", f"WITH {_COMPOSED} SELECT file_id, chunk_index, content, retrieval_text, failed AS enrich_failed, skipped FROM cp")
@@ -100,7 +100,7 @@ def compose_chunk_text(f):
     )
 
 
-@query("split_retrieval_text", "chunks", f"WITH {_COMPOSED} SELECT file_id, chunk_index, CASE WHEN instr(content, '[TRECHO DO EDITAL]') > 1 THEN rtrim(left(content, instr(content, '[TRECHO DO EDITAL]') - 1), chr(10)) ELSE left(content, 4096) END AS retrieval_text FROM cp")
+@query("split_retrieval_text", "chunks", f"WITH {_COMPOSED} SELECT file_id, chunk_index, CASE WHEN instr(content, '[TRECHO DO EDITAL]') > 1 THEN rtrim(left(content, instr(content, '[TRECHO DO EDITAL]') - 1), chr(10)) ELSE content END AS retrieval_text FROM cp")
 def split_retrieval_text(f):
     out = C.split_retrieval_text(_composed(f).select("file_id", "chunk_index", "content"))
     return out.select("file_id", F.col("chunk_index").cast("long").alias("chunk_index"), "retrieval_text")

@@ -192,7 +192,7 @@ _ENRICHED = f"""{_ROWS},
 todo AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fonte ORDER BY ord, chave) AS rn FROM h WHERE needs_detail) t),
 pg AS (SELECT url AS plink, arg_min(html, page_id) AS html, min(page_id) AS page_id FROM details GROUP BY url),
 pt AS (SELECT *, {d.text_of(d.element('html', 'h1'))} AS h1, {d.text_of(d.element('html', 'title'))} AS tt FROM pg),
-f0 AS (SELECT todo.*, CASE WHEN length(h1) > 6 THEN left(h1, 400) WHEN length(tt) > 6 AND NOT {d.has('tt', '404|erro')} THEN left(tt, 400) ELSE titulo END AS page_title
+f0 AS (SELECT todo.*, CASE WHEN length(h1) > 6 THEN h1 WHEN length(tt) > 6 AND NOT {d.has('tt', '404|erro')} THEN tt ELSE titulo END AS page_title
   FROM todo JOIN pt ON todo.link = pt.plink),
 f1 AS (SELECT *, coalesce(numero, nullif({d.text_num('page_title')},''), nullif({d.text_num('titulo')},'')) AS n,
   CASE WHEN {_CUR} = '' THEN {_CAND} WHEN {_CAND} = '' THEN {_CUR} WHEN {d.score('page_title')} > {d.score('titulo')} THEN {_CAND}
@@ -223,7 +223,7 @@ _LINKNUM = f"coalesce(nullif({d.parent(d.link_text('text'))},''), nullif({d.pare
 @query("attach_supplements", "listings", f"""
 WITH b0 AS (SELECT page_id, url, string_split(regexp_replace(html, {d.q(_BLK)}, chr(1)||'<\\1\\2', 'gi'), chr(1)) AS l FROM listings),
 b1 AS (SELECT page_id, url, unnest(l) AS block, generate_subscripts(l,1) AS bpos FROM b0),
-b2 AS (SELECT *, left({d.text_of("regexp_replace(block, '</(li|tr|article|section|td|p)\\s*>.*$', '', 'si')")}, 2500) AS block_text, regexp_extract_all(block, {d.q(d.ANCHOR)}, 0, 'si') AS ms FROM b1 WHERE lower(block) LIKE '%.pdf%'),
+b2 AS (SELECT *, {d.text_of("regexp_replace(block, '</(li|tr|article|section|td|p)\\s*>.*$', '', 'si')")} AS block_text, regexp_extract_all(block, {d.q(d.ANCHOR)}, 0, 'si') AS ms FROM b1 WHERE lower(block) LIKE '%.pdf%'),
 b3 AS (SELECT page_id, url, bpos, block_text, unnest(ms) AS m, generate_subscripts(ms,1) AS apos FROM b2),
 b4 AS (SELECT *, {d.text_of(f"regexp_extract(m, {d.q(d.ANCHOR)}, 2, 'si')")} AS text, {d.absurl(f"regexp_extract(m, {d.q(d.ANCHOR)}, 1, 'si')", 'url')} AS pdf_url FROM b3),
 b5 AS (SELECT *, {_LINKNUM} AS numero, NOT {d.supp('text')} AS main, bpos * 10000 + apos AS ord FROM b4 WHERE lower(pdf_url) LIKE '%.pdf%' AND length(text) >= 4),
@@ -248,7 +248,7 @@ def _reg_date(x: str) -> str:
 @query("split_sections", "listings", f"""
 WITH s0 AS (SELECT page_id, url, regexp_split_to_array(html, '(?i)<h[234][^>]*>') AS l FROM listings),
 s1 AS (SELECT page_id, url, unnest(l) AS chunk, generate_subscripts(l,1)-1 AS section FROM s0),
-s2 AS (SELECT *, left({d.text_of("CASE WHEN instr(chunk,'</h') > 0 THEN left(chunk, instr(chunk,'</h')-1) ELSE left(chunk, length(chunk)-1) END")}, 400) AS titulo,
+s2 AS (SELECT *, {d.text_of("CASE WHEN instr(chunk,'</h') > 0 THEN left(chunk, instr(chunk,'</h')-1) ELSE left(chunk, length(chunk)-1) END")} AS titulo,
   CASE WHEN instr(chunk,'</h') > 0 THEN substring(chunk, instr(chunk,'</h')) ELSE right(chunk, 1) END AS body FROM s1 WHERE section > 0),
 s3 AS (SELECT *, {d.grab('body', 'Inscri[çc][õo]es\\s+at[ée]:?\\s*([^<]+)')} AS until FROM s2 WHERE length(titulo) >= 8),
 s4 AS (SELECT page_id, section, url, unnest(regexp_extract_all(body, {d.q(d.ANCHOR)}, 1, 'si')) AS href FROM s3),
@@ -314,7 +314,7 @@ k AS (SELECT *, {_KEY.format('abs')} AS key, {_KEY.format('url')} AS hub_key FRO
 f1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY pos) AS rn FROM k WHERE key <> '' AND key <> hub_key) t
  WHERE rn = 1 AND coalesce(list_max(list_transform(regexp_extract_all(text, '(?:^|[^0-9A-Za-z_])(20\\d{{2}})(?:$|[^0-9A-Za-z_])', 1), lambda y: CAST(y AS INT))) >= {YEAR - 1}, true)),
 f2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id, pos) AS r2 FROM f1) t WHERE r2 = 1)
-SELECT key, page_id, CAST(pos AS BIGINT) AS pos, abs, text FROM f2 ORDER BY page_id, pos LIMIT 60""")
+SELECT key, page_id, CAST(pos AS BIGINT) AS pos, abs, text FROM f2""")
 def call_candidates(f):
     out = calls.call_candidates(listings.extract_anchors(f.hubs), YEAR)
     return out.withColumn("pos", F.col("pos").cast("long"))
@@ -365,8 +365,8 @@ def call_dates(f):
 
 _CH1 = d.text_of("regexp_extract(html, '<h1[^>]*class\\s*=\\s*[\"'']tituloConteudoInterna[\"''][^>]*>(.*?)</h1\\s*>', 1, 'si')")
 _CALLS = f"""{_CALLDATES},
-cn AS (SELECT ct.page_id, left({_CH1}, 400) AS titulo,
-  left(list_filter(list_transform(regexp_extract_all(root, '<p(?:\\s[^>]*)?>(.*?)</p\\s*>', 1, 'si'), lambda p: {d.text_of('p')}), lambda p: length(p) >= 80)[1], 1000) AS descricao,
+cn AS (SELECT ct.page_id, {_CH1} AS titulo,
+  list_filter(list_transform(regexp_extract_all(root, '<p(?:\\s[^>]*)?>(.*?)</p\\s*>', 1, 'si'), lambda p: {d.text_of('p')}), lambda p: length(p) >= 80)[1] AS descricao,
   url AS link, data_publicacao, data_encerramento, max_year,
   CASE WHEN coalesce(data_encerramento < '{AS_OF}', false) OR regexp_matches(left(text, 600), '(^|[^0-9A-Za-z_])resultado\\s*(?::|final)', 'i') THEN 'Encerrada' ELSE 'Aberta' END AS status
   FROM ct JOIN cd ON ct.page_id = cd.page_id),
@@ -374,7 +374,7 @@ ca AS ({d.anchors('(SELECT page_id, url, root AS html FROM ct)')}),
 cf AS (SELECT page_id, pos, abs AS pdf_url, text, row_number() OVER (PARTITION BY page_id, lower(regexp_extract(abs, '^[a-z]+://[^/]*([^?#]*)', 1)) ORDER BY pos) AS k
   FROM ca WHERE regexp_matches(regexp_extract(abs, '^[a-z]+://[^/]*([^?#]*)', 1), '\\.pdf$', 'i')),
 cs AS (SELECT *, CASE WHEN {d.has("text||' '||pdf_url", calls.RELEVANT_FILE)} THEN 2 WHEN {d.has("text||' '||pdf_url", calls.SIDE_FILE)} THEN 1 ELSE 0 END AS score FROM cf WHERE k = 1),
-cr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS rn FROM cs) t WHERE rn <= 8)"""
+cr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS rn FROM cs) t)"""
 
 
 @query("call_detail", "calls", f"WITH {_CALLS} SELECT cn.page_id, titulo, descricao, link, data_publicacao, data_encerramento, status, pdf_url, CAST(rn AS BIGINT) AS rn FROM cn LEFT JOIN cr ON cn.page_id = cr.page_id")
@@ -413,7 +413,7 @@ def dedupe_first_wins(f):
 WITH x AS (SELECT page_id, url, {d.without('html', 'script', 'style', 'noscript', 'iframe', 'nav', 'header', 'footer')} AS bare,
   regexp_extract_all({d.text_of(d.element('html', 'body'))}, '\\d{{2}}/\\d{{2}}/\\d{{4}}') AS ds FROM details)
 SELECT page_id, url, ds[1] AS data_publicacao, CASE WHEN len(list_distinct(ds)) > 1 THEN list_filter(ds, lambda v, i: list_position(ds, v) = i)[-1] ELSE ds[1] END AS data_encerramento,
-  nullif(left({d.text_of(f"coalesce({d.element('bare', 'main')}, {d.element('bare', 'article')}, {d.element('bare', 'body')})")}, 800), '') AS descricao FROM x""")
+  nullif({d.text_of(f"coalesce({d.element('bare', 'main')}, {d.element('bare', 'article')}, {d.element('bare', 'body')})")}, '') AS descricao FROM x""")
 def extract_main_text_dates(f):
     return listings.extract_main_text_dates(f.details)
 
