@@ -46,7 +46,8 @@ def own_text(body: Column) -> Column:
 def parents(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, parent, n_quoted): the message each one answers, and how many passages show it."""
     lines = materialize(passages(messages), "passages")
-    written = lines.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"))
+    # stored, so that the join with it has a shuffle on either side, which adaptive execution splits at a frequent line
+    written = materialize(lines.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")), "written")
     quoted = lines.filter("level = 1").groupBy("conv_id", "turn", "hash").agg(F.count("*").alias("n"))
     found = quoted.join(written, ["conv_id", "hash"]).filter("origin < turn").groupBy("conv_id", "turn", "origin").agg(F.sum("n").alias("n"))
     return found.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "origin")).alias("best")).select(
