@@ -27,7 +27,7 @@ PART_CHARS = 1 << 16
 
 #: Safe boundaries: white space after anything else; the last of a run of white space before anything else; a letter
 #: or digit beside another class (an apostrophe before letters is none, it may begin a contraction).
-SAFE = (
+SAFE = regex.compile(
     r"(?<=[^\s\x1c-\x1f])(?=[ \t\r\n])|(?<=[ \t\r\n])(?=[ \t\r\n][^\s\x1c-\x1f])|(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])"
     r"|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
 )
@@ -49,7 +49,7 @@ def safe_parts(text: str, part_chars: int = PART_CHARS) -> list[str]:
     """Cut a text at safe boundaries; the parts joined are the text."""
     if len(text) <= part_chars:
         return [text]
-    find = worker_state("bpe-safe", lambda: regex.compile(SAFE)).search
+    find = SAFE.search
     parts, start = [], 0
     while len(text) - start > part_chars:
         cut = find(text, start + part_chars)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 
@@ -48,13 +50,25 @@ def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
 def worker_state(key, make: Callable):
     """A value made once per Python worker (a tokenizer, a word cache) and kept for its later tasks.
 
-    ``key`` is a name, or begins with one; of each name only the latest is kept.
+    Only the latest is kept: workers outlive an operator, and the next one needs the memory.
     """
     box = sys.__dict__.setdefault("_grantspark_worker_state", {})
-    kind = key if isinstance(key, str) else key[0]
-    if kind not in box or box[kind][0] != key:
-        box[kind] = key, make()
-    return box[kind][1]
+    if key not in box:
+        release_worker_state()
+        box[key] = make()
+    return box[key]
+
+
+def release_worker_state() -> None:
+    """Drop what an earlier operator left in this worker, and give its memory back to the system."""
+    box = sys.__dict__.get("_grantspark_worker_state")
+    if box:
+        box.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def texts_of(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[list[str]]:

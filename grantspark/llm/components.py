@@ -11,14 +11,14 @@ from .common import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (
         down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
         .union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
@@ -28,8 +28,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge ``a``-``b``; the root is the least node of its component.
 
-    Each round writes its edges to the shared folder. Hubs do no harm: minima combine before the shuffle, and the
-    joins with them are plain sort-merge joins that adaptive execution splits. Rounds grow with the logarithm of the
+    Each round writes its edges to the shared folder, and the minima, which combine before the shuffle: as stored tables
+    they make the joins with them plain sort-merge joins, which adaptive execution splits at hubs. Rounds grow with the logarithm of the
     longest path; loops and repeated edges are dropped.
     """
     now = materialize(edges.filter("a <> b").distinct(), "edges")

@@ -32,7 +32,7 @@ WORD_CHARS = 40
 #: Letters of the longest piece considered, with the word-start mark.
 PIECE_CHARS = 12
 #: Words whose scores a worker remembers.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")

@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, query, table, texts_of, vocabulary_path, worker_state
+from .common import materialize, query, release_worker_state, table, texts_of, vocabulary_path, worker_state
 
 CAPACITY = 2048
 END_ID = 0
 #: Words a worker remembers the ids of, in each of two generations.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 180_000
 #: The solver's bounds: pricing rounds of a pass, fillings per round.
 ROUNDS, FILLINGS = 24, 96
 #: Passes: whole parts of fillings with at most so many empty places are fixed, then the rest is solved again.
@@ -340,6 +340,7 @@ def _numbered(schema: T.StructType):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release_worker_state()
         task, seen = TaskContext.get().partitionId(), np.zeros(1, np.int64)
         for batch in batches:
             lengths = batch.column(at).to_numpy(zero_copy_only=False)
@@ -373,6 +374,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     @F.arrow_udf("sequence_id long, offset long")
     def place(length: pa.Array, number: pa.Array) -> pa.Array:
+        release_worker_state()
         s, k = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (length, number))
         row = np.searchsorted(keys, s * shift + k, side="right") - 1
         copy, nth = np.divmod(k - plan["first"][row], plan["each"][row])

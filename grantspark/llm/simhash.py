@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, query, table
+from .common import materialize, query, release_worker_state, table
 from .components import components
 
 #: Production parameters.
@@ -52,6 +52,7 @@ def fingerprint(text: Column, shingle_words: int = SHINGLE_WORDS, seed: int = SE
 
     @F.arrow_udf("long")
     def simhash(column: pa.Array) -> pa.Array:
+        release_worker_state()
         values = np.fromiter(
             (fingerprint_of(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle_words, seed) for x in column), np.uint64, len(column)
         )
@@ -82,7 +83,8 @@ def links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
         fingerprints.select("fingerprint", F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(_long(m)) for m in kept]))
                             .alias("mask", "value")), "masked",
     )
-    shared = held.groupBy("mask", "value").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    # stored, so that the join below has a shuffle on either side and adaptive execution can split a crowded bucket
+    shared = materialize(held.groupBy("mask", "value").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "buckets")
     dropped = F.element_at(F.array(*[F.array(*[F.lit(i) for i in range(64) if not m >> i & 1]) for m in kept]), F.col("mask") + 1)
     centre = F.explode(F.concat(F.array(F.lit(-1)), dropped)).alias("bit")
     flip = F.when(F.col("bit") >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).otherwise(F.lit(0).cast("long"))
@@ -110,7 +112,7 @@ def near_duplicates(fingerprints: DataFrame, id_col: str = "doc_id", radius: int
     nodes = materialize(fingerprints.groupBy("fingerprint").agg(F.min(id_col).alias("least")), "nodes")
     rooted = components(links(nodes, radius)).withColumnRenamed("node", "fingerprint")
     nodes = nodes.join(rooted, "fingerprint", "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = materialize(nodes.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     return nodes.join(least, "root").select("fingerprint", "component_id")
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, query, table, with_fields
+from .common import materialize, query, release_worker_state, table, with_fields
 
 #: Production parameters.
 WINDOW_WORDS = 35
@@ -105,6 +105,7 @@ def _index(window: int, gram: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release_worker_state()
         # numbers rows so that a row's number plus a word offset is unique and in the rows' order
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -130,6 +131,7 @@ def _boundary(window: int):
     import zstandard
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         unpack, seen = zstandard.ZstdDecompressor().decompress, set()
         for batch in batches:
             for key, packed, marks in zip(*(batch.column(i) for i in range(3))):
@@ -151,6 +153,7 @@ def _stripped(window: int, others: int):
     import zstandard
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
@@ -178,6 +181,7 @@ def _stripped(window: int, others: int):
 def _packed(column: pa.Array) -> pa.Array:
     import zstandard
 
+    release_worker_state()
     pack = zstandard.ZstdCompressor(level=3).compress
     return pa.array([pack(x.as_buffer().to_pybytes()) if x.is_valid else None for x in column], pa.binary())
 
@@ -199,7 +203,8 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     keys = index.filter(F.size("first") > 0).select("row", "key")
     anchors = index.select("row", F.explode(F.arrays_zip("first", "count", "anchor", "context")).alias("a")).select("row", "a.*")
     shared = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("least"), F.max("context").alias("most"))
-    shared = shared.filter("n > 1").select("anchor", (F.col("least") < F.col("most")).alias("mixed"))
+    # stored, so that the join below has a shuffle on either side and adaptive execution can split a frequent anchor
+    shared = materialize(shared.filter("n > 1").select("anchor", (F.col("least") < F.col("most")).alias("mixed")), "shared")
     repeated = materialize(anchors.join(shared, "anchor"), "repeated")
     contexts = materialize(
         repeated.groupBy("anchor", "context")
@@ -213,7 +218,7 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     windows = materialize(
         texts.select("key", _packed("_body").alias("_packed")).join(looked_up, "key").mapInArrow(_boundary(window), "key binary, first int, h1 long, h2 long"), "windows"
     )
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
+    twice = materialize(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"), "twice")
     outside = windows.join(twice, ["h1", "h2"], "left_semi").select("key", "first", F.lit(1).alias("count"))
     marks = inside.join(keys, "row").select("key", "first", "count").distinct().union(outside).groupBy("key").agg(F.collect_list(F.struct("first", "count")).alias("_marks"))
     found = texts.select(*carried, "key", _packed("_body").alias("_packed")).join(marks, "key", "left").select(*carried, "_packed", "_marks")

@@ -34,7 +34,7 @@ STEPS = 60
 PENALTY = 1.0
 #: Tokens of a lane of the vectorised chain.
 LANE = 256
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 _TOKEN = re.compile(r"\w+")
 
