@@ -58,17 +58,16 @@ def parents(messages: DataFrame) -> DataFrame:
 def threads(answers: DataFrame) -> DataFrame:
     """(conv_id, turn, root, depth) by pointer doubling over (conv_id, turn, parent); roots have no parent."""
     now = materialize(
-        answers.select("conv_id", "turn", F.coalesce("parent", "turn").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth")), "jumps"
+        answers.select(
+            "conv_id", "turn", F.coalesce("parent", "turn").alias("root"), F.col("parent").isNotNull().cast("int").alias("depth"), F.col("parent").isNull().alias("ended")
+        ), "jumps",
     )
-    while True:
-        far = now.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        after = materialize(
-            now.join(far, ["conv_id", "root"]).select("conv_id", "turn", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth")), "jumps"
-        )
-        grown = after.agg(F.sum("depth")).first()[0]
-        if grown == now.agg(F.sum("depth")).first()[0]:
-            return after
-        now = after
+    # a message that has reached its beginning rests; only those in longer threads go on
+    while not (moving := now.filter("NOT ended")).isEmpty():
+        far = now.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"), F.col("ended").alias("last"))
+        moved = moving.join(far, ["conv_id", "root"]).select("conv_id", "turn", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("last").alias("ended"))
+        now = materialize(now.filter("ended").union(moved), "jumps")
+    return now.drop("ended")
 
 
 def link(messages: DataFrame) -> DataFrame:
