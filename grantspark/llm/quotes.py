@@ -3,7 +3,7 @@
 Each line of a message has a quote level, the number of ``>`` marks it begins with. Lines of level 0 are the message's own
 text. A passage is a line without its marks; normalised (lower case, single spaces) it is hashed and joined, within its
 conversation, to the first message that wrote it. A message answers the earlier message that most of its level-1 passages come
-from (ties: the later one). Following answers to their beginning by pointer doubling gives thread and depth, and replies
+from (ties: the later one); where those have no original, the least deeper level that has one serves. Following answers to their beginning by pointer doubling gives thread and depth, and replies
 sorted by thread, depth and turn stand after what they answer, without quotes.
 
 Own lines are reduced to one row per conversation and hash before the join, so a line that everybody repeats stays one row;
@@ -44,13 +44,13 @@ def own_text(body: Column) -> Column:
 
 
 def parents(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent, n_quoted): the message each one answers, and how many passages show it."""
+    """(conv_id, turn, parent, n_quoted): the message each one answers, and how many passages of one level show it."""
     lines = materialize(passages(messages), "passages")
     # stored, so that the join with it has a shuffle on either side, which adaptive execution splits at a frequent line
     written = materialize(lines.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")), "written")
-    quoted = lines.filter("level = 1").groupBy("conv_id", "turn", "hash").agg(F.count("*").alias("n"))
-    found = quoted.join(written, ["conv_id", "hash"]).filter("origin < turn").groupBy("conv_id", "turn", "origin").agg(F.sum("n").alias("n"))
-    return found.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "origin")).alias("best")).select(
+    quoted = lines.filter("level >= 1").groupBy("conv_id", "turn", "level", "hash").agg(F.count("*").alias("n"))
+    found = quoted.join(written, ["conv_id", "hash"]).filter("origin < turn").groupBy("conv_id", "turn", "level", "origin").agg(F.sum("n").alias("n"))
+    return found.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "n", "origin")).alias("best")).select(
         "conv_id", "turn", F.col("best.origin").alias("parent"), F.col("best.n").alias("n_quoted")
     )
 
