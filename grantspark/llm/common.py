@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, shared_dir  # noqa: F401  (re-exported)
+from ..session import forget, materialize, shared_dir  # noqa: F401  (re-exported)
 
 #: Fixed value: the white space between words, [\x20\x09-\x0D]; ``bytes.split()`` splits at the same bytes.
 SPACE = "\\x20\\x09-\\x0D"
