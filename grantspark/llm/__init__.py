@@ -13,7 +13,7 @@ import grantspark
 cloudpickle.register_pickle_by_value(grantspark)
 
 #: The modules with the numbered operators.
-MODULES = ("bpe", "simhash", "media", "packing", "substrings", "langid", "toxicity", "quality", "fixity", "quotes", "manifest", "alignment")
+MODULES = ("bpe", "simhash", "media", "packing", "substrings", "langid", "toxicity", "quality", "fixity", "quotes", "manifest", "alignment", "ngram_join")
 
 
 def load():
