@@ -2,16 +2,16 @@
 
 A document is the set of its word shingles. All sets are put in one order of all shingles; two sets of similarity ``t`` or more share one
 shingle among the first ``n - ceil(t n) + 1`` of either. The order is by hash, with crowded shingles last. A shingle is crowded
-if more than CROWDED distinct sets hold it in their sketch, a prefix of twice that length by hash alone; these counts cover all documents.
-So a passage that many documents hold brings no two of them together. The order changes the cost, never the result.
+if more than CROWDED distinct sets hold it in their sketch, a prefix of twice that length by hash alone, or if so many of the sets whose sketch
+is crowded hold it at all; these counts cover all documents. So a passage that many documents hold brings no two of them together. The order changes the cost, never the result.
 
 Equal sets are one node, and nodes with the same prefix and size are one group. Groups meet in buckets, one per shingle of a prefix. In a bucket of at most CROWDED groups all
 of them do; pairs of groups are filtered by sizes and by how many prefix shingles they share, then expanded to their members, which are
-verified on whole sets. Buckets that are still crowded hold sets of crowded shingles only, such as large families of copies. There the strongest
-group meets the others, and only where a bucket still holds different components are pairs made, of groups that have the shingle early
+verified on whole sets. Buckets that are still crowded hold sets of crowded shingles only, such as large families of copies. There a few
+central groups meet the others, and only where a bucket still holds different components are pairs made, of groups that have the shingle early
 (of two similar sets the smaller one has the first shared shingle among its first ``(1 - 2t/(1+t)) n``) with larger ones.
 
-Verification goes in two rounds: each group's likeliest partner, the strongest of each crowd and every group's first member come first; of all
+Verification goes in two rounds: each group's likeliest partner, the central ones of each crowd and every group's first member come first; of all
 other pairs only those that are not connected by then.
 
 Rows with null text, empty text or no word have an empty set and no link, unless ``link_empty`` makes them one class. A text of fewer words than a
@@ -37,6 +37,8 @@ SIMILARITY = (85, 100)
 #: What orders the shingles, results do not depend on it: holders that make one crowded, and how many such are known at most.
 CROWDED = 48
 KNOWN = 1 << 20
+#: Groups of a crowded bucket that all its others are compared with first.
+CENTRES = 4
 _FACTORS = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(64)], np.uint64)
 
 
@@ -107,8 +109,8 @@ def _ordered(s: np.ndarray, crowded: tuple[np.ndarray, np.ndarray]) -> tuple[np.
     return s[np.argsort(rank, kind="stable")], int((rank == 0).sum())
 
 
-def _prefixes(crowded, similarity, k: int | None = None):
-    """(node, size, prefix, ready, grp) of (node, size, sketch), or of (node, size, text) where ``k`` is given.
+def _prefixes(crowded, similarity):
+    """(node, size, prefix, ready, grp) of (node, size, sketch or whole set).
 
     A sketch does not always settle the prefix: then ``ready`` is false.
     """
@@ -117,12 +119,10 @@ def _prefixes(crowded, similarity, k: int | None = None):
         release_worker_state()
         for batch in batches:
             out, ready, names = [], [], []
-            sizes = batch.column(1).to_pylist()
-            for n, x in zip(sizes, batch.column(2)):
-                s = np.sort(x.values.to_numpy().view(np.uint64)) if k is None else shingles(_bytes(x), k)
+            for n, x in zip(batch.column(1).to_pylist(), batch.column(2)):
                 need = prefix_size(n, similarity)
-                s, plain = _ordered(s, crowded)
-                ready.append(k is not None or plain >= need or len(s) == n)
+                s, plain = _ordered(np.sort(x.values.to_numpy().view(np.uint64)), crowded)
+                ready.append(plain >= need or len(s) == n)
                 out.append(s[:need].view(np.int64) if ready[-1] else np.zeros(0, np.int64))
                 names.append(_name(out[-1], n + 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], _lists(out), pa.array(ready, pa.bool_()), pa.array(names, pa.int64())], names=["node", "size", "prefix", "ready", "grp"])
@@ -130,6 +130,18 @@ def _prefixes(crowded, similarity, k: int | None = None):
     return run
 
 
+def _crowded(tables: list[DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the shingles with the most holders in any of the tables (node, size, shingles), and the holders."""
+    every = None
+    for t in tables:
+        held = t.select(F.explode(F.col(t.columns[2])).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED)
+        every = held if every is None else every.union(held)
+    known = every.groupBy("shingle").agg(F.max("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(KNOWN).toArrow()
+    hashes = known["shingle"].to_numpy().view(np.uint64)
+    by_hash = np.argsort(hashes)
+    return hashes[by_hash], known["n"].to_numpy()[by_hash].astype(np.int64)
+
+
 _PREFIX = "node long, size long, prefix array<long>, ready boolean, grp long"
 
 
@@ -153,22 +165,31 @@ class Join:
         self.nodes = materialize(read.join(first.select("row"), "row", "left_semi").select("node", "row", "size", "sketch"), "nodes")
         forget(read)
 
-    def of_nodes(self, wanted: DataFrame) -> DataFrame:
-        """(node, size, text) of nodes in a table (node)."""
-        wanted = self.nodes.select("node", "row", "size").join(wanted, "node", "left_semi")
-        return self.texts.select("row", "text").join(wanted, "row").select("node", "size", "text")
-
     def members(self) -> DataFrame:
         """(node, size, prefix, grp) of every node, the prefix in the order of all shingles."""
-        held = self.nodes.select(F.explode("sketch").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > CROWDED)
-        known = held.orderBy(F.desc("n"), "shingle").limit(KNOWN).toArrow()
-        hashes = known["shingle"].to_numpy().view(np.uint64)
-        by_hash = np.argsort(hashes)
-        crowded = hashes[by_hash], known["n"].to_numpy()[by_hash].astype(np.int64)
-        short = materialize(self.nodes.select("node", "size", "sketch").mapInArrow(_prefixes(crowded, self.similarity), _PREFIX), "prefixes")
-        open_ = self.of_nodes(short.filter("NOT ready").select("node"))
-        whole = materialize(open_.mapInArrow(_prefixes(crowded, self.similarity, self.k), _PREFIX), "prefixes")
-        return short.filter("ready").union(whole).drop("ready")
+        sketches = self.nodes.select("node", "size", "sketch")
+        by_sketch = _crowded([sketches])
+        # sets that are crowded so far into their sketch are looked at as a whole, and so are their shingles' holders
+        deep = materialize(sketches.mapInArrow(_prefixes(by_sketch, self.similarity), _PREFIX).filter("NOT ready").select("node"), "deep")
+        whole = materialize(self._whole(deep), "whole")
+        crowded = _crowded([sketches, whole])
+        known = sketches.join(deep, "node", "left_anti").union(whole)
+        short = materialize(known.mapInArrow(_prefixes(crowded, self.similarity), _PREFIX), "prefixes")
+        rest = materialize(self._whole(short.filter("NOT ready").select("node")).mapInArrow(_prefixes(crowded, self.similarity), _PREFIX), "prefixes")
+        forget(whole)
+        return short.filter("ready").union(rest).drop("ready")
+
+    def _whole(self, wanted: DataFrame) -> DataFrame:
+        """(node, size, set) of nodes in a table (node)."""
+        k = self.k
+
+        @F.arrow_udf("array<long>")
+        def whole(column: pa.Array) -> pa.Array:
+            release_worker_state()
+            return _lists([shingles(_bytes(x), k).view(np.int64) for x in column])
+
+        wanted = self.nodes.select("node", "row", "size").join(wanted, "node", "left_semi")
+        return self.texts.select("row", "text").join(wanted, "row").select("node", "size", whole(F.col("text")).alias("set"))
 
     def _reach(self, place: Column, size: Column) -> Column:
         """Whether a set's shingles from a place on suffice for a partner that is no smaller."""
@@ -186,12 +207,14 @@ class Join:
         met = materialize(placed.join(materialize(buckets, "buckets"), "shingle"), "met")
         several = materialize(groups.filter("heads > 1").select("grp", "head"), "several")
         inside = materialize(members.join(several, "grp").select("grp", "node", "head"), "inside")
-        crowds = met.filter((F.col("n") > CROWDED) & F.col("early"))
+        crowds = met.filter((F.col("n") > CROWDED) & F.col("early"))  # buckets with an early member
 
         likely = materialize(self._likely(met), "likely")
         best = [likely.groupBy(x).agg(F.max(F.struct("both", y)).alias("best")).select(F.col(x), F.col(f"best.{y}").alias(y)).select("a", "b") for x, y in ("ab", "ba")]
         strength = met.groupBy("grp").agg(F.sum("n").alias("strength"))
-        centre = crowds.join(materialize(strength, "strength"), "grp").groupBy("shingle").agg(F.max(F.struct("strength", "grp", "size")).alias("c"))
+        # a set with few rare shingles before the crowded one is what most others are copies of
+        centre = crowds.join(materialize(strength, "strength"), "grp").groupBy("shingle", F.pmod("grp", F.lit(CENTRES)).alias("salt"))
+        centre = centre.agg(F.max(F.struct((-F.col("place")).alias("place"), "strength", "grp", "size")).alias("c"))
         centre = materialize(centre.select("shingle", F.col("c.grp").alias("centre"), F.col("c.size").alias("other")), "centres")
         star = crowds.join(centre, "shingle").filter(F.col("grp") != F.col("centre")).filter(self._near(F.col("size"), F.col("other")))
         star = star.select(F.least("grp", "centre").alias("a"), F.greatest("grp", "centre").alias("b"))
@@ -242,14 +265,15 @@ class Join:
     def _crowded(self, crowds: DataFrame, groups: DataFrame) -> DataFrame:
         """(a, b) of groups that share a crowded bucket in which some are not connected yet; the first one has it early."""
         mixed = materialize(crowds.groupBy("shingle").agg(F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most").select("shingle"), "mixed")
-        left = materialize(crowds.join(mixed, "shingle").select("shingle", "grp", "size", "place", "low", "high"), "left")
+        prefix = groups.select("grp", "prefix").join(crowds.join(mixed, "shingle").select("grp").distinct(), "grp", "left_semi")
+        left = crowds.join(mixed, "shingle").join(materialize(prefix, "crowd"), "grp").select("shingle", "grp", "size", "place", "low", "high", "prefix")
+        left = materialize(left, "left")
+        x, y = left.filter(self._reach(F.col("place"), F.col("size"))).alias("x"), left.alias("y")
         apart = (F.col("x.low") < F.col("y.high")) | (F.col("y.low") < F.col("x.high"))
         smaller = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.grp") < F.col("y.grp")))
-        met = left.filter(self._reach(F.col("place"), F.col("size"))).alias("x").join(left.alias("y"), "shingle").filter(smaller & apart & self._near(F.col("x.size"), F.col("y.size")))
-        met = materialize(met.select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b")).distinct(), "crowds")
-        a, b = (groups.select(F.col("grp").alias(k), F.col("size").alias(f"{k}_size"), F.col("prefix").alias(f"{k}_prefix")) for k in "ab")
-        both = F.size(F.array_intersect("a_prefix", "b_prefix"))
-        return met.join(a, "a").join(b, "b").filter(self._enough(both, F.col("a_size"), F.col("b_size"))).select("a", "b")
+        both = F.size(F.array_intersect("x.prefix", "y.prefix"))
+        may = smaller & apart & self._near(F.col("x.size"), F.col("y.size")) & self._enough(both, F.col("x.size"), F.col("y.size"))
+        return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & may).select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b")).distinct()
 
     @staticmethod
     def _heads(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -260,15 +284,8 @@ class Join:
         """Those pairs (a, b) of nodes whose whole sets are similar."""
         num, den = self.similarity
         pairs = materialize(pairs, "pairs")
-        k = self.k
-
-        @F.arrow_udf("array<long>")
-        def whole(column: pa.Array) -> pa.Array:
-            release_worker_state()
-            return _lists([shingles(_bytes(x), k).view(np.int64) for x in column])
-
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = materialize(self.of_nodes(nodes).select("node", whole(F.col("text")).alias("set")), "sets")
+        sets = materialize(self._whole(nodes).drop("size"), "sets")
         a, b = (sets.select(F.col("node").alias(s), F.col("set").alias(f"_{s}")) for s in "ab")
         both = F.size(F.array_intersect("_a", "_b"))
         found = pairs.join(a, "a").join(b, "b").filter((num + den) * both >= num * (F.size("_a") + F.size("_b"))).select("a", "b")

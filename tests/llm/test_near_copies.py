@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from grantspark.llm import jaccard
+from grantspark.llm import ngram_join
 
 from .cases import frame, prose
 
@@ -57,17 +57,17 @@ def test_near_copies_at_four_fifths_go(spark):
     base = prose(104, 9).split()
     copy = [*base[:60], "other", *base[61:]]  # 95 of 105 shingles: far more than two bits may differ
     data = [(1, " ".join(base), "en", "s", 1), (2, " ".join(copy), "en", "s", 1), (3, " ".join([*copy[:20], "x", *copy[21:40], "y", *copy[41:]]), "en", "s", 1)]
-    assert sorted(r.doc_id for r in jaccard.keep_one(frame(spark, data)).collect()) == [i for _, i in kept_by_all_pairs(data)]
+    assert sorted(r.doc_id for r in ngram_join.keep_one(frame(spark, data)).collect()) == [i for _, i in kept_by_all_pairs(data)]
 
 
 def test_near_copies_are_those_of_all_pairs(spark, monkeypatch):
     data = corpus()
     want = kept_by_all_pairs(data)
-    for sample in (jaccard.SAMPLE_TEXTS, 20):
-        monkeypatch.setattr(jaccard.links, "__defaults__", (jaccard.SHINGLE_WORDS, sample))
-        got = sorted((r.doc_id is None, r.doc_id or 0) for r in jaccard.keep_one(frame(spark, data)).collect())
+    for crowded in (ngram_join.CROWDED, 3):
+        monkeypatch.setattr(ngram_join, "CROWDED", crowded)
+        got = sorted((r.doc_id is None, r.doc_id or 0) for r in ngram_join.keep_one(frame(spark, data)).collect())
         assert got == want
-    assert jaccard.keep_one(frame(spark, [])).count() == 0
+    assert ngram_join.keep_one(frame(spark, [])).count() == 0
 
 
 def test_stage_uses_the_stage_rule(spark, tmp_path):
