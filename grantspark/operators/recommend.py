@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.deadlines import loose_date
 from ..functions.text import blank, none_if_blank
+from ..session import materialize
+
+#: Characters of an index entry, and parts of a hot group.
+GRAM, SALTS = 3, 16
 
 # Legacy user types, reasons shown to the user, and allowed domains.
 LEGACY_COMPANY_TYPES = ("pessoa-empresa", "ambos")
@@ -35,10 +40,11 @@ def remapped_type(user_type: Column | str) -> Column:
     return F.when(t.isin(*LEGACY_COMPANY_TYPES), "consultor").otherwise(t)
 
 
-def resolve_scopes(requests: DataFrame, profiles: DataFrame, companies: DataFrame, legacy: bool = False) -> tuple[DataFrame, DataFrame]:
+def resolve_scopes(requests: DataFrame, profiles: DataFrame, companies: DataFrame, legacy: bool = False, most: int | None = 50, default: int | None = 20) -> tuple[DataFrame, DataFrame]:
     """Requests (user_id, empresa_id, p_limit) to scopes with type, area and limit; and the rejected ones.
 
-    A company request counts only for its owner. A missing profile reads as a researcher without area.
+    A company request counts only for its owner. A missing profile reads as a researcher without area. Limits are
+    brought into 1 to ``most`` (None: no upper end); a request without one gets ``default`` (None: all there are).
     """
     prof = profiles.groupBy("user_id").agg(F.min_by(F.struct("user_type", "area"), F.struct(F.coalesce("user_type", F.lit("")), F.coalesce("area", F.lit("")))).alias("p"))
     r = requests.join(prof, "user_id", "left")
@@ -48,33 +54,73 @@ def resolve_scopes(requests: DataFrame, profiles: DataFrame, companies: DataFram
     kind = kind if legacy else F.when(F.col("empresa_id").isNotNull(), "consultor").otherwise(remapped_type(kind))
     area = F.coalesce("p.area", F.lit(""))
     area = F.when(F.col("empresa_id").isNotNull(), F.coalesce(none_if_blank(F.trim("c_area")), area)).otherwise(area)
+    limit = F.coalesce("p_limit", F.lit(default).cast("int"))
     r = r.select(
         "user_id", "empresa_id", kind.alias("user_type"), area.alias("area"),
-        F.greatest(F.lit(1), F.least(F.coalesce("p_limit", F.lit(20)), F.lit(50))).alias("v_limit"),
+        F.when(limit.isNotNull(), F.greatest(F.lit(1), limit if most is None else F.least(limit, F.lit(most)))).alias("v_limit"),
         (F.col("empresa_id").isNull() | F.coalesce("owned", F.lit(False))).alias("ok"),
     )
     return r.where("ok").drop("ok"), r.where("NOT ok").select("user_id", "empresa_id")
 
 
 def recent_notices(catalogue: DataFrame, n: int = 500) -> DataFrame:
-    """The newest validated notices, the only ones scored."""
+    """The newest validated notices (M04); recommendations score them all."""
     return catalogue.orderBy(F.desc_nulls_last("validado_em"), F.desc_nulls_last("criado_em"), "id").limit(n)
 
 
-def _as_array(recent: DataFrame, as_of: date) -> DataFrame:
-    """The recent notices as one array value: at most the `limit` of recent_notices, so bounded."""
+def classify(catalogue: DataFrame, as_of: date) -> DataFrame:
+    """(id, hay, trait) of every notice: the text an area is looked for in, and all else a score depends on.
+
+    A trait has at most 108 values, so whatever is scored, counted or ranked per trait is small.
+    """
     closes = F.coalesce(loose_date("data_encerramento"), F.try_to_timestamp("data_encerramento").cast("date"))
     unread = F.col("data_encerramento").isNull() | closes.isNull()
-    rows = recent.select(
+    return catalogue.select(
+        "id", F.lower(F.concat_ws(" ", *[blank(c) for c in ("area", "titulo", "descricao", "sobre_programa")])).alias("hay"),
         F.struct(
-            "id", "is_researcher", "is_company",
-            F.lower(F.concat_ws(" ", *[blank(c) for c in ("area", "titulo", "descricao", "sobre_programa")])).alias("hay"),
-            F.when(unread, 0).when(closes >= F.lit(as_of), 1).otherwise(2).alias("deadline"),
+            "is_researcher", "is_company", F.when(unread, 0).when(closes >= F.lit(as_of), 1).otherwise(2).alias("deadline"),
             (F.col("valor_projeto").isNotNull() | F.col("valor").isNotNull()).alias("has_value"),
             (F.col("sobre_programa").isNotNull() | F.col("criterios_elegibilidade").isNotNull()).alias("has_text"),
-        ).alias("n")
+        ).alias("trait"),
     )
-    return rows.agg(F.array_sort(F.collect_list("n")).alias("notices"))
+
+
+def _pieces(area: Column) -> Column:
+    """The plain parts of an area: % and _ are wildcards, a backslash takes the next character literally."""
+    # a literal character is kept apart from wildcards while the area is split at those
+    marked = F.regexp_replace(F.regexp_replace(area, r"\\(.)", "\u0001$1"), r"(?<!\u0001)[%_]+", "\u0002")
+    return F.filter(F.split(F.regexp_replace(marked, "\u0001", ""), "\u0002"), lambda p: p != "")
+
+
+def _grams(text: Column, n: Column | int) -> Column:
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(text, i, n)))
+
+
+def area_hits(keys: DataFrame, notices: DataFrame) -> DataFrame:
+    """(area, id, trait) of the notices that an area matches as a case-insensitive pattern without anchors.
+
+    An inverted index of short substrings finds them: of an area's own grams the one that fewest notices hold names the candidates, which are
+    verified on the text. Only areas without a plain character (all wildcards) are compared with every notice, which they match.
+    """
+    areas = keys.select("area").where("area <> ''").distinct()
+    # before any other character the backslash is left out, as the pattern language knows no such pair
+    pattern = F.regexp_replace(F.concat(F.lit("%"), F.lower("area"), F.lit("%")), r"(\\[%_\\])|\\", "$1")
+    areas = materialize(areas.select("area", pattern.alias("pattern"), F.transform(_pieces(F.lower("area")), lambda p: p).alias("pieces")), "areas")
+    own = F.flatten(F.transform("pieces", lambda p: _grams(p, F.least(F.length(p), F.lit(GRAM)))))
+    grams = areas.select("area", "pattern", F.explode(F.array_distinct(own)).alias("gram"))
+    lengths = [r[0] for r in grams.select(F.length("gram")).distinct().collect()]  # at most GRAM numbers
+    listed = F.explode(F.flatten(F.array(*[_grams(F.col("hay"), n) for n in sorted(lengths)])) if lengths else F.array().cast("array<string>"))
+    wanted = grams.select("gram").distinct()
+    index = materialize(notices.select("id", listed.alias("gram")).join(wanted, "gram", "left_semi"), "index")
+    holders = index.groupBy("gram").agg(F.count("*").alias("holders"))
+    rarest = grams.join(holders, "gram", "left").groupBy("area", "pattern").agg(F.min(F.struct(F.coalesce("holders", F.lit(0)).alias("n"), "gram")).alias("g"))
+    seeds = materialize(rarest.where("g.n > 0").select("area", "pattern", "g.gram"), "seeds")
+    found = index.join(seeds, "gram").select("area", "pattern", "id").join(notices, "id").where(F.like("hay", F.col("pattern")))
+    every = areas.where(F.size("pieces") == 0)
+    any_ = notices.join(every, F.like("hay", F.col("pattern"))) if not every.isEmpty() else None
+    found = found.select("area", "id", "trait")
+    return materialize(found if any_ is None else found.unionByName(any_.select("area", "id", "trait")), "hits")
 
 
 def _audience(n: Column, legacy: bool) -> tuple[Column, Column]:
@@ -92,51 +138,116 @@ def _audience(n: Column, legacy: bool) -> tuple[Column, Column]:
     return points.otherwise(0), reason
 
 
-def score_notices(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: bool = False) -> DataFrame:
-    """Scopes with their scored notices as one bounded array (score, id, motivos).
+def _scored(groups: DataFrame, legacy: bool) -> DataFrame:
+    """Add score and motivos to groups of equal notices (user_type, by_company, trait, hit)."""
+    n, area = F.col("trait"), F.col("hit")
+    points, who = _audience(n, legacy)
+    total = (
+        F.lit(10) + points + F.when(area, 25).otherwise(0) + F.when(n["deadline"] == 0, 5).when(n["deadline"] == 1, 15).otherwise(-35)
+        + F.when(n["has_value"], 5).otherwise(0) + F.when(n["has_text"], 5).otherwise(0)
+    )
+    aligned = F.lit(REASON_AREA_PROFILE) if legacy else F.when(F.col("by_company"), REASON_AREA_COMPANY).otherwise(REASON_AREA_PROFILE)
+    when = F.when(n["deadline"] == 0, REASON_NO_DEADLINE).when(n["deadline"] == 1, REASON_OPEN).otherwise(REASON_CLOSED)
+    reasons = F.array_compact(F.array(who, F.when(area, aligned), when, F.when(n["has_value"], REASON_VALUE)))
+    return groups.withColumns({"score": F.greatest(F.lit(0), F.least(F.lit(100), total)), "motivos": reasons})
+
+
+class Scoring:
+    """Scores of all notices for all scopes, by groups: a score depends on type, area and whether a company asks on one side, on the
+    trait and on the area's hit on the other. ``groups`` holds (user_type, area, by_company, trait, hit, n, score, motivos)."""
+
+    def __init__(self, scopes: DataFrame, catalogue: DataFrame, as_of: date, legacy: bool = False) -> None:
+        self.scopes = scopes.withColumn("by_company", F.col("empresa_id").isNotNull())
+        self.notices = materialize(classify(catalogue, as_of), "notices")
+        keys = materialize(self.scopes.select("user_type", "area", "by_company").distinct(), "keys")
+        self.hits = area_hits(keys, self.notices)
+        self.traits = self.notices.groupBy("trait").agg(F.count("*").alias("all"))
+        # at most 108 values, so every key meets them as an array
+        every = self.traits.agg(F.collect_list(F.struct("trait", "all")).alias("x")).scalar()
+        hit = materialize(self.hits.groupBy("area", "trait").agg(F.count("*").alias("hits")), "hits")
+        met = keys.select("*", F.inline(every)).join(hit, ["area", "trait"], "left")
+        parts = F.array(F.struct(F.lit(True).alias("hit"), F.coalesce("hits", F.lit(0)).alias("n")), F.struct(F.lit(False).alias("hit"), (F.col("all") - F.coalesce("hits", F.lit(0))).alias("n")))
+        self.groups = materialize(_scored(met.select(*KEY, "trait", F.inline(parts)).where("n > 0"), legacy), "groups")
+
+
+KEY = ("user_type", "area", "by_company")
+
+
+def score_notices(scoring: Scoring, min_score: int = 25) -> DataFrame:
+    """Per scope: notices scored, sum and maximum of the scores, notices of at least ``min_score``; no pair is ever a row."""
+    sums = scoring.groups.groupBy(*KEY).agg(
+        F.sum("n").alias("notices"), F.sum(F.col("n") * F.col("score")).alias("total"), F.max("score").cast("long").alias("best"),
+        F.coalesce(F.sum(F.when(F.col("score") >= min_score, F.col("n"))), F.lit(0)).alias("eligible"),
+    )
+    return scoring.scopes.join(sums, list(KEY)).select("user_id", "empresa_id", "notices", "total", "best", "eligible")
+
 
-    The recent notices are a scalar value of the plan, not a joined table: no pair is ever a row and no
-    scope is shuffled.
-    """
-    notices = _as_array(recent, as_of).scalar()
-    # % and _ in an area act as wildcards, a backslash takes the next character literally. Only such areas need a
-    # pattern, which is compiled per comparison; the others are plain substrings.
-    wild = F.col("area").rlike(r"[%_\\]")
-    # before any other character the backslash is left out, as the pattern language knows no such pair
-    pattern = F.regexp_replace(F.concat(F.lit("%"), F.lower("area"), F.lit("%")), r"(\\[%_\\])|\\", "$1")
-    base = scopes.withColumns({"_word": F.when(F.col("area") != "", F.lower("area")), "_pattern": F.when(wild, pattern), "_ns": notices})
+def _ranked(rows: DataFrame, *keys: str) -> DataFrame:
+    """Add ``place`` (from 1) by id within the keys: ranges are ranked alone and shifted by the counts before them, so no task holds a key."""
+    at = F.monotonically_increasing_id()
+    ranged = rows.repartitionByRange(*keys, "id").sortWithinPartitions(*keys, "id").withColumns({"part": F.spark_partition_id(), "line": at})
+    ranged = materialize(ranged, "ranges")
+    counts = ranged.groupBy("part", *keys).agg(F.count("*").alias("n"), F.min("line").alias("first"))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    counts = materialize(counts.select("part", *keys, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "counts")
+    return ranged.join(counts, ["part", *keys]).withColumn("place", F.col("before") + F.col("line") - F.col("first") + 1).drop("part", "line", "first", "before")
 
-    def one(n):
-        points, who = _audience(n, legacy)
-        hit = F.when(F.col("_pattern").isNull(), F.contains(n["hay"], F.col("_word"))).otherwise(F.like(n["hay"], F.col("_pattern")))
-        area = F.coalesce(hit, F.lit(False))
-        total = (
-            F.lit(10) + points + F.when(area, 25).otherwise(0) + F.when(n["deadline"] == 0, 5).when(n["deadline"] == 1, 15).otherwise(-35)
-            + F.when(n["has_value"], 5).otherwise(0) + F.when(n["has_text"], 5).otherwise(0)
-        )
-        aligned = F.lit(REASON_AREA_PROFILE) if legacy else F.when(F.col("empresa_id").isNotNull(), REASON_AREA_COMPANY).otherwise(REASON_AREA_PROFILE)
-        when = F.when(n["deadline"] == 0, REASON_NO_DEADLINE).when(n["deadline"] == 1, REASON_OPEN).otherwise(REASON_CLOSED)
-        reasons = F.array_compact(F.array(who, F.when(area, aligned), when, F.when(n["has_value"], REASON_VALUE)))
-        return F.struct((-F.greatest(F.lit(0), F.least(F.lit(100), total))).alias("neg"), n["id"].alias("edital_id"), reasons.alias("motivos"))
 
-    return base.withColumn("scored", F.transform("_ns", one)).drop("_ns", "_pattern", "_word")
+def _first_hits(hits: DataFrame, most: int | None) -> DataFrame:
+    """The ``most`` hits with the least ids of each (area, trait): bounded heaps per salt, merged."""
+    if most is None:
+        return hits
+    salted = hits.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    for keys in (("area", "trait", "salt"), ("area", "trait")):
+        salted = salted.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).where(F.col("r") <= most).drop("r")
+    return salted.drop("salt")
 
 
-def top_recommendations(scopes: DataFrame, recent: DataFrame, as_of: date, legacy: bool = False, min_score: int = 25, most: int = 50) -> DataFrame:
-    """Best notices of each scope within its limit; ties by id.
+def _first_others(wanted: DataFrame, ranked: DataFrame, hits: DataFrame, most: int | None) -> DataFrame:
+    """Of each wanted (area, trait, n): notices of the trait that the area does not hit, the ``most`` with the least ids among them.
 
-    A score depends only on type, area and whether a company asks, so each distinct combination is
-    scored once, keeps its best ``most`` (the largest limit there is), and is joined back to its scopes.
+    Ids are read as far as needed: a reach that hits use up is doubled, for the (area, trait) concerned alone.
+    """
+    if most is None:
+        return wanted.select("area", "trait").join(ranked.select("trait", "id"), "trait").join(hits, ["area", "trait", "id"], "left_anti")
+    placed = materialize(hits.join(wanted.select("area", "trait"), ["area", "trait"], "left_semi").join(ranked.select("id", "place"), "id").select("area", "trait", "place"), "placed")
+    reach, done = materialize(wanted.select("area", "trait", "n", F.lit(most).cast("long").alias("reach")), "reach"), []
+    while True:
+        used = reach.join(placed, ["area", "trait"], "left").groupBy("area", "trait", "n", "reach").agg(F.count_if(F.col("place") <= F.col("reach")).alias("used"))
+        used = materialize(used.withColumn("short", F.col("reach") - F.col("used") < F.least(F.lit(most), F.col("n"))), "used")
+        done.append(used.where("NOT short").select("area", "trait", "reach"))
+        reach = used.where("short").select("area", "trait", "n", (2 * F.col("reach")).alias("reach"))
+        if reach.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, done).join(ranked.select("trait", "id", "place"), "trait").where("place <= reach")
+    return found.select("area", "trait", "id").join(hits, ["area", "trait", "id"], "left_anti")
+
+
+def top_recommendations(scoring: Scoring, min_score: int = 25) -> DataFrame:
+    """Best notices of each scope within its limit, of all notices there are; ties by id. A scope without a limit gets all.
+
+    Groups of equal score are taken from the best down until those before them fill the largest limit of their key; the others are never
+    listed. Of a group only as many members are listed as the limit asks for.
     """
-    keyed = scopes.withColumn("by_company", F.col("empresa_id").isNotNull())
-    # a stand-in company id keeps the wording of the reasons per combination
-    keys = keyed.select("user_type", "area", "by_company").distinct().withColumn("empresa_id", F.when(F.col("by_company"), F.lit(0)))
-    scored = score_notices(keys, recent, as_of, legacy)
-    best = F.slice(F.array_sort(F.filter("scored", lambda x: x["neg"] <= -min_score)), 1, most)
-    top = scored.select("user_type", "area", "by_company", best.alias("best"))
-    rows = keyed.join(top, ["user_type", "area", "by_company"])
-    rows = rows.select("user_id", "empresa_id", F.posexplode(F.slice("best", 1, F.col("v_limit"))).alias("pos", "x"))
-    return rows.select("user_id", "empresa_id", (F.col("pos") + 1).alias("rank"), "x.edital_id", (-F.col("x.neg")).alias("score"), "x.motivos")
+    limits = scoring.scopes.groupBy(*KEY).agg(F.when(F.count_if(F.col("v_limit").isNull()) == 0, F.max("v_limit")).alias("most"))
+    bound = limits.agg(F.when(F.count_if(F.col("most").isNull()) == 0, F.max("most")).alias("m")).first()["m"]
+    best_first = Window.partitionBy(*KEY).orderBy(F.desc("score"))
+    sums = scoring.groups.where(F.col("score") >= min_score).groupBy(*KEY, "score").agg(F.sum("n").alias("n"))
+    before = F.coalesce(F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most 101 scores
+    reached = sums.withColumn("before", before).join(limits, list(KEY)).where("most IS NULL OR before < most").select(*KEY, "score")
+    groups = materialize(scoring.groups.join(reached, [*KEY, "score"], "left_semi"), "reached")
+
+    listed = groups.where("hit").select("area", "trait").distinct()
+    hits = _first_hits(scoring.hits.join(listed, ["area", "trait"], "left_semi"), bound).withColumn("hit", F.lit(True))
+    wanted = groups.where("NOT hit").groupBy("area", "trait").agg(F.max("n").alias("n"))
+    others = _first_others(wanted, _ranked(scoring.notices.select("trait", "id"), "trait"), scoring.hits, bound).withColumn("hit", F.lit(False))
+    members = materialize(hits.select("area", "trait", "hit", "id").unionByName(others.select("area", "trait", "hit", "id")), "members")
+
+    rows = groups.select(*KEY, "trait", "hit", "score", "motivos").join(members, ["area", "trait", "hit"])
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("score"), "id")))
+    rows = materialize(rows if bound is None else rows.where(F.col("rank") <= bound), "best")
+    found = scoring.scopes.join(rows, list(KEY)).where(F.col("v_limit").isNull() | (F.col("rank") <= F.col("v_limit")))
+    return found.select("user_id", "empresa_id", "rank", F.col("id").alias("edital_id"), "score", "motivos")
 
 
 def replace_scope_rows(stored: DataFrame, new: DataFrame, scopes: DataFrame) -> tuple[DataFrame, DataFrame]:

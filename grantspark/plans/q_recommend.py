@@ -29,14 +29,14 @@ def _pairs_sql(legacy: bool = False) -> str:
     both = " WHEN user_type = 'ambos' AND (is_researcher OR is_company) THEN 35" if legacy else ""
     both_r = " WHEN user_type = 'ambos' AND (is_researcher OR is_company) THEN 'Compatível com seu tipo de perfil'" if legacy else ""
     area_r = "'Área alinhada ao seu perfil'" if legacy else "CASE WHEN empresa_id IS NOT NULL THEN 'Área alinhada à empresa' ELSE 'Área alinhada ao seu perfil' END"
-    return f"""{_scope_sql(legacy)}, {_RECENT}, ps AS (SELECT user_id, empresa_id, v_limit, id AS edital_id, greatest(0, least(100, 10
+    return f"""{_scope_sql(legacy)}, ps AS (SELECT user_id, empresa_id, v_limit, id AS edital_id, greatest(0, least(100, 10
  + CASE WHEN user_type = 'pesquisador' AND is_researcher THEN 45 WHEN user_type = 'pesquisador' AND NOT is_researcher THEN -50 WHEN user_type = '{comp}' AND is_company THEN 45 WHEN user_type = '{comp}' AND NOT is_company THEN -50{both} ELSE 0 END
  + CASE WHEN {hit} THEN 25 ELSE 0 END + CASE WHEN data_encerramento IS NULL THEN 5 WHEN CAST(data_encerramento AS DATE) >= DATE '{AS_OF}' THEN 15 ELSE -35 END
  + CASE WHEN valor_projeto IS NOT NULL OR valor IS NOT NULL THEN 5 ELSE 0 END + CASE WHEN sobre_programa IS NOT NULL OR criterios_elegibilidade IS NOT NULL THEN 5 ELSE 0 END)) AS score,
  concat_ws(';', CASE WHEN user_type = 'pesquisador' AND is_researcher THEN 'Elegível para pesquisadores/ICTs' WHEN user_type = '{comp}' AND is_company THEN 'Elegível para empresas/startups'{both_r} END, CASE WHEN {hit} THEN {area_r} END,
   CASE WHEN data_encerramento IS NULL THEN 'Prazo não identificado automaticamente' WHEN CAST(data_encerramento AS DATE) >= DATE '{AS_OF}' THEN 'Prazo ainda aberto' ELSE 'Prazo possivelmente encerrado' END,
   CASE WHEN valor_projeto IS NOT NULL OR valor IS NOT NULL THEN 'Possui informação de valor/financiamento' END) AS motivos
- FROM sc CROSS JOIN (SELECT id, is_researcher, is_company, data_encerramento, valor_projeto, valor, sobre_programa, criterios_elegibilidade, lower(coalesce(area,'')||' '||coalesce(titulo,'')||' '||coalesce(descricao,'')||' '||coalesce(sobre_programa,'')) AS hay FROM rc) n),
+ FROM sc CROSS JOIN (SELECT id, is_researcher, is_company, data_encerramento, valor_projeto, valor, sobre_programa, criterios_elegibilidade, lower(coalesce(area,'')||' '||coalesce(titulo,'')||' '||coalesce(descricao,'')||' '||coalesce(sobre_programa,'')) AS hay FROM catalogue) n),
 tp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, empresa_id ORDER BY score DESC, edital_id) AS rank FROM ps WHERE score >= 25) t WHERE rank <= v_limit)"""
 
 
@@ -44,12 +44,12 @@ def _scopes(f, legacy=False):
     return R.resolve_scopes(f.requests, f.profiles, f.companies, legacy)
 
 
-def _top(f):
-    return R.top_recommendations(_scopes(f)[0], R.recent_notices(f.catalogue), AS_OF)
+def _scoring(f, legacy=False):
+    return R.Scoring(_scopes(f, legacy)[0], f.catalogue, AS_OF, legacy)
 
 
-def _scored(f, legacy=False):
-    return R.score_notices(_scopes(f, legacy)[0], R.recent_notices(f.catalogue), AS_OF, legacy)
+def _top(f):
+    return R.top_recommendations(_scoring(f))
 
 
 @query("resolve_scopes", USES, f"WITH {_scope_sql()} SELECT user_id, empresa_id, user_type, area, CAST(v_limit AS INT) AS v_limit FROM sc")
@@ -65,22 +65,14 @@ def resolve_scopes_rejected(f):
 _SUMS = "user_id, empresa_id, count(*) AS notices, CAST(sum(score) AS BIGINT) AS total, CAST(max(score) AS BIGINT) AS best, count(*) FILTER (WHERE score >= 25) AS eligible"
 
 
-def _sums(scored):
-    return scored.select(
-        "user_id", "empresa_id", F.size("scored").cast("long").alias("notices"),
-        F.aggregate("scored", F.lit(0).cast("long"), lambda a, x: a - x["neg"]).alias("total"),
-        (-F.array_min(F.transform("scored", lambda x: x["neg"]))).cast("long").alias("best"), F.size(F.filter("scored", lambda x: x["neg"] <= -25)).cast("long").alias("eligible"),
-    )
-
-
 @query("score_notices", USES, f"WITH {_pairs_sql()} SELECT {_SUMS} FROM ps GROUP BY 1, 2")
 def score_notices(f):
-    return _sums(_scored(f))
+    return R.score_notices(_scoring(f))
 
 
 @query("legacy_audience_score", USES, f"WITH {_pairs_sql(True)} SELECT {_SUMS} FROM ps GROUP BY 1, 2")
 def legacy_audience_score(f):
-    return _sums(_scored(f, True))
+    return R.score_notices(_scoring(f, True))
 
 
 @query("score_reasons", USES, f"WITH {_pairs_sql()} SELECT user_id, empresa_id, edital_id, motivos FROM tp")

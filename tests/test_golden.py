@@ -179,8 +179,11 @@ def test_area_patterns_escape(spark):
         [(i, None, None, None, None, None, None, None, t) for i, t in enumerate(("A%B", "aXb", "xyz", "qw", "plain"))],
         "id long, is_researcher boolean, is_company boolean, data_encerramento string, valor_projeto string, valor string, sobre_programa string, criterios_elegibilidade string, titulo string",
     ).withColumns({"area": F.lit(None).cast("string"), "descricao": F.lit(None).cast("string")})
-    got = {r["area"]: [x["edital_id"] for x in r["scored"] if recommend.REASON_AREA_PROFILE in x["motivos"]] for r in recommend.score_notices(scopes, notices, dt.date(2026, 1, 1)).collect()}
-    assert got == {"a\\%b": [0], "x_z": [2], "q\\w": [3], "plain": [4]}
+    scopes = scopes.union(spark.createDataFrame([(2, None, "x", a, 20) for a in ("%", "zz", "n")], scopes.schema))
+    got = {}
+    for r in recommend.area_hits(scopes, recommend.classify(notices, dt.date(2026, 1, 1))).collect():
+        got.setdefault(r["area"], []).append(r["id"])
+    assert {a: sorted(i) for a, i in got.items()} == {"a\\%b": [0], "x_z": [2], "q\\w": [3], "plain": [4], "%": [0, 1, 2, 3, 4], "n": [4]}
 
 
 def test_vectors_unwrap_and_reject(spark):
@@ -233,16 +236,32 @@ def test_scores(spark):
         " valor_projeto string, valor string, data_encerramento string, criado_em timestamp, validado_em timestamp",
     )
     scopes = spark.createDataFrame([("u1", None, "pesquisador", "Saúde", 20), ("u2", None, "consultor", "", 20)], "user_id string, empresa_id string, user_type string, area string, v_limit int")
-    scored = recommend.score_notices(scopes, recommend.recent_notices(cat), as_of)
-    got = {(r["user_id"], x["edital_id"]): -x["neg"] for r in scored.collect() for x in r["scored"]}
-    assert got[("u1", "a")] == 100 and got[("u2", "b")] == 0
+    scoring = recommend.Scoring(scopes.withColumn("v_limit", F.lit(None).cast("int")), cat, as_of)
+    got = {(r["user_id"], r["edital_id"]): r["score"] for r in recommend.top_recommendations(scoring, min_score=0).collect()}
+    assert len(got) == 4 and got[("u1", "a")] == 100 and got[("u2", "b")] == 0
     assert all(0 <= s <= 100 for s in got.values())
-    plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    top = recommend.top_recommendations(scopes, recommend.recent_notices(cat), as_of).collect()
+    sums = {r["user_id"]: (r["notices"], r["best"], r["eligible"]) for r in recommend.score_notices(scoring).collect()}
+    assert sums["u1"] == (2, 100, 1)
+    top = recommend.top_recommendations(recommend.Scoring(scopes, cat, as_of)).collect()
     assert [(r["user_id"], r["edital_id"], r["rank"], r["score"]) for r in top if r["user_id"] == "u1"] == [("u1", "a", 1, 100)]
 
 
+def test_limits_over_many_notices(spark):
+    """Areas that hit the first notices of a trait: the reach is doubled until the limit is filled; no limit gives all."""
+    as_of, none = dt.date(2026, 1, 1), None
+    rows = [(i, none, none, "", "solar" if i < 90 or i % 7 == 0 else "eolica", none, none, none, none, none, none) for i in range(600)]
+    cat = spark.createDataFrame(rows, "id long, is_researcher boolean, is_company boolean, area string, titulo string, descricao string, sobre_programa string, criterios_elegibilidade string,"
+                                " valor_projeto string, valor string, data_encerramento string")
+    for limits in ((7, 30), (7, None)):
+        scopes = spark.createDataFrame([(1, none, "x", "solar", limits[0]), (2, 5, "x", "EOL", limits[1]), (3, none, "x", "", 3)], "user_id long, empresa_id long, user_type string, area string, v_limit int")
+        got = {}
+        for r in recommend.top_recommendations(recommend.Scoring(scopes, cat, as_of), min_score=0).orderBy("rank").collect():
+            got.setdefault(r["user_id"], []).append((r["score"], r["edital_id"]))
+        for user, word, limit in ((1, "solar", limits[0]), (2, "eol", limits[1]), (3, "", 3)):
+            want = sorted((-15 - 25 * (word != "" and word in r[4]), r[0]) for r in rows)[:limit]
+            assert got[user] == [(-s, i) for s, i in want]
+
+
 def test_audit_accept_beats_earlier_rejects(spark):
     rows = [("n", "vagas", b, True, v, d, "") for b, d, v in ((0, "reject", None), (1, "reject", None), (2, "accept", "30 vagas"))]
     df = spark.createDataFrame(rows, "notice_id string, field string, batch int, ok boolean, value string, decision string, reason string")
