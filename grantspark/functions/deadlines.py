@@ -167,15 +167,15 @@ def derived_deadline(best: Column, closes: Column | str) -> Column:
     return F.when(best.isNotNull(), from_phase).otherwise(until(closing_date(closes)))
 
 
-def normalized_deadline(text: Column | str) -> Column:
-    """'Até <date>' keeping a two-digit year style; undated text stays if short."""
+def normalized_deadline(text: Column | str, most_chars: int | None = None) -> Column:
+    """'Até <date>' keeping a two-digit year style; undated text stays, or only if it is no longer than ``most_chars``."""
 
     def read(x):
         raw, d = x["raw"], x["d"]
         label = F.when(has(raw, DMY2), F.date_format(d, "dd/MM/yy")).otherwise(F.date_format(d, "dd/MM/yyyy"))
         return (
             F.when(F.lower(raw).isin(*MISSING), F.lit(None).cast("string"))
-            .when(d.isNull(), F.when(F.length(raw) <= 200, raw))
+            .when(d.isNull(), raw if most_chars is None else F.when(F.length(raw) <= most_chars, raw))
             .otherwise(F.concat(F.lit("Até "), label))
         )
 

@@ -64,3 +64,8 @@ def head(c: Column | str, n: int) -> Column:
 
 def first_of(*options: Column) -> Column:
     return F.coalesce(*options)
+
+
+def upto(c: Column, most: int | None) -> Column:
+    """The first ``most`` characters; all of them where no limit is given."""
+    return c if most is None else head(c, most)

@@ -11,16 +11,15 @@ from ..config import FIELDS
 from ..functions.deadlines import MISSING, is_missing, phases
 from ..functions.echo import strip_echo
 from ..functions.frames import compute
-from ..functions.text import WB_END, WB_START, blank, grab, has, head, let, none_if_blank, squish, strip
+from ..functions.text import WB_END, WB_START, blank, grab, has, let, none_if_blank, squish, strip, upto
 from .values import compact_value, value_quality
 
 BOOLEAN_FIELDS = ("is_researcher", "is_company")
 JSON_FIELDS = ("valor_projeto", "timeline_estimada")
 TEXT_FIELDS = tuple(f for f in FIELDS if f not in BOOLEAN_FIELDS + JSON_FIELDS)
-# Stage order of a field's answers, and limits of texts kept.
+# Stage order of a field's answers, and the least useful text.
 STAGES = ("topk", "chunkscan", "window")
 MIN_TEXT = 50
-SNIPPET = 2800
 DATE_SIGNAL = r"\d{1,2}\s*\/\s*\d{1,2}\s*\/\s*\d{2,4}|\d{4}-\d{2}-\d{2}|\d{1,2}\s+de\s+\w+\s+de\s+\d{4}"
 NOT_A_PHASE = r"documentos?\s+necess|anexos?\s+obrigat|checklist|modelo\s+de"
 EVIDENCE = "struct<source: string, snippet: string, document_ids: array<string>, document_id: string, chunk_index: int>"
@@ -36,14 +35,14 @@ def members(raw: Column | str) -> Column:
     return let(json_block(raw), lambda b: F.when(b.rlike(r"(?s)^\{.*\}$") & F.try_parse_json(b).isNotNull(), F.from_json(b, "map<string,variant>")))
 
 
-def clean_phases(fs: Column) -> Column:
-    """Phases with a name, every part trimmed and cut, the end falling back."""
-    cut = lambda c, n: none_if_blank(head(strip(c), n))
+def clean_phases(fs: Column, most: dict[str, int] | None = None) -> Column:
+    """Phases with a name, every part trimmed, the end falling back; ``most`` may limit the characters of a part."""
+    cut = lambda f, part, limit=None: none_if_blank(upto(strip(f[part]), (most or {}).get(limit or part)))
     mapped = F.transform(
         fs,
         lambda f: F.struct(
-            cut(f["nome"], 200).alias("nome"), cut(f["prazo"], 120).alias("prazo"), cut(f["status"], 40).alias("status"), cut(f["data_inicio"], 32).alias("data_inicio"),
-            F.coalesce(cut(f["data_fim"], 32), cut(f["fim"], 32)).alias("data_fim"),
+            *[cut(f, part).alias(part) for part in ("nome", "prazo", "status", "data_inicio")],
+            F.coalesce(cut(f, "data_fim"), cut(f, "fim", "data_fim")).alias("data_fim"),
         ),
     )
     return F.filter(mapped, lambda f: f["nome"].isNotNull())
@@ -168,13 +167,13 @@ def strip_prompt_echo(rows: DataFrame, column: str = "text") -> DataFrame:
     return compute(rows, stripped=strip_echo(column, "numero", "fonte"))
 
 
-def evidence_records(found: DataFrame) -> DataFrame:
-    """Evidence per (notice, field) from (stage, context, chunk_ids, chunk_index)."""
+def evidence_records(found: DataFrame, most_chars: int | None = None) -> DataFrame:
+    """Evidence per (notice, field) from (stage, context, chunk_ids, chunk_index); snippets are whole unless limited."""
     ids = F.array_distinct(F.filter(F.coalesce("chunk_ids", F.array().cast("array<string>")), lambda x: F.trim(x) != ""))
     return found.select(
         "notice_id", "field",
         F.struct(
-            F.col("stage").alias("source"), head(strip("context"), SNIPPET).alias("snippet"), F.when(F.size(ids) > 0, ids).alias("document_ids"),
+            F.col("stage").alias("source"), upto(strip("context"), most_chars).alias("snippet"), F.when(F.size(ids) > 0, ids).alias("document_ids"),
             F.get(ids, F.lit(0)).alias("document_id"), F.col("chunk_index").cast("int").alias("chunk_index"),
         ).alias("evidence"),
     )
@@ -268,8 +267,11 @@ WEAK_SUPPORT = {
 }
 
 
-def sanitize_profile(answers: DataFrame) -> DataFrame:
-    """Execution profile with typed, plausible and literally supported values; and what was rejected."""
+def sanitize_profile(answers: DataFrame, most_chars: int | None = None) -> DataFrame:
+    """Execution profile with typed, plausible and literally supported values; and what was rejected.
+
+    Support is judged on whole snippets; only the evidence kept may be limited.
+    """
     a = compute(answers, m=F.from_json(none_if_blank(F.regexp_extract(blank("raw"), r"(?s)(\{.*\})", 1)), "map<string,variant>"), ctx=_norm("contexto"))
     a = compute(a, ev=F.from_json(F.to_json(F.try_element_at("m", F.lit("evidencias"))), "map<string,string>"))
     member = lambda k: F.try_element_at("m", F.lit(k))
@@ -281,15 +283,15 @@ def sanitize_profile(answers: DataFrame) -> DataFrame:
         ok = F.coalesce(n.between(low, high), F.lit(False))
         values[k] = F.when(ok & supported(k), F.floor(n + F.lit(0.5)))
         rejected.append(F.when(ok & ~supported(k), F.lit(k)))
-        used.append(F.when(ok & supported(k), F.struct(F.lit(k).alias("k"), head(snippet(k), 240).alias("v"))))
+        used.append(F.when(ok & supported(k), F.struct(F.lit(k).alias("k"), upto(snippet(k), most_chars).alias("v"))))
     for k in PROFILE_FLAGS:
         typed = F.coalesce(F.schema_of_variant(member(k)) == "BOOLEAN", F.lit(False))
         flag = F.when(typed, member(k).cast("boolean"))
-        weak = has(head(snippet(k), 240), WEAK_SUPPORT[k]) if k in WEAK_SUPPORT else F.lit(False)
+        weak = has(snippet(k), WEAK_SUPPORT[k]) if k in WEAK_SUPPORT else F.lit(False)
         veto = F.coalesce(flag, F.lit(False)) & weak
         values[k] = F.when(typed & supported(k) & ~veto, flag)
         rejected += [F.when(typed & ~supported(k), F.lit(k)), F.when(typed & supported(k) & veto, F.lit(f"{k}:evidencia_fraca"))]
-        used.append(F.when(typed & supported(k) & ~veto, F.struct(F.lit(k).alias("k"), head(snippet(k), 240).alias("v"))))
+        used.append(F.when(typed & supported(k) & ~veto, F.struct(F.lit(k).alias("k"), upto(snippet(k), most_chars).alias("v"))))
     out = compute(
         a,
         perfil=F.struct(*[v.cast("boolean" if k in PROFILE_FLAGS else "double").alias(k) for k, v in values.items()]),

@@ -18,11 +18,9 @@ EVENT_SCHEMA = (
     " error: struct<type: string, message: string, stack: string>, actor: struct<user_id: string, email: string>, request: struct<method: string, path: string>,"
     " component: string>"
 )
-# Severities, the ones the error route takes, and message limits.
+# Severities, the ones the error route takes, and the mark of a shortened text.
 SEVERITIES = ("info", "warn", "error", "fatal")
 ERROR_SEVERITIES = ("error", "fatal")
-STACK_CHARS = 1500
-PROPS_CHARS = 1200
 CUT = "\n…(truncated)"
 LOCAL_OFFSET = "-03:00"
 #: Fixed value: the form of a time that readers of events accept.
@@ -63,8 +61,8 @@ def route_events(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("route", F.explode(routes))
 
 
-def _clip(c: Column, limit: int) -> Column:
-    return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit(CUT))).otherwise(c)
+def _clip(c: Column, limit: int | None) -> Column:
+    return c if limit is None else F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit(CUT))).otherwise(c)
 
 
 def _pair(label: str, a: str, b: str) -> Column:
@@ -76,8 +74,8 @@ def _labelled(label: str, c: str) -> Column:
     return F.when(blank(c) != "", F.concat(F.lit(f"{label}: "), blank(c)))
 
 
-def format_messages(routed: DataFrame, source: str | None = None, detail_type: str | None = None, raw: str = "detail") -> DataFrame:
-    """Message text per routed event; absent parts leave no line."""
+def format_messages(routed: DataFrame, source: str | None = None, detail_type: str | None = None, raw: str = "detail", stack_chars: int | None = None, props_chars: int | None = None) -> DataFrame:
+    """Message text per routed event; absent parts leave no line. Stacks and properties are whole unless limited."""
     e = "event."
     when = F.concat(F.lit("at: "), F.date_format(F.from_utc_timestamp("at", LOCAL_OFFSET), "dd/MM HH:mm:ss"))
     src, kind = _labelled("source", source) if source else F.lit(None).cast("string"), _labelled("detail-type", detail_type) if detail_type else F.lit(None).cast("string")
@@ -90,7 +88,7 @@ def format_messages(routed: DataFrame, source: str | None = None, detail_type: s
     notifier = F.concat_ws("\n", head(F.upper("event.severity")), "event.message", when, src, kind, component, trace, actor, request, error)
     reporter = F.concat_ws(
         "\n", head(F.lit("ERROR")), "event.message", when, component, src, kind, trace, request, actor, error,
-        F.concat(F.lit("stack:\n"), _clip(stack, STACK_CHARS)), F.concat(F.lit("props:\n"), _clip(props, PROPS_CHARS)),
+        F.concat(F.lit("stack:\n"), _clip(stack, stack_chars)), F.concat(F.lit("props:\n"), _clip(props, props_chars)),
     )
     unread = F.concat(
         F.lit("[WARN] Unparseable event detail\nsource: "), blank(source) if source else F.lit(""), F.lit("\ndetail-type: "),
@@ -109,13 +107,13 @@ def _event(name: Column, severity: Column, message: Column, component: str, prop
     return [name.alias("name"), severity.alias("severity"), key.alias("key"), F.to_json(body).alias("detail")]
 
 
-def scrape_events(summary: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+def scrape_events(summary: DataFrame, samples: DataFrame | None = None, most_titles: int | None = None) -> DataFrame:
     """New-notice and failure events per source (fonte, total, new_notices, new_pdfs, error), and the run's event."""
     s = summary
     if samples is not None:
         from pyspark.sql import Window as W
 
-        first = samples.withColumn("rn", F.row_number().over(W.partitionBy("fonte").orderBy("titulo"))).where("rn <= 20")
+        first = samples if most_titles is None else samples.withColumn("rn", F.row_number().over(W.partitionBy("fonte").orderBy("titulo"))).where(F.col("rn") <= most_titles)
         s = s.join(first.groupBy("fonte").agg(F.sort_array(F.collect_list("titulo")).alias("new_editais")), "fonte", "left")
     else:
         s = s.withColumn("new_editais", F.lit(None).cast("array<string>"))
@@ -190,3 +188,28 @@ def run_incremental(stream: DataFrame, work: Callable[[DataFrame], DataFrame], o
 
     query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def run_upserts(stream: DataFrame, merge: Callable[[DataFrame | None, DataFrame], DataFrame], root: str, checkpoint: str) -> DataFrame:
+    """Merge what arrived since the last run into a keyed table, exactly once; returns the table as it stands.
+
+    Each micro-batch turns the version before it into its own: ``merge(None or last version, batch)``. A batch that is replayed starts from the
+    same version again and overwrites its own, so nothing is merged twice; readers follow the highest version written.
+    """
+    spark, root = stream.sparkSession, root.rstrip("/")
+
+    def written(below: int | None = None) -> DataFrame | None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+        # a version without this mark was not finished
+        done = [int(n.partition("=")[2]) for n in names if n.startswith("version=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+        done = [n for n in done if below is None or n < below]
+        return spark.read.parquet(f"{root}/version={max(done)}") if done else None
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        merge(written(batch_id), batch).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+
+    query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return written()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 import uuid
 
@@ -157,8 +158,6 @@ def test_events_are_read_strictly(spark):
 
 
 def test_wrapped_timelines(spark):
-    import json
-
     text = json.dumps({"fases": [{"nome": "Submissão", "data_fim": "2026-05-10"}]})
     for _ in range(4):
         assert one(spark, F.size(D.phases("t")), t=text) == 1
@@ -358,3 +357,26 @@ def test_deadline_reconciled_from_timeline(spark):
     df = spark.createDataFrame([("Não informado", tl, None)], "prazo_inscricao string, timeline_estimada string, data_encerramento string")
     r = deadlines.reconcile_deadline(df).first()
     assert r["reconciled"] == "até 10/08/2026 e 12/08/2026" and r["changed"]
+
+
+def test_nothing_is_cut_by_default(spark):
+    """The figures that used to be defaults: texts beyond them stay whole, and are cut where a limit is given."""
+    long = "consulte o portal " * 30
+    assert one(spark, D.normalized_deadline("t"), t=long) == long.strip()
+    assert one(spark, D.normalized_deadline("t", most_chars=200), t=long) is None
+    found = spark.createDataFrame([("n", "vagas", "topk", "x" * 5000, ["c1"], 1)], "notice_id string, field string, stage string, context string, chunk_ids array<string>, chunk_index int")
+    assert len(fields.evidence_records(found).first()["evidence"]["snippet"]) == 5000
+    assert len(fields.evidence_records(found, most_chars=2800).first()["evidence"]["snippet"]) == 2800
+    phase = json.dumps({"fases": [{"nome": "n" * 400, "prazo": "até 10/08/2026 " + "p" * 300}]})
+    got = one(spark, fields.clean_phases(D.phases("t")), t=phase)[0]
+    assert (len(got["nome"]), len(got["prazo"])) == (400, 315)
+    assert len(one(spark, fields.clean_phases(D.phases("t"), {"nome": 200}), t=phase)[0]["nome"]) == 200
+
+
+@pytest.mark.parametrize("flag, ending", [("exige_obra", "reforma"), ("lei_14133_integral", "no que couber"), ("clt", "ter vínculo")])
+def test_weak_support_is_seen_at_the_end_of_a_snippet(spark, flag, ending):
+    """The veto reads the whole snippet, not its first 240 characters."""
+    snippet = "texto do edital " * 30 + ending
+    rows = [("n", json.dumps({flag: True, "evidencias": {flag: snippet}}), snippet)]
+    r = fields.sanitize_profile(spark.createDataFrame(rows, "notice_id string, raw string, contexto string")).first()
+    assert f"{flag}:evidencia_fraca" in r["rejeitados"] and r["perfil"][flag] is None
