@@ -43,6 +43,8 @@ _SLOT_BITS = 20
 
 def words_of(text: str) -> list[str]:
     found = _LETTERS.findall(text.lower())
+    if not text.isascii() and not all(map(str.isalpha, found)):  # the pattern also takes signs such as one half
+        found = [p for w in found for p in "".join(c if c.isalpha() else " " for c in w).split()]
     if len(text) > WORD_CHARS and any(len(w) > WORD_CHARS for w in found):
         return [w[i:i + WORD_CHARS] for w in found for i in range(0, len(w), WORD_CHARS)]
     return found

