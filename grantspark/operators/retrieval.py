@@ -445,16 +445,18 @@ def build_requests(contexts: DataFrame, notices: DataFrame, stage: str) -> DataF
 
 
 def build_audit_requests(targets: DataFrame, notices: DataFrame) -> DataFrame:
-    """Audit request per target (id, field, before, optional source and snippet); the document text follows the prompt."""
+    """Audit request per target (id, field, before, optional source, snippet and document_ids); the document text follows the prompt."""
     t = targets.join(notices.select("id", "numero", "titulo", "fonte"), "id")
-    for c in ("source", "snippet"):
+    for c, kind in (("source", "string"), ("snippet", "string"), ("document_ids", "array<string>")):
         if c not in t.columns:
-            t = t.withColumn(c, F.lit(None).cast("string"))
+            t = t.withColumn(c, F.lit(None).cast(kind))
+    known = F.filter("document_ids", lambda x: x != "")
+    ids = F.when(F.size(known) > 0, F.concat(F.lit("\nIDs em documents (linhas da extração): "), F.array_join(known, ", "))).otherwise("")
     boolean = F.col("field").isin("is_researcher", "is_company", "timeline_estimada")
     quoted = F.regexp_replace(F.to_json(F.array("before")), r"^\[|\]$", "")
     before = F.when(F.col("before").isNull(), "null").when(boolean, F.col("before")).otherwise(quoted)
     evidence = F.when(
-        F.trim(blank("snippet")) != "", F.concat(F.lit("Trecho usado na extração (origem: "), blank("source"), F.lit("):\n"), head("snippet", 6000))
+        F.trim(blank("snippet")) != "", F.concat(F.lit("Trecho usado na extração (origem: "), blank("source"), F.lit("):\n"), F.col("snippet"), ids)
     ).otherwise(F.lit(prompts.NO_EVIDENCE))
     prompt = F.concat_ws(
         "\n", *[F.lit(x) for x in prompts.AUDIT_HEAD],

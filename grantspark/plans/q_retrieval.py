@@ -243,17 +243,25 @@ _AUDIT = "||chr(10)||".join(d.q(x) for x in prompts.AUDIT_HEAD)
 _CELLS = " UNION ALL ".join(
     f"SELECT id, numero, titulo, fonte, '{c}' AS field, CASE WHEN coalesce(lower(trim({c})),'') NOT IN ('','não informado') THEN '\"'||{c}||'\"' ELSE 'null' END AS before FROM notices"
     for c in ("prazo_inscricao", "valor_projeto", "sobre_programa", "criterios_elegibilidade")
+) + "".join(
+    f" UNION ALL SELECT id, numero, titulo, fonte, '{c}', {text} FROM notices WHERE {filled}"
+    for c, text, filled in (
+        ("localizacao", "'\"'||localizacao||'\"'", "localizacao IS NOT NULL"), ("vagas", "'\"'||vagas||'\"'", "vagas IS NOT NULL"),
+        ("is_researcher", "CAST(is_researcher AS VARCHAR)", "is_researcher IS NOT NULL"), ("is_company", "CAST(is_company AS VARCHAR)", "is_company IS NOT NULL"),
+        ("timeline_estimada", "timeline_estimada", "json_array_length(timeline_estimada, '$.fases') > 0"),
+    )
 )
 
 
 @query("build_requests_audit", "notices", f"""WITH c AS ({_CELLS}) SELECT id AS notice_id, field, {_AUDIT}||chr(10)||'Edital: '||coalesce(numero,'N/A')||' — '||titulo||chr(10)||'Fonte: '||fonte||chr(10)||chr(10)||'Campo: '||field||chr(10)||'Valor atual (extração): '||before||chr(10)||chr(10)
- ||CASE WHEN id % 2 = 0 THEN 'Trecho usado na extração (origem: topk):'||chr(10)||'trecho '||CAST(id AS VARCHAR) ELSE {d.q(prompts.NO_EVIDENCE)} END||chr(10)||chr(10)||'Orientação do campo:'||chr(10)||CASE field {" ".join(f"WHEN '{n}' THEN {d.q(t)}" for n, t in prompts.GUIDANCE.items())} END
+ ||CASE WHEN id % 2 = 0 THEN 'Trecho usado na extração (origem: topk):'||chr(10)||'trecho '||CAST(id AS VARCHAR)||chr(10)||'IDs em documents (linhas da extração): c'||CAST(id AS VARCHAR)||', x' ELSE {d.q(prompts.NO_EVIDENCE)} END||chr(10)||chr(10)||'Orientação do campo:'||chr(10)||CASE field {" ".join(f"WHEN '{n}' THEN {d.q(t)}" for n, t in prompts.GUIDANCE.items())} END
  ||chr(10)||chr(10)||'Formato de saída: APENAS JSON válido (uma linha se possível) com:'||chr(10)||'- a chave do campo "'||field||'" com o valor final (tipo correto: string, boolean, objeto timeline, ou null)'||chr(10)||'- a chave "_audit" com objeto {{ "decision": "accept"|"replace"|"reject", "reason": "breve, PT-BR" }}'
- ||chr(10)||'Exemplo de chaves: "'||field||'" e "_audit".'||chr(10)||'Referência de tipo/estrutura: {{"'||field||'":"texto..."}} ou {{"'||field||'": null}}' AS prompt FROM c""")
+ ||chr(10)||'Exemplo de chaves: "'||field||'" e "_audit".'||chr(10)||'Referência de tipo/estrutura: '||CASE field {" ".join(f"WHEN '{n}' THEN {d.q(prompts.example(n, audit=True))}" for n in FIELDS)} END AS prompt FROM c""")
 def build_requests_audit(f):
-    targets = C.audit_targets(f.notices).where("action = 'audit'").where(F.col("field").isin(*C.ALWAYS_AUDITED))
+    targets = C.audit_targets(f.notices).where("action = 'audit'")
     snippet = F.when(F.col("id") % 2 == 0, F.concat(F.lit("trecho "), "id"))
-    return R.build_audit_requests(targets.withColumns({"source": F.lit("topk"), "snippet": snippet}), f.notices)
+    ids = F.array(F.concat(F.lit("c"), "id"), F.lit(""), F.lit("x"))
+    return R.build_audit_requests(targets.withColumns({"source": F.lit("topk"), "snippet": snippet, "document_ids": ids}), f.notices)
 
 
 @query("build_requests_stipend", f"{USES}", f"""WITH {_ORD}, k AS (SELECT notice_id, id, content, {_KW} AS kw FROM od), r AS (SELECT *, row_number() OVER (PARTITION BY notice_id ORDER BY kw DESC, id) AS rn FROM k),
