@@ -119,12 +119,28 @@ def plain_lengths(ordered: DataFrame) -> DataFrame:
     return rows.groupBy("notice_id").agg((F.sum(F.col("n") + 2) - 2).alias("plain_len"))
 
 
-def span_overlap_join(spans: DataFrame, windows: DataFrame) -> DataFrame:
-    """Chunks touching each text window (notice_id, window_index, w_start, w_end)."""
-    hit = (spans["end"] > windows["w_start"]) & (spans["start"] < windows["w_end"])
-    return spans.join(windows, (spans["notice_id"] == windows["notice_id"]) & hit).select(
-        spans["notice_id"], "window_index", spans["id"]
-    )
+def span_lengths(spans: DataFrame) -> DataFrame:
+    """Length of each notice's joined text, from its spans."""
+    return spans.groupBy("notice_id").agg(F.max("end").alias("plain_len"))
+
+
+def span_overlap_join(spans: DataFrame, windows: DataFrame, bucket: int = 4096) -> DataFrame:
+    """Chunks touching each text window (notice_id, window_index, w_start, w_end).
+
+    Spans and windows are listed under every stretch of ``bucket`` characters they touch and meet there, so a long notice is
+    many keys and a pair is looked at only near its place; it is kept in the first stretch that both touch. Rows with a
+    null bound touch nothing.
+    """
+
+    def dealt(rows: DataFrame, start: str, end: str) -> DataFrame:
+        first = F.floor(F.col(start) / bucket)
+        last = F.greatest(first, F.floor((F.col(end) - 1) / bucket))
+        return rows.select("*", first.alias("_first"), F.explode(F.sequence(first, last)).alias("_bucket"))
+
+    s = dealt(spans.select("notice_id", "id", "start", "end"), "start", "end").withColumnRenamed("_first", "_s")
+    w = dealt(windows.select("notice_id", "window_index", "w_start", "w_end"), "w_start", "w_end").withColumnRenamed("_first", "_w")
+    met = s.join(w, ["notice_id", "_bucket"]).where("end > w_start AND start < w_end AND _bucket = greatest(_s, _w)")
+    return met.select("notice_id", "window_index", "id")
 
 
 def cosine_scores(rows: DataFrame, queries: dict[str, Sequence[float]], full: bool = False, keep: Sequence[str] = ("notice_id", "id")) -> DataFrame:

@@ -74,7 +74,8 @@ def sliding_windows(f):
 
 @query("span_overlap_join", USES, f"WITH {_SLIDE} SELECT sp.notice_id, window_index, sp.id FROM sp JOIN sw ON sp.notice_id = sw.notice_id AND sp.\"end\" > w_start AND sp.start < w_end")
 def span_overlap_join(f):
-    out = R.span_overlap_join(R.plain_text_spans(_ordered(f)), _windows(f))
+    spans = f.stored("spans", lambda: R.plain_text_spans(_ordered(f)))
+    out = R.span_overlap_join(spans, R.sliding_windows(R.span_lengths(spans)))
     return out.withColumn("window_index", F.col("window_index").cast("long"))
 
 
