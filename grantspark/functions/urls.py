@@ -133,20 +133,41 @@ def _private(h: Column) -> Column:
     return (h == "") | (h == "localhost") | h.endswith(".local") | F.coalesce(valid & private, F.lit(False))
 
 
-def path_segment(text: Column | str, limit: int = 100) -> Column:
+def path_segment(text: Column | str, limit: int | None = 100) -> Column:
+    """Text as one storage segment; null ``limit`` keeps it whole."""
     t = F.regexp_replace(blank(text), r"[^a-zA-Z0-9._-]", "_")
     t = F.regexp_replace(F.regexp_replace(t, r"_{2,}", "_"), r"^_+|_+$", "")
-    return F.substring(t, 1, limit)
+    return t if limit is None else F.substring(t, 1, limit)
 
 
-def file_name(url: Column | str) -> Column:
-    base = F.coalesce(F.nullif(grab(F.regexp_replace(path(url), r"\/+$", ""), r"([^\/]+)$"), F.lit("")), F.lit("edital.pdf"))
-    name = path_segment(decoded(base), 200)
+def last_part(url: Column | str) -> Column:
+    """Last part of an address's path, decoded: what a file name is made from."""
+    return decoded(F.coalesce(F.nullif(grab(F.regexp_replace(path(url), r"\/+$", ""), r"([^\/]+)$"), F.lit("")), F.lit("edital.pdf")))
+
+
+def file_name(url: Column | str, limit: int | None = 200) -> Column:
+    name = path_segment(last_part(url), limit)
     return F.when(F.lower(name).endswith(".pdf"), name).otherwise(F.concat(name, F.lit(".pdf")))
 
 
-def storage_path(source: Column | str, number: Column | str, url: Column | str) -> Column:
+def path_parts(source: Column | str, number: Column | str, url: Column | str, limits: tuple[int | None, int | None] = (100, 200)) -> Column:
+    """The three segments of a storage path."""
+
     def seg(c):
-        return path_segment(F.coalesce(F.nullif(blank(c), F.lit("")), F.lit("unknown")))
+        return path_segment(F.coalesce(F.nullif(blank(c), F.lit("")), F.lit("unknown")), limits[0])
+
+    return F.array(seg(source), seg(number), file_name(url, limits[1]))
+
+
+def storage_path(source: Column | str, number: Column | str, url: Column | str) -> Column:
+    return F.array_join(path_parts(source, number, url), "/")
+
+
+def whole_path(source: Column | str, number: Column | str, url: Column | str) -> Column:
+    """The storage path with nothing cut off: what tells files apart whose cut paths are equal."""
+    return F.array_join(path_parts(source, number, url, (None, None)), "/")
+
 
-    return F.concat_ws("/", seg(source), seg(number), file_name(url))
+def with_mark(name: Column, mark: Column) -> Column:
+    """A file name or path with a mark before its ending."""
+    return F.concat(F.regexp_replace(name, r"(?i)\.pdf$", ""), F.lit("-"), mark, F.coalesce(grab(name, r"(\.pdf)$"), F.lit(".pdf")))

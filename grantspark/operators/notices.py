@@ -13,7 +13,7 @@ from ..functions.text import blank, none_if_blank
 from ..functions.titles import (
     build_title, is_supplement, is_weak, link_number, link_text, parent_number, slug_number, text_number, title_number, title_score,
 )
-from ..functions.urls import file_name, host, is_unroutable, resolve_pdf_url, storage_path
+from ..functions.urls import file_name, host, is_unroutable, resolve_pdf_url, storage_path, whole_path, with_mark
 
 UPSERT_COLUMNS = ("titulo", "descricao", "data_publicacao", "data_encerramento", "status", "valor", "area", "orgao", "link", "processado_em")
 
@@ -120,22 +120,53 @@ def upsert_notices(stored: DataFrame, scraped: DataFrame, order: str = "pos", co
     return updated.unionByName(fresh.drop("k_titulo", "t"), allowMissingColumns=True)
 
 
+def settle_paths(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Paths of files whose cut segments meet told apart; adds ``path_mark``, set where cutting lost something.
+
+    Files that differ only behind the cut form a class. One of them holds the plain path: the one that is stored with it,
+    else one that lost nothing, else the one with the least mark. The others carry their mark, sixteen hex digits of
+    the uncut path, in the file name, so a file keeps its path whatever arrives later. ``stored`` may lack ``path_mark``
+    (older rows): then the address (``url_original``, where there is one) tells who holds the path. Failed rows hold nothing.
+    """
+    rows = compute(rows, _whole=whole_path("fonte", "numero", "pdf_url"))
+    rows = rows.withColumns({"_cut": F.col("_whole") != F.col("caminho_storage"), "_mark": F.left(F.sha2(F.col("_whole").cast("binary"), 256), F.lit(16))}).drop("_whole")
+    none = F.lit(None).cast("string")
+    held = stored.select(
+        "caminho_storage", *[(F.col(c) if c in stored.columns else none).alias(to) for c, to in (("path_mark", "mark"), ("url_original", "url"))]
+    )
+    # only classes in which something was cut are looked into
+    classes = rows.where("_cut").select("caminho_storage").union(held.where("mark IS NOT NULL").select("caminho_storage")).distinct()
+    claims = held.select("caminho_storage", F.struct(F.lit(0).alias("turn"), F.lit(False).alias("cut"), "mark", "url").alias("claim")).union(
+        rows.where("NOT failed").select("caminho_storage", F.struct(F.lit(1).alias("turn"), F.col("_cut").alias("cut"), F.col("_mark").alias("mark"), none.alias("url")).alias("claim"))
+    )
+    holders = claims.join(classes, "caminho_storage", "left_semi").groupBy("caminho_storage").agg(F.min("claim").alias("_h"))
+    rows = rows.join(holders, "caminho_storage", "left")
+    same_file = F.when(F.col("_h.mark").isNull(), F.coalesce(F.col("_h.url") == F.col("pdf_url"), ~F.col("_cut"))).otherwise(F.col("_h.mark") == F.col("_mark"))
+    plain = F.col("_h").isNull() | same_file
+    return rows.withColumns({
+        "nome_arquivo": F.when(plain, F.col("nome_arquivo")).otherwise(with_mark(F.col("nome_arquivo"), F.col("_mark"))),
+        "caminho_storage": F.when(plain, F.col("caminho_storage")).otherwise(with_mark(F.col("caminho_storage"), F.col("_mark"))),
+        "path_mark": F.when(F.col("_cut") | ~plain, F.col("_mark")),
+    }).drop("_h", "_cut", "_mark")
+
+
 def register_attachments(stored: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New attachment rows by storage path, and per notice how many files are new or failed.
 
     ``found``: edital_id, fonte, numero, pdf_url, optional failed. A path shared by several rows is
-    registered once; unroutable or failed downloads are counted, never fatal.
+    registered once; unroutable or failed downloads are counted, never fatal. Long names that are equal
+    up to the cut are files of their own (``settle_paths``).
     """
     rows = storage_paths(filter_unroutable(resolve_pdf_urls(found, "pdf_url"), keep_rejected=True))
     download_failed = F.coalesce(F.col("failed"), F.lit(False)) if "failed" in found.columns else F.lit(False)
-    rows = rows.withColumn("failed", ~F.col("routable") | download_failed)
+    rows = settle_paths(rows.withColumn("failed", ~F.col("routable") | download_failed), stored)
     fresh = rows.join(stored.select("caminho_storage").distinct(), "caminho_storage", "left_anti")
     good = fresh.where("NOT failed").groupBy("caminho_storage").agg(
-        F.min_by(F.struct("edital_id", "nome_arquivo", "pdf_url"), F.struct("edital_id", "pdf_url")).alias("r")
+        F.min_by(F.struct("edital_id", "nome_arquivo", "pdf_url", "path_mark"), F.struct("edital_id", "pdf_url")).alias("r")
     )
     new = good.select(
         "r.edital_id", "r.nome_arquivo", "caminho_storage", F.col("r.pdf_url").alias("url_original"),
-        F.lit("application/pdf").alias("tipo_mime"), F.lit(False).alias("is_processed"),
+        F.lit("application/pdf").alias("tipo_mime"), F.lit(False).alias("is_processed"), "r.path_mark",
     )
     failed = fresh.where("failed").groupBy("edital_id").agg(F.count("*").alias("failed_pdfs"))
     added = new.groupBy("edital_id").agg(F.count("*").alias("new_pdfs"))

@@ -153,6 +153,26 @@ def register_attachments(f):
     return N.register_attachments(stored, found.drop("doc_id"))[1]
 
 
+# names that differ only behind the cut: a first landing, then everything
+_LONG = """l AS (SELECT doc_id, doc_id % 50 AS edital_id, CAST(doc_id % 10 AS VARCHAR)||'/2026' AS numero, repeat('parte-', 40)||CAST(doc_id AS VARCHAR)||'.pdf' AS name FROM documents),
+p AS (SELECT *, 'src/'||replace(numero, '/', '_')||'/' AS folder, left(sha256('src/'||replace(numero, '/', '_')||'/'||name), 16) AS mark FROM l),
+h AS (SELECT numero, coalesce(min(mark) FILTER (WHERE doc_id % 6 = 0), min(mark)) AS holder FROM p GROUP BY 1)"""
+
+
+@query("register_attachments_long", "", f"""WITH {_LONG}
+SELECT edital_id, mark AS path_mark, folder||left(name, 200)||CASE WHEN mark = holder THEN '' ELSE '-'||mark END||'.pdf' AS caminho_storage, doc_id % 6 = 0 AS first FROM p JOIN h USING (numero)""")
+def register_attachments_long(f):
+    found = f.documents.select(
+        (F.col("doc_id") % 50).alias("edital_id"), F.lit("src").alias("fonte"), F.concat(F.col("doc_id") % 10, F.lit("/2026")).alias("numero"),
+        F.concat(F.lit("https://x.br/d/" + "parte-" * 40), "doc_id", F.lit(".pdf")).alias("pdf_url"), (F.col("doc_id") % 6 == 0).alias("early"),
+    )
+    empty = f.spark.createDataFrame([], "caminho_storage string, path_mark string, url_original string")
+    first = f.stored("landed", lambda: N.register_attachments(empty, found.where("early"))[0])
+    second = N.register_attachments(first, found)[0]
+    both = first.withColumn("first", F.lit(True)).unionByName(second.withColumn("first", F.lit(False)))
+    return both.select("edital_id", "path_mark", "caminho_storage", "first")
+
+
 @query("require_pdf_filter", "notices attachments", "SELECT id, fonte FROM notices WHERE id IN (SELECT edital_id FROM attachments)")
 def require_pdf_filter(f):
     pdfs = f.attachments.select(F.col("edital_id").alias("id"))
