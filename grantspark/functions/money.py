@@ -101,18 +101,24 @@ def segments(text: Column | str) -> Column:
     return let(squish(text), cut)
 
 
-def clip(t: Column, limit: int) -> Column:
+def clip(t: Column, limit: int | None) -> Column:
+    if limit is None:
+        return t
     return F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit - 1), F.lit("…"))).otherwise(t)
 
 
-def value_lines(text: Column | str, max_lines: int = 6, max_chars: int = 160) -> Column:
-    """Distinct short lines, one per amount, first parenthesis dropped."""
+def first_items(items: Column | str, limit: int | None) -> Column:
+    return F.slice(items, 1, limit) if limit is not None else F.col(items) if isinstance(items, str) else items
+
+
+def value_lines(text: Column | str, max_lines: int | None = None, max_chars: int | None = None) -> Column:
+    """Distinct lines, one per amount, first parenthesis dropped; all of them, whole, unless limited."""
 
     def line(seg):
         bare = squish(F.regexp_replace(seg, r"^([^(]*)\([^)]+\)", "$1"))
         return clip(F.when(seg.rlike(r"\([^)]+\)") & (bare != ""), bare).otherwise(seg), max_chars)
 
-    return F.slice(F.array_distinct(F.transform(segments(text), line)), 1, max_lines)
+    return first_items(F.array_distinct(F.transform(segments(text), line)), max_lines)
 
 
 def json_fields(value: Column | str) -> Column:
@@ -120,7 +126,7 @@ def json_fields(value: Column | str) -> Column:
     return let(squish(value), lambda t: F.when(t.startswith("{"), F.from_json(t, "map<string,string>")))
 
 
-def clean_line(raw: Column, limit: int = 200) -> Column:
+def clean_line(raw: Column, limit: int | None = None) -> Column:
     def read(t):
         return F.when((t != "") & ~has(t, r"^(null|n[aã]o informado)$"), clip(t, limit))
 

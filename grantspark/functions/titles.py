@@ -110,7 +110,7 @@ def slug_number(href: Column | str) -> Column:
     return F.coalesce(number_by(slug, SLUG_NUMBER), number_by(href, (r"(\d+)\/(\d{4})",)), F.lit(""))
 
 
-def build_title(text: Column | str, number: Column | str, source: Column | str) -> Column:
+def build_title(text: Column | str, number: Column | str, source: Column | str, limit: int | None = None) -> Column:
     num = F.trim(blank(number))
 
     def title(t):
@@ -120,7 +120,8 @@ def build_title(text: Column | str, number: Column | str, source: Column | str)
             .otherwise(F.concat(F.lit("Edital "), F.coalesce(F.nullif(blank(source), F.lit("")), F.lit("origem"))))
         )
 
-    return F.substring(let(link_text(text), title), 1, 400)
+    built = let(link_text(text), title)
+    return built if limit is None else F.substring(built, 1, limit)
 
 
 def _score(t: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import money as M
@@ -28,7 +29,6 @@ STRUCTURED = (
 )
 #: Serialized structured values keep their null members.
 AS_JSON = {"ignoreNullFields": "false"}
-MAX_LINES = 6
 
 
 def extract_amounts(texts: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -39,7 +39,7 @@ def parse_written_numbers(texts: DataFrame, column: str) -> DataFrame:
     return compute(texts, amount=M.written_amount(column))
 
 
-def value_lines(texts: DataFrame, column: str, max_lines: int = 6, max_chars: int = 160) -> DataFrame:
+def value_lines(texts: DataFrame, column: str, max_lines: int | None = None, max_chars: int | None = None) -> DataFrame:
     return compute(texts, lines=M.value_lines(column, max_lines, max_chars))
 
 
@@ -127,8 +127,11 @@ def _described(lines: Column) -> Column:
     return F.transform(lines, one)
 
 
-def structure_value(rows: DataFrame, raw: str = "raw", context: str = "contexto") -> DataFrame:
-    """Per-project lines, stipends and programme total of a model answer, checked against its context."""
+def structure_value(rows: DataFrame, raw: str = "raw", context: str = "contexto", max_lines: int | None = None) -> DataFrame:
+    """Per-project lines, stipends and programme total of a model answer, checked against its context.
+
+    ``max_lines`` keeps only the first lines and stipends.
+    """
     numbers = lambda c: F.flatten(F.transform(c, lambda l: l["ns"]))
     at = lambda k: F.try_element_at("m", F.lit(k))
     text = squish(raw)
@@ -192,8 +195,8 @@ def structure_value(rows: DataFrame, raw: str = "raw", context: str = "contexto"
     single = (F.size("linhas") == 0) & F.col("total").isNotNull() & F.col("qtd").eqNullSafe(F.lit(1))
     line = F.concat(F.lit("até "), M.format_brl(F.col("total")), F.lit(" (projeto único apoiado pela chamada)"))
     built = F.struct(
-        F.when(single, F.array(line)).otherwise(F.slice("linhas", 1, MAX_LINES)).alias("valor"),
-        F.slice("bolsas", 1, MAX_LINES).alias("bolsas"),
+        F.when(single, F.array(line)).otherwise(M.first_items("linhas", max_lines)).alias("valor"),
+        M.first_items("bolsas", max_lines).alias("bolsas"),
         F.col("low").alias("por_projeto_min"),
         F.when(single, F.col("total")).otherwise(F.col("high")).alias("por_projeto_max"),
         F.when(single, "projeto_unico").when(F.size("linhas") > 0, "edital").alias("por_projeto_origem"),
@@ -206,11 +209,12 @@ def structure_value(rows: DataFrame, raw: str = "raw", context: str = "contexto"
     return r.select(*rows.columns, "estruturado")
 
 
-def merge_values(values: DataFrame, keys: list[str], order: str, column: str = "estruturado") -> DataFrame:
+def merge_values(values: DataFrame, keys: list[str], order: str, column: str = "estruturado", max_lines: int | None = None) -> DataFrame:
     """One structured value per key: per-project part and total of the first that has them, union of stipends.
 
-    Each part is an ordered minimum, so partial results combine before the shuffle; only the first
-    MAX_LINES distinct stipends of a key are ever kept.
+    Each part is an ordered minimum, so partial results combine before the shuffle. Stipends are made distinct as rows of
+    (key, stipend) before a key's list is built, so a hot key is spread until only its result is left; ``max_lines``
+    keeps the first ones.
     """
     v = values.where(F.col(column).isNotNull())
     at = F.col(order)
@@ -229,10 +233,11 @@ def merge_values(values: DataFrame, keys: list[str], order: str, column: str = "
     )
     lines = v.select(*keys, at.alias("_o"), F.posexplode(f"{column}.bolsas").alias("_i", "b"))
     unique = lines.groupBy(*keys, "b").agg(F.min(F.struct("_o", "_i")).alias("_at"))
-    from pyspark.sql import Window as W
-
-    ranked = unique.withColumn("rn", F.row_number().over(W.partitionBy(*keys).orderBy("_at", "b"))).where(F.col("rn") <= MAX_LINES)
-    stipends = ranked.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "b"))), lambda x: x["b"]).alias("bolsas"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_at", "b"))), lambda x: x["b"])
+    if max_lines is not None:
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy("_at", "b"))
+        unique = unique.withColumn("_rn", rank).where(F.col("_rn") <= max_lines)
+    stipends = unique.groupBy(*keys).agg(ordered.alias("bolsas"))
     out = base.join(stipends, keys, "left")
     return out.select(
         *keys,
@@ -243,23 +248,34 @@ def merge_values(values: DataFrame, keys: list[str], order: str, column: str = "
     )
 
 
-def compact_value(rows: DataFrame, column: str = "valor_projeto", max_chars: int = 1400, line_chars: int = 240, max_items: int = 8) -> DataFrame:
-    """Storage form: structured JSON, short text as is, else JSON of short lines."""
+def compact_value(
+    rows: DataFrame, column: str = "valor_projeto", max_chars: int | None = None, line_chars: int | None = None, max_items: int | None = None
+) -> DataFrame:
+    """Storage form: structured JSON, a text of one line as is, else JSON of its lines.
+
+    Nothing is cut unless a limit is given. Over ``max_chars`` lines are clipped at 120 characters and the last ones left
+    out until the JSON fits, so that it always parses.
+    """
 
     def listed(items):
-        json = F.to_json(F.struct(items.alias("valor")))
-        shorter = F.to_json(F.struct(F.transform(items, lambda x: M.clip(x, 120)).alias("valor")))
-        return F.when(F.size(items) == 0, F.lit(None).cast("string")).when(F.length(json) > max_chars, F.substring(shorter, 1, max_chars)).otherwise(json)
+        def json(xs):
+            return F.to_json(F.struct(xs.alias("valor")))
+
+        def fitting(xs):
+            return F.aggregate(xs, F.array().cast(M.STRINGS), lambda kept, x: let(F.array_append(kept, x), lambda more: F.when(F.length(json(more)) <= max_chars, more).otherwise(kept)))
+
+        whole = json(items)
+        if max_chars is not None:
+            whole = F.when(F.length(whole) <= max_chars, whole).otherwise(json(fitting(F.transform(items, lambda x: M.clip(x, 120)))))
+        return F.when(F.size(items) > 0, whole)
 
     r = compute(rows, s=parse_structured(column), m=M.json_fields(column), t=squish(column), lines=M.value_lines(column, max_items, line_chars))
     items = F.filter(F.transform(M.raw_items(F.try_element_at("m", F.lit("valor"))), lambda v: M.clip(squish(v), line_chars)), lambda v: v != "")
-    r = compute(r, items=F.slice(items, 1, max_items))
-    text = (
-        F.when(F.size("lines") > 1, listed(F.col("lines")))
-        .when(F.length("t") <= line_chars, F.col("t"))
-        .when(F.size("lines") == 1, F.get("lines", F.lit(0)))
-        .otherwise(M.clip(F.col("t"), line_chars))
-    )
+    r = compute(r, items=M.first_items(items, max_items))
+    one = F.col("t")
+    if line_chars is not None:
+        one = F.when(F.length("t") <= line_chars, F.col("t")).otherwise(F.coalesce(F.get("lines", F.lit(0)), M.clip(F.col("t"), line_chars)))
+    text = F.when(F.size("lines") > 1, listed(F.col("lines"))).otherwise(one)
     stored = (
         F.when(F.col("s").isNotNull(), F.to_json("s", AS_JSON))
         .when(F.col("t") == "", F.lit(None).cast("string"))

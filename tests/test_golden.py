@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from grantspark.functions import deadlines as D
 from grantspark.functions import echo, money, titles, urls
 from grantspark.functions.dates import iso_text
-from grantspark.operators import audits, catalogue, chunks, deadlines, fields, listings, recommend, retrieval, sections, values, work
+from grantspark.operators import audits, catalogue, chunks, deadlines, fields, listings, notices, recommend, retrieval, sections, values, work
 from grantspark.streaming import events
 
 
@@ -380,3 +380,81 @@ def test_weak_support_is_seen_at_the_end_of_a_snippet(spark, flag, ending):
     rows = [("n", json.dumps({flag: True, "evidencias": {flag: snippet}}), snippet)]
     r = fields.sanitize_profile(spark.createDataFrame(rows, "notice_id string, raw string, contexto string")).first()
     assert f"{flag}:evidencia_fraca" in r["rejeitados"] and r["perfil"][flag] is None
+
+
+def test_values_keep_every_line_and_stipend(spark):
+    lines = [f"até R$ {n}.000,00 " + "por proposta aprovada " * 12 for n in range(101, 110)]
+    text = "; ".join(lines)
+    got = spark.createDataFrame([(text,)], "t string").select(money.value_lines("t").alias("v"), money.value_lines("t", 6, 160).alias("few")).first()
+    # the text is cut at each amount, so the lines joined give the text back but for its first words
+    assert len(got["v"]) == 9 and all(len(x) > 160 for x in got["v"]) and "".join(got["v"]).replace(" ", "") == text[len("até "):].replace(" ", "")
+    assert len(got["few"]) == 6 and all(len(x) == 160 for x in got["few"])
+
+    answer = {"por_projeto": [f"R$ {n}.000,00" for n in range(101, 110)], "bolsas": [f"bolsa {n} R$ {n}00,00" for n in range(20, 29)]}
+    rows = values.structure_value(spark.createDataFrame([(1, 0, json.dumps(answer), "")], "k int, o int, raw string, contexto string"))
+    m = values.merge_values(rows, ["k"], "o").first()["estruturado"]
+    assert m["valor"] == answer["por_projeto"] and m["bolsas"] == answer["bolsas"]
+    assert values.merge_values(rows, ["k"], "o", max_lines=6).first()["estruturado"]["bolsas"] == answer["bolsas"][:6]
+
+
+def test_stored_values_always_parse(spark):
+    items = [f"R$ {n}.000,00 " + "x" * 300 for n in range(101, 121)]
+    rows = spark.createDataFrame([(json.dumps({"valor": items}),), ("R$ 5,00 " + "y" * 500,), (None,), ("",)], "valor_projeto string")
+    whole = [r["compacted"] for r in values.compact_value(rows).collect()]
+    assert json.loads(whole[0])["valor"] == items and whole[1] == "R$ 5,00 " + "y" * 500 and whole[2:] == [None, None]
+    short = values.compact_value(rows, max_chars=1400, line_chars=240, max_items=15).first()["compacted"]
+    kept = json.loads(short)["valor"]
+    assert len(short) <= 1400 and 8 <= len(kept) < 15 and all(len(x) == 120 for x in kept)
+
+
+def test_long_file_names_are_files_of_their_own(spark):
+    stem = "https://x.br/d/" + "edital-" * 40
+    empty = spark.createDataFrame([], "caminho_storage string, path_mark string, url_original string")
+
+    def found(*names):
+        return spark.createDataFrame([(1, "src", "1/2026", n) for n in names], "edital_id long, fonte string, numero string, pdf_url string")
+
+    def paths(df):
+        return {r["url_original"]: r["caminho_storage"] for r in df.collect()}
+
+    first = notices.register_attachments(empty, found(stem + "a.pdf", stem + "b.pdf", "https://x.br/d/short.pdf"))[0]
+    a = paths(first)
+    assert len(set(a.values())) == 3 and a["https://x.br/d/short.pdf"] == "src/1_2026/short.pdf"
+    assert sum(p.endswith("edital-" * 4 + "edit.pdf") for p in a.values()) == 1
+    later = notices.register_attachments(first, found(stem + "c.pdf", stem + "a.pdf", stem + "b.pdf"))[0]
+    b = paths(later)
+    assert list(b) == [stem + "c.pdf"] and not set(b.values()) & set(a.values())
+    # older rows carry no mark: the address tells who holds the plain path
+    old = first.drop("path_mark")
+    again = paths(notices.register_attachments(old, found(stem + "a.pdf", stem + "b.pdf"))[0])
+    assert not again
+    # a name that is exactly as long as the cut collides with nothing that is stored under it
+    exact = "https://x.br/d/" + ("edital-" * 40)[:200] + ".pdf"
+    more = paths(notices.register_attachments(first, found(exact))[0])
+    assert list(more) == [exact] and not set(more.values()) & set(a.values())
+
+
+def test_span_overlap_is_found_near_its_place(spark):
+    rng = random.Random(5)
+    spans, at = [], 0
+    for i in range(3000):
+        n = rng.choice((1, 7, 400, 30_000)) if i % 500 == 0 else rng.randint(1, 60)
+        spans.append(("n", f"c{i}", at, at + n))
+        at += n + 2
+    windows = [("n", i, i * 2000, min(at, i * 2000 + 3000)) for i in range(at // 2000 + 1)]
+    s = spark.createDataFrame(spans + [("m", "x", 0, 5), ("m", "null", None, 5)], "notice_id string, id string, start long, end long")
+    w = spark.createDataFrame(windows + [("m", 0, 5, 9), ("m", 1, 2, 4)], "notice_id string, window_index int, w_start long, w_end long")
+    got = sorted(tuple(r) for r in retrieval.span_overlap_join(s, w).collect())
+    want = [("n", j, c) for _, c, a, b in spans for _, j, x, y in windows if b > x and a < y] + [("m", 1, "x")]
+    assert got == sorted(want)
+
+
+def test_span_overlap_of_a_long_notice_is_linear(spark):
+    s = spark.range(100_000).selectExpr("'n' AS notice_id", "cast(id AS string) AS id", "id * 102 AS start", "id * 102 + 100 AS end")
+    w = retrieval.sliding_windows(retrieval.span_lengths(s))
+    out = retrieval.span_overlap_join(s, w)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bucket" in plan.split("Join Inner")[1].split("\n")[0]
+    n, windows = out.count(), w.count()
+    # each window of 3000 characters meets some thirty chunks
+    assert windows * 28 <= n <= windows * 32
