@@ -69,6 +69,12 @@ def part(match: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(match, "(?is)" + pattern, group)
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of a tag's attribute, quoted or bare; empty where there is none."""
+    pattern = rf"\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return F.trim(unescape(F.concat(*[part(tag, pattern, i) for i in (1, 2, 3)])))
+
+
 def blocks(html: Column | str) -> Column:
     """Page cut before every block element; each piece holds one block's opening and what follows."""
     return F.split(F.regexp_replace(blank(html), "(?i)" + BLOCK_OPEN, MARK + "<$1$2"), MARK)

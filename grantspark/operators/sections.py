@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.frames import compute
-from ..functions.html import ANCHOR, all_matches, blocks, part, text_of
+from ..functions.html import ANCHOR, all_matches, attribute, blocks, part, text_of, without
 from ..functions.text import blank, grab, has, none_if_blank
 from ..functions.titles import build_title, is_supplement, link_number, title_score, link_text
-from ..functions.tree import panel_links
 from ..functions.urls import absolute_url, is_junk_pdf, is_pdf_link, path, resolve_pdf_url
+from ..session import materialize
 
 # Headings and registration wording.
 HEADING = r"<h[234][^>]*>"
+# How the ids of collapse panels begin.
+PANEL = "collapse-"
+TAG = r"<(\/?)([a-z][^\s\/>]*)[^>]*>"
+#: A link to a panel and its text, which ends at the end of the link or at the next one.
+PANEL_LINK = rf"<a\s[^>]*?href\s*=\s*[\"']?\s*#({PANEL}[^\"'\s>]*)[^>]*>(.*?)(?=<\/a|<a[\s>]|$)"
 # Month names the section dates use; any other month reads as June.
 SECTION_MONTHS = {"maio": "05", "junho": "06", "julho": "07"}
 REGISTRATION_UNTIL = r"Inscri[çc][õo]es\s+at[ée]:?\s*([^<\n]+)"
@@ -86,21 +91,68 @@ def split_sections(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, files.select("page_id", "section", resolve_pdf_url("abs").alias("pdf_url")).distinct()
 
 
-def collapse_sections(pages: DataFrame) -> DataFrame:
-    """Collapse panels (tree form): panel title and its files, panels without files dropped."""
+def panel_tokens(pages: DataFrame) -> DataFrame:
+    """Tags of pages with collapse panels that open or close a panel's kind of element, and file links, in page order.
+
+    Rows (page_id, url, doc, pos, tag, step, ident, href); ``step`` is +1, -1 or 0. Scripts, styles and comments hold no tags.
+    """
+    html = F.regexp_replace(without("html", "script", "style"), r"(?s)<!--.*?-->", "")
+    p = pages.select("page_id", "url", "html").where(F.contains(F.lower(blank("html")), F.lit("#" + PANEL)))
+    token = F.transform(
+        all_matches(html, TAG),
+        lambda t: F.struct(
+            F.lower(part(t, TAG, 2)).alias("tag"),
+            F.when(t.endswith("/>"), 0).when(part(t, TAG, 1) == "/", -1).otherwise(1).alias("step"),
+            attribute(t, "id").alias("ident"),
+            attribute(t, "href").alias("href"),
+        ),
+    )
+    p = compute(p, doc=F.xxhash64("html"), tokens=token)
+    panels = F.array_distinct(F.transform(F.filter("tokens", lambda t: t["ident"].startswith(PANEL)), lambda t: t["tag"]))
+    p = compute(p.select("page_id", "url", "doc", "tokens"), panels=panels)
+    rows = p.select("page_id", "url", "doc", "panels", F.posexplode("tokens").alias("pos", "t")).select("page_id", "url", "doc", "pos", "t.*", "panels")
+    is_link = (F.col("tag") == "a") & (F.col("step") == 1) & is_pdf_link("href")
+    return rows.where(is_link | F.array_contains("panels", F.col("tag"))).drop("panels")
 
-    def walk(batches):
-        for pdf in batches:
-            out = [
-                (pid, url, title, href)
-                for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"])
-                for title, href in panel_links(html or "")
-            ]
-            yield pd.DataFrame(out, columns=["page_id", "url", "titulo", "href"])
 
-    found = pages.select("page_id", "url", "html").mapInPandas(walk, "page_id long, url string, titulo string, href string")
-    clean = F.trim(F.regexp_replace("titulo", r"[+\-]\s*$", ""))
-    found = found.withColumn("titulo", clean).where("titulo <> ''")
+def panel_ranges(tokens: DataFrame) -> DataFrame:
+    """(page_id, doc, ident, start, end): where each panel's element opens and closes.
+
+    The depth of an element among those of its own tag is a running sum in which a closing tag that closes nothing does not
+    count; the element ends at the next tag that closes its depth, or with the page. A closing tag thus closes elements of
+    its own tag only, also where it crosses others that were left open.
+    """
+    t = tokens.where("step <> 0").select("page_id", "doc", "tag", "pos", "step", "ident")
+    # a page stored twice is one page here
+    t = t.repartition("page_id", "doc", "tag").dropDuplicates(["page_id", "doc", "tag", "pos"])
+    w = W.partitionBy("page_id", "doc", "tag").orderBy("pos")
+    t = t.withColumn("sum", F.sum("step").over(w))
+    t = t.withColumn("depth", F.col("sum") - F.least(F.lit(0), F.min("sum").over(w)))
+    t = t.withColumn("before", F.coalesce(F.lag("depth").over(w), F.lit(0))).where("depth <> before")
+    level = W.partitionBy("page_id", "doc", "tag", F.greatest("depth", "before")).orderBy("pos")
+    t = t.withColumn("end", F.coalesce(F.lead("pos").over(level), F.lit(2**31 - 1)))
+    return t.where((F.col("step") == 1) & F.col("ident").startswith(PANEL)).select("page_id", "doc", "ident", F.col("pos").alias("start"), "end")
+
+
+def collapse_sections(pages: DataFrame, stretch: int = 64) -> DataFrame:
+    """Collapse panels (tree form): panel title and its files, panels without files dropped.
+
+    A panel's title is the text of the link to its id, its files are the links inside its element. Links and elements meet in
+    stretches of ``stretch`` tags. Rows of one page number with other texts are pages of their own; a null page has no panels.
+    """
+    tokens = materialize(panel_tokens(pages), "panel-tokens")
+    ranges = panel_ranges(tokens)
+    links = tokens.where("step = 1 AND tag = 'a'").where(is_pdf_link("href")).select("page_id", "url", "doc", "pos", "href").withColumn("_at", F.floor(F.col("pos") / stretch))
+    last = links.groupBy("page_id", "doc").agg(F.max("_at").alias("_last"))
+    spread = ranges.join(last, ["page_id", "doc"])
+    first = F.floor(F.col("start") / stretch)
+    spread = spread.where(first <= F.col("_last")).select("page_id", "doc", "ident", "start", "end", F.explode(F.sequence(first, F.least("_last", F.floor(F.col("end") / stretch)))).alias("_at"))
+    inside = spread.join(links, ["page_id", "doc", "_at"]).where("pos > start AND pos < end").select("page_id", "doc", "ident", "url", "href")
+
+    heads = pages.select("page_id", F.xxhash64("html").alias("doc"), F.explode(all_matches("html", PANEL_LINK)).alias("m"))
+    heads = compute(heads, ident=part(F.col("m"), PANEL_LINK, 1), titulo=F.trim(F.regexp_replace(text_of(part(F.col("m"), PANEL_LINK, 2)), r"[+\-]\s*$", "")))
+    heads = heads.where("titulo <> ''").select("page_id", "doc", "ident", "titulo").distinct()
+    found = inside.join(heads, ["page_id", "doc", "ident"])
     found = found.select("page_id", "titulo", F.col("url").alias("link"), absolute_url("href", "url").alias("pdf_url"))
     return found.where("pdf_url <> ''").distinct()
 

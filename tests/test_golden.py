@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import re
 import uuid
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -458,3 +460,69 @@ def test_span_overlap_of_a_long_notice_is_linear(spark):
     n, windows = out.count(), w.count()
     # each window of 3000 characters meets some thirty chunks
     assert windows * 28 <= n <= windows * 32
+
+
+class _Panels(HTMLParser):
+    """Brute force for collapse panels: a stack of open elements."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.titles, self.links, self.now = [], [], {}, None
+        self.feed(html)
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: (v or "").strip() for k, v in attrs}
+        if tag == "a":
+            self.now = None
+            if a.get("href", "").startswith("#collapse-"):
+                self.now = [a["href"][1:], ""]
+                self.titles.append(self.now)
+            elif ".pdf" in a.get("href", "").lower():
+                for _, ident in self.stack:
+                    self.links.setdefault(ident, []).append(a["href"])
+        if tag not in ("br", "img"):
+            self.stack.append((tag, a.get("id", "")))
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.now = None
+        if tag in [t for t, _ in self.stack]:
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if self.now:
+            self.now[1] += data
+
+    def pairs(self):
+        named = [(i, re.sub(r"[+\-]\s*$", "", " ".join(t.split())).strip()) for i, t in self.titles]
+        return {(t, h) for i, t in named if t for h in self.links.get(i, [])}
+
+
+def test_collapse_panels_against_a_stack(spark):
+    rng = random.Random(11)
+
+    def tree(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            n = rng.randint(0, 12)
+            kind = rng.random()
+            if kind < 0.3:
+                out.append(f'<a class=x href="/f/{n}.PDF?a=1&amp;b=2">Ficheiro <b>{n}</b></a>')
+            elif kind < 0.5:
+                out.append(f"<A href='#collapse-{n}'>Prêmio <i>{n}</i> &amp; outros +" + rng.choice(("</a>", "<a href='/x'>y</a>")))
+            elif kind < 0.6:
+                stray = ("</div>", "</section>") if depth == 4 else ()
+                out.append(rng.choice((*stray, "<br>", "<img id=collapse-1 src=a.png/>", "<!-- <div id=collapse-2> -->", "<p>sem fim", "<script>'</div>'</script>")))
+            elif depth:
+                tag = rng.choice(("div", "section"))
+                out.append(f"<{tag} class='p' id=\"collapse-{n}\">{tree(depth - 1)}</{tag}>" if rng.random() < 0.8 else f"<{tag}>{tree(depth - 1)}</{tag}>")
+        return "".join(out)
+
+    pages = [(i, f"https://s.br/{i}", "<html><body>" + "".join(tree(4) for _ in range(6)) + "</body></html>") for i in range(60)]
+    long = "".join(f'<a href="#collapse-{n}">Painel {n}</a><div id="collapse-{n}"><div><a href="/g/{n}.pdf">x</a></div></div>' for n in range(3000))
+    pages += [(60, "https://s.br/60", long), (61, "https://s.br/61", None), (62, "https://s.br/62", ""), pages[3]]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {(r["page_id"], r["titulo"], r["link"], r["pdf_url"]) for r in sections.collapse_sections(df).collect()}
+    want = {(i, t, url, "https://s.br" + h) for i, url, html in pages for t, h in _Panels(html or "").pairs()}
+    assert len(want) > 3050 and got == want
