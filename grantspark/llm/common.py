@@ -71,6 +71,14 @@ def release_worker_state() -> None:
             trim(0)
 
 
+def copies(rows: DataFrame, most: int = 1 << 12) -> DataFrame:
+    """Each row ``_n`` times, with ``_i`` counting from 0 in place of ``_n``; of a row with very many copies every task writes at most ``most``."""
+    few = rows.filter(F.col("_n") <= most).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_i"))
+    parts = rows.filter(F.col("_n") > most).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(most).cast("long"))).alias("_from"))
+    spread = parts.repartition(F.xxhash64(*parts.columns)).select("*", F.explode(F.sequence("_from", F.least(F.col("_n"), F.col("_from") + most) - 1)).alias("_i"))
+    return few.union(spread.drop("_from")).drop("_n")
+
+
 def texts_of(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[list[str]]:
     """The strings of an Arrow column (null: empty) in runs of about ``most_bytes``, so that Python objects stay few."""
     column = column.fill_null("")

@@ -2,7 +2,7 @@
 
 Records are hashed, then ordered offset ranges of a file (64 KB, then 1 MB, then the file), then runs of 16 files, up to one
 root. Two replicas whose roots agree are equal, and nothing else is read. Otherwise each level compares only the children of
-ranges that differ above, down to the records. Every node has few children (bounded by the bytes of its range, or 16), so no task
+ranges that differ above, down to the records; the ranges that differ are stored per level. Every node has few children (bounded by the bytes of its range, or 16), so no task
 gathers a file, and node tables are stored once per level.
 
 Null addresses and bodies count as empty. Pages without a number go to files of their own, by a hash. Repeated rows are records
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, query, table
+from .common import copies, materialize, query, table
 
 #: Bits of an offset that a range leaves out, from the finest level up; above them one file, then runs of files.
 RANGE_BITS = (16, 20)
@@ -38,9 +38,19 @@ def file_of(page: Column, *others: Column) -> Column:
 
 
 def with_offsets(records: DataFrame, *order: str) -> DataFrame:
-    """Add each record's offset in its file; a file holds a fixed number of pages, so its window is bounded."""
-    before = Window.partitionBy("file").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return records.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    """Add each record's offset in its file, in the given order.
+
+    Equal records are counted and placed as one run. Runs are dealt out by range and stored, their lengths summed within
+    (file, range) and shifted by the ranges before, so a file or a page number that many rows repeat is no single task.
+    """
+    runs = records.groupBy(*[F.col(f"`{c}`") for c in records.columns]).agg(F.count("*").alias("_n"))
+    runs = materialize(runs.repartitionByRange("file", *order, F.xxhash64(*records.columns)).withColumn("_block", F.spark_partition_id()), "runs")
+    sizes = runs.groupBy("file", "_block").agg(F.sum(F.col("length") * F.col("_n")).alias("_size"))
+    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", "_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("file", "_block").orderBy(*order, F.xxhash64(*records.columns)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.withColumn("_before", F.coalesce(F.sum(F.col("length") * F.col("_n")).over(inside), F.lit(0))).join(starts, ["file", "_block"])
+    return copies(placed).select(*records.columns, (F.col("_start") + F.col("_before") + F.col("_i") * F.col("length")).alias("offset"))
 
 
 def _above(level: int, depth: int) -> list[Column]:
@@ -99,7 +109,8 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
         )
         if level == depth and differing.isEmpty():
             return differing.select("file", "offset", F.lit("equal").alias("problem"))
-        suspects = differing.select(F.col("file").alias("up_file"), F.col("offset").alias("up_offset"))
+        if level:
+            suspects = materialize(differing.select(F.col("file").alias("up_file"), F.col("offset").alias("up_offset")), "suspects")
     problem = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
     return differing.select("file", "offset", problem.alias("problem"))
 

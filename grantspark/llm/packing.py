@@ -361,7 +361,11 @@ def _numbered(schema: T.StructType):
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add sequence_id and offset to rows with a ``length`` of 1 to ``capacity``; all other columns are carried along."""
+    """Add (or replace) sequence_id and offset of rows with a ``length`` of 1 to ``capacity``; all other columns are carried along."""
+    pieces = pieces.drop("sequence_id", "offset")
+    names = pieces.columns
+    # names of our own, so that no column of the input clashes with what is worked out on the way
+    pieces = pieces.toDF(*["length" if c == "length" else f"c{i}" for i, c in enumerate(names)])
     schema = T.StructType(list(pieces.schema) + [T.StructField("_task", T.LongType()), T.StructField("_number", T.LongType())])
     held = materialize(pieces.mapInArrow(_numbered(pieces.schema), schema), "pieces")
     by_task = materialize(held.groupBy("_task", "length").agg(F.count("*").alias("n")), "lengths")
@@ -384,7 +388,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     firsts = by_task.select("_task", "length", F.coalesce(before, F.lit(0)).alias("_first"))
     return (
         held.join(firsts, ["_task", "length"]).withColumn("_place", place(F.col("length"), F.col("_number") + F.col("_first")))
-        .select(*pieces.columns, "_place.sequence_id", "_place.offset")
+        .select(*pieces.columns, "_place.sequence_id", "_place.offset").toDF(*names, "sequence_id", "offset")
     )
 
 

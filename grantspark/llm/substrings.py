@@ -191,8 +191,9 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
 
     ``kept`` is the text itself (null for null) where nothing is removed, else the words left, joined by one space.
     """
-    others = [c for c in docs.columns if c != text_col and c not in ("n_words", "n_removed", "spans", "kept", "key")]
-    carried = [F.col(f"`{c}`") for c in others]
+    others = [c for c in docs.columns if c != text_col and c not in ("n_words", "n_removed", "spans", "kept")]
+    # names of our own, so that no column of the input clashes with what is worked out on the way
+    carried = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)]
     body = F.col(f"`{text_col}`").cast("binary")
     key = F.unhex(F.md5(F.coalesce(body, F.lit("").cast("binary"))))
     texts = docs.select(*carried, key.alias("key"), body.alias("_body"))
@@ -221,11 +222,12 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     twice = materialize(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"), "twice")
     outside = windows.join(twice, ["h1", "h2"], "left_semi").select("key", "first", F.lit(1).alias("count"))
     marks = inside.join(keys, "row").select("key", "first", "count").distinct().union(outside).groupBy("key").agg(F.collect_list(F.struct("first", "count")).alias("_marks"))
-    found = texts.select(*carried, "key", _packed("_body").alias("_packed")).join(marks, "key", "left").select(*carried, "_packed", "_marks")
+    places = [f"_{i}" for i in range(len(others))]
+    found = texts.select(*places, "key", _packed("_body").alias("_packed")).join(marks, "key", "left").select(*places, "_packed", "_marks")
     return found.mapInArrow(
         _stripped(window, len(others)),
         with_fields(T.StructType(list(found.schema)[:len(others)]), "n_words long, n_removed long, spans array<struct<start:int,stop:int>>, kept string"),
-    )
+    ).toDF(*others, "n_words", "n_removed", "spans", "kept")
 
 
 @query("op10_substrings")

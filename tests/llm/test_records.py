@@ -57,12 +57,14 @@ def test_quotation_links(spark):
         (1, 3, "user", "A reply to the first\n> where is the hall?"),
     ]
     df = spark.createDataFrame(mail, "conv_id long, turn long, role string, body string").withColumn("depth", F.lit("clash"))
-    got = {(r.conv_id, r.turn): (r.root, r.depth, r.parent, r.text) for r in quotes.link(df).collect()}
-    assert got == {
-        (1, 0): (0, 0, None, "Where is the hall?\nSee you"), (1, 1): (0, 1, 0, "Second street."), (1, 2): (0, 2, 1, "Thanks"),
-        (1, 3): (0, 1, 0, "A reply to the first"), (1, 4): (4, 0, None, "own"), (2, 0): (0, 0, None, "Where is the hall?"),
-        (2, 5): (5, 0, None, ""), (2, 6): (6, 0, None, ""),
-    }
+    got = sorted(((r.conv_id, r.turn, r.root, r.depth, r.parent, r.text) for r in quotes.link(df).collect()), key=repr)
+    first = "Where is the hall?\nSee you"
+    assert got == sorted([
+        (1, 0, 0, 0, None, first), (1, 1, 0, 1, 0, "Second street."), (1, 2, 0, 2, 1, "Thanks"), (1, 3, 0, 1, 0, "A reply to the first"),
+        (1, 4, 4, 0, None, "own"), (2, 0, 0, 0, None, "Where is the hall?"), (2, 5, 5, 0, None, ""), (2, 6, 6, 0, None, ""),
+        # a row without a conversation and one that repeats a turn are left unlinked
+        (None, 0, 0, 0, None, "x"), (1, 3, 3, 0, None, "A reply to the first"),
+    ], key=repr)
     assert quotes.link(df.filter("turn < 0")).count() == 0
 
 
@@ -108,3 +110,33 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     last = stages["packing"](spark, docs, folder)
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, folder).collect()) == Counter(r.doc_id for r in last.collect())
     assert simhash.RADIUS == 2 and toxicity.FIT_DOCS > 0
+
+
+def test_every_message_comes_back(spark):
+    mail = [(1, 0, "a", "x"), (None, 0, "a", "x"), (1, None, "a", "y"), (1, None, "a", "y"), (1, 0, "b", "x"), (1, 0, None, "z"), (1, 1, "a", "ok\n> x"), (None, None, None, None)]
+    mail += [(7, 3, "a", "same")] * 10_000
+    got = quotes.link(spark.createDataFrame(mail, "conv_id long, turn long, role string, body string"))
+    assert got.count() == len(mail) and got.filter("conv_id = 7 AND root = 3 AND depth = 0").count() == 10_000
+    assert [tuple(r) for r in got.filter("conv_id = 1 AND turn = 1").select("root", "parent").collect()] == [(0, 0)]
+
+
+def test_fixity_offsets_of_repeated_records(spark):
+    rows = [(0, 1, "a", 10)] * 9000 + [(0, 1, "b", 7), (0, 0, "c", 5), (3, 3000, "d", 4)] + [(0, 1, f"u{i:04d}", 3) for i in range(500)]
+    df = spark.createDataFrame(rows, "file long, page_id long, url string, length long")
+    at = {}
+    want = []
+    for file, page, url, n in sorted(rows):
+        want.append((file, page, url, n, at.get(file, 0)))
+        at[file] = at.get(file, 0) + n
+    assert sorted(tuple(r) for r in fixity.with_offsets(df, "page_id", "url").select("file", "page_id", "url", "length", "offset").collect()) == want
+
+
+def test_fixity_joins_do_not_double_with_the_levels(spark):
+    def joins(files):
+        rows = spark.range(files).selectExpr("id AS file", "0L AS offset", "sha2(cast(id AS string), 256) AS hash")
+        found = fixity.audit(materialize(rows, "a"), materialize(rows.withColumn("hash", F.when(F.col("file") == files // 2, "x").otherwise(F.col("hash"))), "b"))
+        assert [tuple(r) for r in found.collect()] == [(files // 2, 0, "corrupt")]
+        return found._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    # three levels of runs of files plan no more joins than none
+    assert joins(1) == joins(5000) <= 3
