@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -330,7 +331,46 @@ def profile_candidates(catalogue: DataFrame, force: bool = False, ids: DataFrame
     return out.orderBy("id").limit(limit) if limit else out
 
 
-def apply_extra_fields(rows: DataFrame, accepted: DataFrame, column: str) -> DataFrame:
-    """Accepted values (id, value) over a snapshot's column; other rows keep theirs."""
+def accepted_profiles(sanitized: DataFrame) -> DataFrame:
+    """(id, value) of the profiles of ``sanitize_profile`` that hold something, as JSON with their evidence."""
+    value = F.to_json(F.struct("perfil.*", "evidencias"))
+    return sanitized.where("status = 'ok'").select("id", value.alias("value"))
+
+
+def _one_each(accepted: DataFrame) -> DataFrame:
+    """One answer per id: the greatest of several."""
+    rest = [c for c in accepted.columns if c != "id"]
+    return accepted.where("id IS NOT NULL").groupBy("id").agg(F.max(F.struct(*rest)).alias("_a")).select("id", "_a.*")
+
+
+def _fill(rows: DataFrame, accepted: DataFrame, column: str) -> DataFrame:
+    """Values (id, value) over a snapshot's column; other rows keep theirs."""
     new = accepted.select("id", F.col("value").alias("_new"))
     return rows.join(new, "id", "left").withColumn(column, F.coalesce("_new", column)).select(*rows.columns)
+
+
+def apply_extra_fields(notices: DataFrame, catalogue: DataFrame, stipends: DataFrame | None = None, values: DataFrame | None = None,
+                       profiles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Next snapshots of notices and catalogue with the accepted answers; rows without one keep what they have.
+
+    ``stipends`` and ``values`` are (id, value, evidence): both go to the notices, with the evidence merged into the stored map, values
+    also to the catalogue. ``profiles`` (id, value) go to both. Of several answers for one id the greatest counts; ids that neither table
+    holds change nothing.
+    """
+    evidence = []
+    if stipends is not None:
+        stipends = _one_each(stipends.select("id", "value", "evidence"))
+        notices = _fill(notices, stipends, "valor_bolsa")
+        evidence.append(stipends.withColumn("field", F.lit("valor_bolsa")))
+    if values is not None:
+        values = _one_each(values.select("id", "value", "evidence"))
+        notices, catalogue = _fill(notices, values, "valor_projeto"), _fill(catalogue, values, "valor_projeto")
+        evidence.append(values.withColumn("field", F.lit("valor_projeto")))
+    if profiles is not None:
+        profiles = _one_each(profiles.select("id", "value"))
+        notices, catalogue = _fill(notices, profiles, "perfil_execucao"), _fill(catalogue, profiles, "perfil_execucao")
+    if evidence:
+        columns = notices.columns
+        found = reduce(DataFrame.unionByName, evidence).select(F.col("id").alias("notice_id"), "field", "evidence")
+        notices = merge_evidence(notices, found).select(*columns)
+    return notices, catalogue

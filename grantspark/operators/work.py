@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FIELDS
 from ..functions.deadlines import phases
 from ..functions.text import squish
+from ..session import materialize
 
 ORDERS = ("new_first", "pending_first", "documents_chunks_only", "fetch")
 
@@ -58,6 +59,20 @@ def order_work(notices: DataFrame, mode: str = "new_first", chunk_counts: DataFr
     return out.orderBy(*keys[mode])
 
 
+def numbered(ordered: DataFrame) -> DataFrame:
+    """Rows of a sorted frame with their place ``pos`` from 1.
+
+    The sort deals rows out by range, so a place is the row's index in its partition plus the counts of those before; only
+    these counts, one row per partition, are summed in order.
+    """
+    rows = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.withColumn("_part", part).join(sizes, "_part").withColumn("pos", inside + F.col("_before") + 1).drop("_at", "_part", "_before")
+
+
 def take_batch(ordered: DataFrame, limit: int | None = None, only_id=None) -> DataFrame:
     if only_id is not None:
         return ordered.where(F.col("id") == only_id)

@@ -192,7 +192,48 @@ def extra_extract_candidates(f):
     return stipend.unionByName(S.profile_candidates(cat).select(F.lit("profile").alias("kind"), "id"))
 
 
+def _evidence(source, snippet):
+    """An evidence record that names no file."""
+    nothing = F.lit(None)
+    return F.struct(F.lit(source).alias("source"), snippet.alias("snippet"), nothing.cast("array<string>").alias("document_ids"), nothing.cast("string").alias("document_id"), nothing.cast("int").alias("chunk_index"))
+
+
+def _extra_fields(f):
+    """Both snapshots after stipends, re-extracted values and profiles; every second notice already holds evidence for its places."""
+    stipends = S.validate_stipend(_stipends(f)).where("status = 'ok'")
+    stipends = stipends.select(F.col("event_id").alias("id"), F.col("valor").alias("value"), _evidence("stipend", F.col("evidencia")).alias("evidence"))
+    # the smaller of two answers for one notice is overruled
+    said = f.events.where("event_id % 5 = 1").select(F.col("event_id").alias("id"), F.explode(F.array(F.lit("R$ 1,00"), F.concat(F.lit("R$ 9"), F.col("event_id").cast("string"), F.lit(",00")))).alias("value"))
+    values = said.withColumn("evidence", _evidence("value", F.col("value")))
+    rows = f.spark.sql(PROFILES.replace("{", "{{").replace("}", "}}").replace("FROM events", "FROM {events}"), events=f.events)
+    profiles = S.accepted_profiles(S.sanitize_profile(rows.withColumnRenamed("event_id", "id")))
+    held = F.when(F.col("id") % 2 == 0, F.create_map(F.lit("vagas"), _evidence("topk", F.lit("40 vagas")))).cast(f"map<string,{S.EVIDENCE}>")
+    none = F.lit(None).cast("string").alias("perfil_execucao")
+    notices = f.notices.select("id", "valor_bolsa", "valor_projeto", none, held.alias("informacoes_extracao_evidence"))
+    return S.apply_extra_fields(notices, f.catalogue.select("id", "valor_projeto", none), stipends, values, profiles)
+
+
 @query("apply_extra_fields", "notices", f"WITH {_SV}, a AS (SELECT event_id AS id FROM ss WHERE status = 'ok') SELECT n.id, CASE WHEN a.id IS NOT NULL THEN 'ATP-A: R$ 700,00/mês' ELSE valor_bolsa END AS valor_bolsa FROM notices n LEFT JOIN a ON a.id = n.id")
 def apply_extra_fields(f):
-    ok = S.validate_stipend(_stipends(f)).where("status = 'ok'").select(F.col("event_id").alias("id"), F.col("valor").alias("value"))
-    return S.apply_extra_fields(f.notices.select("id", "valor_bolsa"), ok, "valor_bolsa")
+    return _extra_fields(f)[0].select("id", "valor_bolsa")
+
+
+_EXTRA = f"""WITH {_SV}, pr AS ({PROFILES}), a AS (SELECT event_id AS id FROM ss WHERE status = 'ok'), v AS (SELECT event_id AS id, 'R$ 9'||CAST(event_id AS VARCHAR)||',00' AS value FROM events WHERE event_id % 5 = 1),
+p AS (SELECT event_id AS id, CAST(CASE form WHEN 0 THEN 24 END AS DOUBLE) AS meses, CASE form WHEN 0 THEN 'pelo TransfereGov' END AS transferegov FROM pr WHERE form IN (0, 1, 4)),
+both_ AS (SELECT 'notices' AS snapshot, id, valor_projeto FROM notices UNION ALL SELECT 'catalogue', id, valor_projeto FROM catalogue)
+SELECT snapshot, b.id, coalesce(v.value, b.valor_projeto) AS valor_projeto, p.id IS NOT NULL AS has_profile, meses, transferegov,
+ CASE WHEN snapshot = 'notices' THEN concat_ws(',', CASE WHEN b.id % 2 = 0 THEN 'vagas=40 vagas' END, CASE WHEN a.id IS NOT NULL THEN 'valor_bolsa=Bolsa de  R$ 700,00 mensais' END, CASE WHEN v.id IS NOT NULL THEN 'valor_projeto='||v.value END) END AS evidence
+FROM both_ b LEFT JOIN a ON a.id = b.id LEFT JOIN v ON v.id = b.id LEFT JOIN p ON p.id = b.id"""
+
+
+@query("apply_extra_fields_snapshots", "notices catalogue", _EXTRA)
+def apply_extra_fields_snapshots(f):
+    notices, catalogue = _extra_fields(f)
+    entries = F.map_entries("informacoes_extracao_evidence")
+    # array_join of null is null: a notice without any evidence shows an empty text
+    shown = F.array_sort(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"]["snippet"])))
+    pick = lambda df, name, evidence: df.select(
+        F.lit(name).alias("snapshot"), "id", "valor_projeto", F.col("perfil_execucao").isNotNull().alias("has_profile"), F.get_json_object("perfil_execucao", "$.prazo_execucao_meses").cast("double").alias("meses"),
+        F.get_json_object("perfil_execucao", "$.evidencias.transferegov").alias("transferegov"), evidence.alias("evidence"),
+    )
+    return pick(notices, "notices", F.coalesce(F.array_join(shown, ","), F.lit(""))).unionByName(pick(catalogue, "catalogue", F.lit(None).cast("string")))

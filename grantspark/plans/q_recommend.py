@@ -110,6 +110,18 @@ def replace_scope_rows(f):
     return snapshot.withColumn("score", F.col("score").cast("long"))
 
 
+@query("upsert_scope_rows", USES, f"""WITH {_pairs_sql()}, nw AS (SELECT user_id, edital_id, score FROM tp WHERE empresa_id IS NULL AND edital_id % 3 <> 0),
+od AS (SELECT user_id, edital_id, 1 AS score FROM tp WHERE empresa_id IS NULL AND edital_id % 2 = 0 UNION ALL SELECT user_id, -2, 60 FROM profiles)
+SELECT user_id, edital_id, CAST(score AS BIGINT) AS score, false AS updated FROM od WHERE NOT EXISTS (SELECT 1 FROM nw WHERE nw.user_id = od.user_id AND nw.edital_id = od.edital_id)
+UNION ALL SELECT user_id, edital_id, CAST(score AS BIGINT), true FROM nw""")
+def upsert_scope_rows(f):
+    best = f.stored("best", lambda: _top(f).where("empresa_id IS NULL").select("user_id", "edital_id", F.col("score").cast("long").alias("score")))
+    old = best.where("edital_id % 2 = 0").withColumn("score", F.lit(1).cast("long"))
+    old = old.unionByName(f.profiles.select("user_id", F.lit(-2).cast("long").alias("edital_id"), F.lit(60).cast("long").alias("score")))
+    new = best.where("edital_id % 3 <> 0")
+    return R.upsert_scope_rows(old.withColumn("updated", F.lit(False)), new.withColumn("updated", F.lit(True)))
+
+
 @query("backfill_companies", "profiles companies", """SELECT user_id AS owner_user_id, trim(cnpj) AS razao_social, regexp_replace(cnpj, '[^0-9]', '', 'g') AS cnpj, area FROM profiles p
 WHERE user_type = 'consultor' AND has_cnpj AND cnpj IS NOT NULL AND NOT EXISTS (SELECT 1 FROM companies c WHERE c.owner_user_id = p.user_id AND c.cnpj = regexp_replace(p.cnpj, '[^0-9]', '', 'g'))""")
 def backfill_companies(f):

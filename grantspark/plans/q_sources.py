@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import calls, listings, sections
 from ..operators.source_rules import RULES
 from ..sources import feeds
-from ..sources.tables import scan_pages
+from ..sources.tables import SCHEMAS, scan_pages, scan_tables
 from . import duck as d
 from .derived import AS_OF
 from .registry import query
@@ -15,19 +15,27 @@ from .registry import query
 YEAR = AS_OF.year
 
 
-@query("scan_tables", "notices attachments", """
-SELECT n.fonte AS fonte, count(DISTINCT n.id) AS notices, count(a.id) AS attachments, count(n.numero) - count(a.id) AS balance
+@query("scan_tables", "notices attachments catalogue", """
+SELECT n.fonte AS fonte, count(DISTINCT n.id) AS notices, count(a.id) AS attachments, count(n.numero) - count(a.id) AS balance,
+  CAST(0 AS BIGINT) AS profiles, (SELECT count(*) FROM catalogue c WHERE c.fonte = n.fonte) AS published
 FROM notices n LEFT JOIN attachments a ON a.edital_id = n.id GROUP BY n.fonte""")
-def scan_tables(f):
+def q_scan_tables(f):
+    """Per source, from stored snapshots read with their schemas; no stored notice has a profile column, so it reads as null."""
+    paths = {name: f.stored(name).stored_at for name in ("notices", "attachments", "catalogue")}
+    columns = {"notices": ("id", "fonte", "numero", "perfil_execucao"), "attachments": ("edital_id",), "catalogue": ("fonte",)}
+    t = scan_tables(f.spark, paths, SCHEMAS, columns)
     # pre-aggregated per notice, so neither side explodes on a hot notice
-    att = f.attachments.groupBy("edital_id").agg(F.count("*").alias("att"))
-    n = f.notices.select("id", "fonte", "numero").join(att, F.col("id") == F.col("edital_id"), "left")
+    att = t["attachments"].groupBy("edital_id").agg(F.count("*").alias("att"))
+    n = t["notices"].join(att, F.col("id") == F.col("edital_id"), "left")
     copies = F.coalesce("att", F.lit(1))
-    return n.groupBy("fonte").agg(
+    per = n.groupBy("fonte").agg(
         F.count("*").alias("notices"),
         F.coalesce(F.sum("att"), F.lit(0)).alias("attachments"),
         (F.sum(F.when(F.col("numero").isNotNull(), copies).otherwise(0)) - F.coalesce(F.sum("att"), F.lit(0))).alias("balance"),
+        F.count("perfil_execucao").alias("profiles"),
     )
+    published = t["catalogue"].groupBy("fonte").agg(F.count("*").alias("published"))
+    return per.join(published, "fonte", "left").withColumn("published", F.coalesce("published", F.lit(0)))
 
 
 @query("scan_pages", "", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS chars FROM pages")

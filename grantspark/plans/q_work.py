@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIELDS
@@ -43,6 +45,26 @@ def order_work(f):
     return out.select("id", "chunks", "needs_any", "processed")
 
 
+_NEWEST = "n.criado_em DESC NULLS LAST, n.id"
+_BY_CHUNKS = "chunks DESC NULLS LAST, CASE WHEN chunks IS NOT NULL THEN n.id END NULLS LAST"
+_SQL_ORDERS = {
+    "new_first": f"n.informacoes_processadas_em IS NOT NULL, {_NEWEST}",
+    "pending_first": f"{_BY_CHUNKS}, n.needed <> '' DESC, {_NEWEST}",
+    "documents_chunks_only": f"{_BY_CHUNKS}, {_NEWEST}",
+    "fetch": _NEWEST,
+}
+
+
+@query("order_work_positions", "notices chunks attachments", f"WITH {_COUNTS}, {_STATE} " + " UNION ALL ".join(
+    f"SELECT '{mode}' AS mode, n.id, row_number() OVER (ORDER BY {keys}) AS pos FROM st n LEFT JOIN cc ON cc.id = n.id" for mode, keys in _SQL_ORDERS.items()))
+def order_work_positions(f):
+    """Place of every notice in each of the four working orders."""
+    counts, needs = f.stored("counts", lambda: _counts(f)), f.stored("needs", lambda: needs_extraction(f.notices).select("id", "needs_any"))
+    notices = f.stored("work", lambda: f.notices.select("id", "criado_em", "informacoes_processadas_em"))
+    out = [Q.numbered(Q.order_work(notices, mode, counts, needs)).select(F.lit(mode).alias("mode"), "id", F.col("pos").cast("long").alias("pos")) for mode in Q.ORDERS]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("take_batch", "notices", """SELECT 'new_first' AS mode, id FROM (SELECT id FROM notices ORDER BY informacoes_processadas_em IS NOT NULL, criado_em DESC, id LIMIT 50) a UNION ALL SELECT 'fetch', id FROM (SELECT id FROM notices ORDER BY criado_em DESC, id LIMIT 50) b""")
 def take_batch(f):
     pick = lambda mode: Q.take_batch(Q.order_work(f.notices, mode), 50).select(F.lit(mode).alias("mode"), "id")

@@ -23,13 +23,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet"))
 
 
-def scan_table(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None) -> DataFrame:
+#: Schemas of the stored snapshots' columns that summaries read.
+SCHEMAS = {
+    "notices": "id long, fonte string, numero string, valor_bolsa string, perfil_execucao string",
+    "attachments": "id long, edital_id long, file_id string, caminho_storage string, is_processed boolean",
+    "catalogue": "id long, fonte string, titulo string, valor_projeto string, validado_em date",
+}
+
+
+def scan_table(spark: SparkSession, path: str, schema: T.StructType | str, columns: Sequence[str] | None = None) -> DataFrame:
     """Read with a fixed schema, only the named columns; a column the files lack reads as NULL."""
     df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
 
 
-def scan_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType],
+def scan_tables(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType | str],
                 columns: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     return {k: scan_table(spark, p, schemas[k], (columns or {}).get(k)) for k, p in paths.items()}
 

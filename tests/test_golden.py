@@ -526,3 +526,53 @@ def test_collapse_panels_against_a_stack(spark):
     got = {(r["page_id"], r["titulo"], r["link"], r["pdf_url"]) for r in sections.collapse_sections(df).collect()}
     want = {(i, t, url, "https://s.br" + h) for i, url, html in pages for t, h in _Panels(html or "").pairs()}
     assert len(want) > 3050 and got == want
+
+
+def test_extra_fields_merge_into_both_snapshots(spark):
+    kind = f"map<string,{fields.EVIDENCE}>"
+    record = lambda source, snippet: (source, snippet, None, None, None)
+    n = spark.createDataFrame(
+        [(1, None, "a", None, {"vagas": record("topk", "40")}), (2, "R$ 1", None, "{}", {"valor_bolsa": record("topk", "old")}), (3, None, None, None, None)],
+        f"id long, valor_bolsa string, valor_projeto string, perfil_execucao string, informacoes_extracao_evidence {kind}",
+    )
+    c = spark.createDataFrame([(2, "x", None), (9, "y", None)], "id long, valor_projeto string, perfil_execucao string")
+    accepted = f"id long, value string, evidence {fields.EVIDENCE}"
+    stipends = spark.createDataFrame([(1, "R$ 7", record("s", "seven")), (2, "R$ 8", record("s", "eight")), (2, "R$ 5", record("s", "five")), (None, "R$ 6", record("s", "six"))], accepted)
+    values = spark.createDataFrame([(2, "v", record("r", "vee")), (9, "w", record("r", "dou"))], accepted)
+    profiles = spark.createDataFrame([(3, '{"clt":true}'), (9, "{}")], "id long, value string")
+    notices_, catalogue_ = fields.apply_extra_fields(n, c, stipends, values, profiles)
+    assert notices_.columns == n.columns and catalogue_.columns == c.columns
+    got = {r["id"]: r for r in notices_.collect()}
+    assert [(got[i]["valor_bolsa"], got[i]["valor_projeto"], got[i]["perfil_execucao"]) for i in (1, 2, 3)] == [("R$ 7", "a", None), ("R$ 8", "v", "{}"), (None, None, '{"clt":true}')]
+    shown = {i: {k: v["snippet"] for k, v in (got[i]["informacoes_extracao_evidence"] or {}).items()} for i in got}
+    assert shown == {1: {"vagas": "40", "valor_bolsa": "seven"}, 2: {"valor_bolsa": "eight", "valor_projeto": "vee"}, 3: {}}
+    # stipends stay with the notices, values and profiles reach the catalogue
+    assert sorted(map(tuple, catalogue_.collect())) == [(2, "v", None), (9, "w", "{}")]
+    # no answers at all change nothing
+    same, _ = fields.apply_extra_fields(n, c)
+    assert sorted(map(str, same.collect())) == sorted(map(str, n.collect()))
+
+
+def test_numbered_places_span_partitions(spark):
+    rows = spark.range(5000).selectExpr("id", "(id * 7919) % 5000 AS k").repartition(7)
+    placed = work.numbered(rows.orderBy(F.desc("k"), "id"))
+    assert placed.where("pos <> 5000 - k").count() == 0 and placed.count() == 5000
+    assert work.numbered(rows.where("k < 0").orderBy("k")).count() == 0
+    # ties keep the total order of the last key
+    tied = work.numbered(rows.orderBy(F.pmod("id", F.lit(2)), "id")).where("pos IN (1, 2500, 2501, 5000)").orderBy("pos")
+    assert [r["id"] for r in tied.collect()] == [0, 4998, 1, 4999]
+
+
+def test_scan_reads_missing_columns_as_null(spark, tmp_path):
+    spark.range(3).selectExpr("id", "'f' AS fonte", "id AS extra").write.parquet(str(tmp_path / "n"))
+    from grantspark.sources.tables import SCHEMAS, scan_table, scan_tables
+
+    got = scan_tables(spark, {"notices": str(tmp_path / "n")}, SCHEMAS, {"notices": ("id", "numero")})["notices"]
+    assert got.columns == ["id", "numero"] and got.where("numero IS NOT NULL").count() == 0 and got.count() == 3
+    assert scan_table(spark, str(tmp_path / "n"), SCHEMAS["notices"]).columns == ["id", "fonte", "numero", "valor_bolsa", "perfil_execucao"]
+
+
+def test_upsert_scope_rows(spark):
+    kind = "user_id long, edital_id long, score int"
+    old, new = spark.createDataFrame([(1, 5, 10), (1, 6, 11), (2, 5, 12)], kind), spark.createDataFrame([(1, 5, 90), (3, 1, 80)], kind)
+    assert sorted(map(tuple, recommend.upsert_scope_rows(old, new).collect())) == [(1, 5, 90), (1, 6, 11), (2, 5, 12), (3, 1, 80)]
