@@ -180,8 +180,9 @@ def cosine_scores(rows: DataFrame, queries: dict[str, Sequence[float]], full: bo
 
 
 def query_vectors(queries: DataFrame) -> dict[str, list[float]]:
-    """Field query vectors (field, vector); at most one per field, so a bounded read."""
-    return {r["field"]: list(r["vector"]) for r in queries.limit(len(FIELDS)).collect()}
+    """Field query vectors (field, vector): one for each of the fixed field names, the least of several; other names are no field."""
+    one = queries.where(F.col("field").isin(*FIELDS) & F.col("vector").isNotNull()).groupBy("field").agg(F.min("vector").alias("vector"))
+    return {r["field"]: list(r["vector"]) for r in one.orderBy("field").collect()}
 
 
 def lexical_bonus(content: Column | str) -> Column:

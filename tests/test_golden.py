@@ -576,3 +576,10 @@ def test_upsert_scope_rows(spark):
     kind = "user_id long, edital_id long, score int"
     old, new = spark.createDataFrame([(1, 5, 10), (1, 6, 11), (2, 5, 12)], kind), spark.createDataFrame([(1, 5, 90), (3, 1, 80)], kind)
     assert sorted(map(tuple, recommend.upsert_scope_rows(old, new).collect())) == [(1, 5, 90), (1, 6, 11), (2, 5, 12), (3, 1, 80)]
+
+
+def test_query_vectors_one_per_field(spark):
+    names = list(retrieval.FIELDS)
+    rows = [(n, [float(i), 1.0]) for i, n in enumerate(names)] + [(names[0], [5.0, 1.0])] * 20 + [("other", [1.0]), (names[1], None), (None, [1.0])]
+    got = retrieval.query_vectors(spark.createDataFrame(rows, "field string, vector array<double>").repartition(5))
+    assert got == {n: [float(i), 1.0] for i, n in enumerate(names)}
