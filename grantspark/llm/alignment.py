@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from .bpe import encode_text
 from .common import materialize, query, release_worker_state, table, texts_of, vocabulary_path, worker_state
 
 #: Bits of a second id in a key, of a first id inside its shard, and of a document inside a run.
@@ -75,7 +75,7 @@ class Codecs:
         """Ids of either side, empty where a text is empty or not restored."""
         none = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         for text, b in zip(texts, self.b.encode(texts, num_threads=1)):
-            a = np.frombuffer(bpe.encode_text(self.a, " " + text), "<u4") if text else none[0]
+            a = np.frombuffer(encode_text(self.a, " " + text), "<u4") if text else none[0]
             raw = (" " + text).encode()
             whole = text and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
             yield (a, np.array(b, np.uint32)) if whole else none
