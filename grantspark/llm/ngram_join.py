@@ -21,7 +21,7 @@ The rows are read several times and must come in the same order each time, as th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -196,8 +196,11 @@ class Join:
         num, den = self.similarity
         return (num + den) * (size - place) >= 2 * num * size
 
-    def links(self) -> DataFrame:
-        """Verified pairs of nodes; together with equal sets they connect every class."""
+    def links(self, likely_pairs: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Verified pairs of nodes; together with equal sets they connect every class.
+
+        ``likely_pairs`` makes pairs (a, b) of nodes from their texts (node, text): these are verified first, and the join looks for what they leave apart.
+        """
         members = self.members()
         groups = materialize(members.groupBy("grp").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.min("node").alias("head"), F.count("*").alias("heads")), "groups")
         placed = groups.select("grp", "size", F.posexplode("prefix").alias("place", "shingle"))
@@ -219,7 +222,11 @@ class Join:
         star = crowds.join(centre, "shingle").filter(F.col("grp") != F.col("centre")).filter(self._near(F.col("size"), F.col("other")))
         star = star.select(F.least("grp", "centre").alias("a"), F.greatest("grp", "centre").alias("b"))
         own = inside.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-        stars = self._verified(self._heads(best[0].union(best[1]).union(star).distinct(), groups).union(own))
+        first = self._heads(best[0].union(best[1]).union(star).distinct(), groups).union(own)
+        if likely_pairs is not None:
+            near = likely_pairs(self.texts.select("row", "text").join(self.nodes.select("node", "row"), "row").select("node", "text"))
+            first = first.union(near.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
+        stars = self._verified(first)
 
         rooted = materialize(components(stars), "rooted")
         # the groups that pairs are made of, their members' roots, and the least and the greatest of these
@@ -294,18 +301,20 @@ class Join:
         return found
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, similarity: tuple[int, int] = SIMILARITY,
+            likely_pairs: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(row, id, size, root): each row with its class; rows without a word have root null."""
     join = Join(docs, id_col, text_col, k, similarity)
-    rooted = materialize(components(join.links()), "rooted")
+    rooted = materialize(components(join.links(likely_pairs)), "rooted")
     roots = materialize(join.nodes.select("node").join(rooted, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
     forget(join.nodes)
     return materialize(join.rows.join(roots, "node", "left").select("row", "id", "size", "root"), "classes")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: tuple[int, int] = (4, 5),
+             likely_pairs: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The rows of ``docs`` less near copies: of each class the row with the smallest id (null last) stays; rows without a word are one class."""
-    found = classes(docs, id_col, text_col, k, similarity)
+    found = classes(docs, id_col, text_col, k, similarity, likely_pairs)
     least = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least"))
     kept = materialize(least.select("least.row"), "kept")
     # carried under a name that no column of the input has

@@ -201,7 +201,13 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
         texts.select("key", "_body").mapInArrow(_index(window, gram), "row long, key binary, first array<int>, count array<int>, anchor array<long>, context array<long>"),
         "blocks",
     )
-    keys = index.filter(F.size("first") > 0).select("row", "key")
+    # copies of a text have the same anchors and contexts, so its first row stands for it, and holds its boundary occurrences
+    keys = materialize(index.filter(F.size("first") > 0).groupBy("key").agg(F.min("row").alias("row")), "keys")
+
+    def by_text(places: DataFrame, name: str) -> DataFrame:
+        """Places (row, first, count) as one list per text: a row's places are put together before the join."""
+        return places.groupBy("row").agg(F.collect_list(F.struct("first", "count")).alias(name)).join(keys, "row").select("key", name)
+
     anchors = index.select("row", F.explode(F.arrays_zip("first", "count", "anchor", "context")).alias("a")).select("row", "a.*")
     shared = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("least"), F.max("context").alias("most"))
     # stored, so that the join below has a shuffle on either side and adaptive execution can split a frequent anchor
@@ -215,13 +221,14 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     inside = repeated.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("row", "first", "count")
     # one occurrence stands for all of a context; those of contexts with several are known and only serve as a reference
     boundary = contexts.filter("mixed").select("row", (F.col("place") - F.col("row")).cast("int").alias("first"), "count")
-    looked_up = boundary.join(keys, "row").groupBy("key").agg(F.collect_set(F.struct("first", "count")).alias("marks"))
+    looked_up = by_text(boundary, "marks")
     windows = materialize(
         texts.select("key", _packed("_body").alias("_packed")).join(looked_up, "key").mapInArrow(_boundary(window), "key binary, first int, h1 long, h2 long"), "windows"
     )
     twice = materialize(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"), "twice")
     outside = windows.join(twice, ["h1", "h2"], "left_semi").select("key", "first", F.lit(1).alias("count"))
-    marks = inside.join(keys, "row").select("key", "first", "count").distinct().union(outside).groupBy("key").agg(F.collect_list(F.struct("first", "count")).alias("_marks"))
+    outside = outside.groupBy("key").agg(F.collect_list(F.struct("first", "count")).alias("marks"))
+    marks = by_text(inside, "marks").union(outside).groupBy("key").agg(F.flatten(F.collect_list("marks")).alias("_marks"))
     places = [f"_{i}" for i in range(len(others))]
     found = texts.select(*places, "key", _packed("_body").alias("_packed")).join(marks, "key", "left").select(*places, "_packed", "_marks")
     return found.mapInArrow(

@@ -76,3 +76,22 @@ def test_stage_uses_the_stage_rule(spark, tmp_path):
     data = corpus()
     got = dict(corpus_pipeline.STAGES)["near_copies"](spark, frame(spark, data), str(tmp_path)).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == kept_by_all_pairs(data)
+
+
+def test_stage_finds_near_copies_by_fingerprints(spark, tmp_path, monkeypatch):
+    """The stage's first links come from SimHash; a find that is no near copy is not kept as a link."""
+    import corpus_pipeline
+    from grantspark.llm import simhash
+
+    seen, near_pairs = [], simhash.near_pairs
+    monkeypatch.setattr(simhash, "near_pairs", lambda texts, **k: seen.append(near_pairs(texts, **k)) or seen[-1])
+    base = prose(400, 21).split()
+    texts = [" ".join(base), " ".join([*base, "end"]), prose(50, 22), prose(50, 23)]
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, data), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3]
+    assert len(seen) == 1 and seen[0].count() >= 1
+    # fingerprints that link without similar sets: every pair is offered, only the near copies are one
+    monkeypatch.setattr(simhash, "near_pairs", lambda texts, **k: texts.select("node").toDF("a").crossJoin(texts.select("node").toDF("b")).filter("a < b"))
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, data), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3]
