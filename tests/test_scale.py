@@ -40,3 +40,19 @@ def test_whitespace_of_every_kind(spark):
     plan = df.select(squish("t"))._jdf.queryExecution().analyzed().toString()
     assert "contains(" in plan.lower()  # a pattern runs only where a plain search found something
     assert df.where((squish("t") != F.col("tidy")) | (strip("t") != F.col("bare"))).count() == 0
+
+
+def test_values_are_worked_out_once_for_a_merge(spark):
+    from grantspark.operators import values as V
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def raw(i):
+        seen.add(1)
+        return '{"por_projeto":["R$ 5.000,00"],"bolsas":["bolsa R$ 900,00"]}'
+
+    rows = V.structure_value(spark.range(6).select("id", (F.col("id") % 2).alias("k"), raw.asNondeterministic()("id").alias("raw"), F.lit(None).cast("string").alias("contexto")))
+    got = V.merge_values(rows, ["k"], "id").collect()
+    assert len(got) == 2 and all(r.estruturado.valor == ["R$ 5.000,00"] and r.estruturado.bolsas == ["bolsa R$ 900,00"] for r in got)
+    assert seen.value == 6
