@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIELDS
 from ..functions.deadlines import phases
-from ..functions.text import squish
+from ..functions.text import says, squish
 from ..session import materialize
 
 ORDERS = ("new_first", "pending_first", "documents_chunks_only", "fetch")
@@ -85,7 +85,7 @@ def meaningful(field: str) -> Column:
         return F.col(field).isNotNull()
     if field == "timeline_estimada":
         return F.coalesce(F.size(phases(field)) > 0, F.lit(False))
-    return ~F.lower(squish(field)).isin("", "não informado")
+    return ~says(squish(field), "", "não informado")
 
 
 def extracted_fields(notices: DataFrame) -> DataFrame:
