@@ -12,8 +12,9 @@ from ..functions.deadlines import phases
 from ..functions.echo import strip_echo
 from ..functions.frames import compute
 from ..functions.money import is_structured, json_fields
-from ..functions.text import blank, has, let, none_if_blank, squish, strip
-from .deadlines import SEARCHED, active_notices
+from ..functions.text import blank, has, let, none_if_blank, says, squish, strip
+from ..session import materialize
+from .deadlines import SEARCHED, is_active, text_is_active
 from .fields import BOOLEAN_FIELDS, members, timeline_json
 from .work import extracted_fields, meaningful
 
@@ -24,7 +25,7 @@ MIN_SUMMARY = 50
 
 def maybe(c: Column | str) -> Column:
     """Collapsed text, NULL for nothing or 'não informado'."""
-    return let(squish(c), lambda t: F.when((t != "") & (F.lower(t) != "não informado"), t))
+    return let(squish(c), lambda t: F.when(~says(t, "", "não informado"), t))
 
 
 def site_phases(raw: Column | str) -> Column:
@@ -37,7 +38,7 @@ def site_phases(raw: Column | str) -> Column:
         ),
     )
     kept = F.filter(mapped, lambda f: F.coalesce(f["nome"], f["prazo"], f["status"], f["data_inicio"], f["data_fim"]).isNotNull())
-    return F.when(F.size(kept) > 0, kept)
+    return let(kept, lambda fs: F.when(F.size(fs) > 0, fs))
 
 
 def audit_targets(notices: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
@@ -123,7 +124,7 @@ def format_catalogue(notices: DataFrame, validated_at: datetime) -> DataFrame:
 
 def presentability(rows: DataFrame, as_of: date) -> DataFrame:
     """Reasons a row cannot be published; none means it can."""
-    active = active_notices(rows, as_of, tuple(c for c in SEARCHED if c != "numero"))
+    active = compute(rows, active=is_active(as_of, text_is_active(as_of, tuple(c for c in SEARCHED if c != "numero"))))
     no_deadline = ~meaningful("prazo_inscricao")
     summary = strip(F.coalesce(none_if_blank("sobre_programa"), F.col("descricao")))
     useful = F.coalesce(
@@ -142,7 +143,7 @@ def presentability(rows: DataFrame, as_of: date) -> DataFrame:
     reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]))
     reasons = F.when(~useful, F.array(F.lit("sem_campos_uteis"))).otherwise(reasons)
     out = active.withColumn("reasons", reasons)
-    return out.withColumn("presentable", F.size("reasons") == 0).drop("active", "active_text")
+    return out.withColumn("presentable", F.size("reasons") == 0).drop("active")
 
 
 def publish_catalogue(catalogue: DataFrame, notices: DataFrame, as_of: date, validated_at: datetime, statuses: DataFrame | None = None) -> DataFrame:
@@ -155,7 +156,8 @@ def publish_catalogue(catalogue: DataFrame, notices: DataFrame, as_of: date, val
     else:
         rows = rows.withColumn("fields", F.lit(None).cast("array<struct<field: string, status: string, before: string, after: string>>"))
     report = F.to_json(F.struct(F.date_format("validado_em", "yyyy-MM-dd'T'HH:mm:ss").alias("validated_at"), F.col("extracted").alias("extracted_fields"), F.lit(True).alias("presentable"), "fields"))
-    new = rows.withColumn("validation_report", report).drop("extracted", "fields", "reasons", "presentable")
+    # stored, as both parts below read it: judging a row costs far more than writing it
+    new = materialize(rows.withColumn("validation_report", report).drop("extracted", "fields", "reasons", "presentable"), "published")
     kept = catalogue.join(new.select("id"), "id", "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 

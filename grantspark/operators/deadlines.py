@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import deadlines as D
 from ..functions.frames import compute
-from ..functions.text import blank, none_if_blank, squish
+from ..functions.text import blank, let, none_if_blank, squish
 
 SEARCHED = ("titulo", "descricao", "sobre_programa", "numero", "prazo_inscricao", "data_encerramento", "timeline_estimada")
 
@@ -66,31 +66,42 @@ def active_patterns(spark: SparkSession, as_of: date) -> DataFrame:
 
 
 def search_text(columns: tuple[str, ...] = SEARCHED) -> Column:
-    return F.lower(F.concat_ws(" ", *[none_if_blank(blank(c)) for c in columns]))
+    return F.lower(searched_text(columns))
+
+
+def searched_text(columns: tuple[str, ...] = SEARCHED) -> Column:
+    return F.concat_ws(" ", *[none_if_blank(blank(c)) for c in columns])
+
+
+def text_is_active(as_of: date, columns: tuple[str, ...] = SEARCHED) -> Column:
+    # the patterns are digits and strokes, which have no case
+    return D.has_active_pattern(searched_text(columns), as_of)
 
 
 def match_active_text(notices: DataFrame, as_of: date, columns: tuple[str, ...] = SEARCHED) -> DataFrame:
-    return compute(notices, active_text=D.has_active_pattern(search_text(columns), as_of))
+    return compute(notices, active_text=text_is_active(as_of, columns))
 
 
 def active_notices(notices: DataFrame, as_of: date, columns: tuple[str, ...] = SEARCHED) -> DataFrame:
     """Active flag: closed status says no, structured dates decide, else text patterns or phase dates."""
+    searched = match_active_text(notices, as_of, columns)
+    return compute(searched, active=is_active(as_of, F.col("active_text")))
+
+
+def is_active(as_of: date, in_text: Column) -> Column:
+    """The flag of ``active_notices``; texts and phases are read only where neither status nor a structured date decides."""
     unset = F.lower(blank("prazo_inscricao")).isin("", "não informado", "nao informado")
     from_text = F.when(unset, F.array().cast("array<date>")).otherwise(D.token_dates("prazo_inscricao"))
     structured = F.array_max(F.array_append(from_text, D.loose_date("data_encerramento", names=False)))
 
     def phase_dates(f):
         parts = F.array(f["data_fim"], f["fim"], f["prazo"], f["data_inicio"], f["nome"])
-        return F.flatten(F.transform(parts, lambda p: F.when(D.loose_date(p, names=False).isNotNull(), F.array(D.loose_date(p, names=False))).otherwise(D.token_dates(p))))
+        return F.flatten(F.transform(parts, lambda p: let(D.loose_date(p, names=False), lambda d: F.when(d.isNotNull(), F.array(d)).otherwise(D.token_dates(p)))))
 
     all_phase = F.flatten(F.transform(F.coalesce(D.phases("timeline_estimada"), F.array().cast(f"array<{_PHASE}>")), phase_dates))
-    out = compute(match_active_text(notices, as_of, columns), structured=structured, window=F.exists(all_phase, lambda d: D.in_active_window(d, as_of)))
-    active = (
-        F.when(F.lower(F.trim(blank("status"))).isin("encerrado", "finalizado"), False)
-        .when(F.col("structured").isNotNull(), F.col("structured") >= F.lit(as_of))
-        .otherwise(F.col("active_text") | F.coalesce("window", F.lit(False)))
-    )
-    return out.withColumn("active", active).drop("structured", "window")
+    window = F.exists(all_phase, lambda d: D.in_active_window(d, as_of))
+    open_ = let(structured, lambda d: F.when(d.isNotNull(), d >= F.lit(as_of)).otherwise(in_text | F.coalesce(window, F.lit(False))))
+    return F.when(F.lower(F.trim(blank("status"))).isin("encerrado", "finalizado"), False).otherwise(open_)
 
 
 _PHASE = "struct<nome: string, prazo: string, status: string, data_inicio: string, data_fim: string, fim: string>"

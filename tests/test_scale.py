@@ -56,3 +56,51 @@ def test_values_are_worked_out_once_for_a_merge(spark):
     got = V.merge_values(rows, ["k"], "id").collect()
     assert len(got) == 2 and all(r.estruturado.valor == ["R$ 5.000,00"] and r.estruturado.bolsas == ["bolsa R$ 900,00"] for r in got)
     assert seen.value == 6
+
+
+def test_a_held_value_is_no_element_of_an_array(spark):
+    from grantspark.functions.text import let
+
+    df = spark.createDataFrame([("a b",), (None,)], "t string")
+    shown = df.select(let(F.upper("t"), lambda u: F.concat(u, let(F.lower(u), lambda low: F.concat(low, u)))).alias("x"))
+    # the type of an array read by position is worked out for each row, with those of all rules inside
+    plan = shown._jdf.queryExecution().analyzed().toString()
+    assert "get(" not in plan and "transform(" not in plan
+    assert [r.x for r in shown.collect()] == ["A Ba bA B", None]
+
+
+def test_each_level_of_a_timeline_is_parsed_once(spark):
+    from grantspark.functions.deadlines import phases
+
+    rows = [('{"fases":[{"nome":"a"}]}', ["a"]), ('{"json":"{\\"json\\":\\"{}\\"}"}', None), ('{"json":"{\\"fases\\":[{\\"nome\\":\\"b\\"}]}"}', ["b"]), ("", None), ("[1]", None), (None, None), ("{", None)]
+    df = spark.createDataFrame(rows, "t string, names array<string>")
+    shown = df.select("names", phases("t")["nome"].alias("got"))
+    assert shown._jdf.queryExecution().analyzed().toString().count("from_json(") == 4
+    assert all(r.names == r.got for r in shown.collect())
+
+
+def test_rows_are_judged_once_for_the_catalogue(spark):
+    from datetime import datetime
+
+    from grantspark.operators import catalogue as C
+    from grantspark.plans.derived import AS_OF, derive
+
+    notices = derive(spark, "/root/testdata/sf0.001", "notices")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def title(t):
+        seen.add(1)
+        return t
+
+    rows = notices.limit(40).withColumn("titulo", title.asNondeterministic()("titulo"))
+    out = C.publish_catalogue(derive(spark, "/root/testdata/sf0.001", "catalogue"), rows, AS_OF, datetime(1998, 8, 1))
+    assert out.count() > 0 and seen.value == 40
+
+
+def test_texts_are_cut_and_read_as_before(spark):
+    rows = [("R$ 5.000,00 e R$ 6.000,00", ["R$ 5.000,00", "R$ 6.000,00"], [5000.0, 6000.0]), ("até r$ 10 por mês; teto R$ 20", ["r$ 10 por mês; teto", "R$ 20"], [10.0, 20.0]),
+            ("dois MILHÕES (três mil)", ["dois MILHÕES (três mil)"], [3000.0]), ("1,5 milhão", ["1,5 milhão"], [1_500_000.0]), ("sem valor", ["sem valor"], []), ("", [], []), (None, [], [])]
+    df = spark.createDataFrame(rows, "t string, cut array<string>, n array<double>")
+    got = df.select("cut", "n", money.segments("t").alias("s"), money.amounts("t").alias("a")).collect()
+    assert all(r.s == r.cut and r.a == r.n for r in got)
