@@ -25,14 +25,20 @@ def _pairs(f):
     return R.associate_chunks(f.stored("chunks"), f.attachments)
 
 
+def _keys(f):
+    """Chunks with text, without text and vectors."""
+    return f.stored("chunk_keys", lambda: f.chunks.where(strip("content") != "").select("id", "file_id", "metadata"))
+
+
 def _pairs_only(f):
     """The pairs where no text or vector is read later: only keys are stored."""
-    keys = f.stored("chunk_keys", lambda: f.chunks.where(strip("content") != "").select("id", "file_id", "metadata"))
-    return R.associate_chunks(keys, f.attachments)
+    return R.associate_chunks(_keys(f), f.attachments)
 
 
 def _ordered(f):
-    return R.reading_order(R.notice_chunks(_pairs(f), f.stored("chunks"), "file_id", "content"))
+    """Reading order where texts but no vectors are read later: no vectors are stored."""
+    texts = f.stored("chunk_texts", lambda: f.chunks.select("id", "file_id", "metadata", "content"))
+    return R.reading_order(R.notice_chunks(R.associate_chunks(texts, f.attachments), texts, "file_id", "content"))
 
 
 @query("associate_chunks", USES, f"WITH {_PAIRS} SELECT * FROM pr")
@@ -47,7 +53,8 @@ def rank_notices_by_chunks(f):
 
 @query("reading_order", USES, f"WITH {_ORD} SELECT notice_id, id, pos FROM od")
 def reading_order(f):
-    return _ordered(f).select("notice_id", "id", F.col("pos").cast("long").alias("pos"))
+    ordered = R.reading_order(R.notice_chunks(_pairs_only(f), _keys(f), "file_id"))
+    return ordered.select("notice_id", "id", F.col("pos").cast("long").alias("pos"))
 
 
 _SPANS = f"{_ORD}, sp AS (SELECT notice_id, id, pos, CAST(e - n AS BIGINT) AS start, CAST(e AS BIGINT) AS \"end\" FROM (SELECT *, length(content) AS n, sum(length(content) + 2) OVER (PARTITION BY notice_id ORDER BY pos) - 2 AS e FROM od) t)"

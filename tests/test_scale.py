@@ -79,13 +79,15 @@ def test_each_level_of_a_timeline_is_parsed_once(spark):
     assert all(r.names == r.got for r in shown.collect())
 
 
-def test_rows_are_judged_once_for_the_catalogue(spark):
+def test_rows_are_judged_once_for_the_catalogue(spark, tmp_path):
     from datetime import datetime
 
     from grantspark.operators import catalogue as C
     from grantspark.plans.derived import AS_OF, derive
 
-    notices = derive(spark, "/root/testdata/sf0.001", "notices")
+    orders = "id AS o_orderkey, id * 3 AS o_custkey, DATE '1998-08-02' AS o_orderdate, 'O' AS o_orderstatus, id * 7.0D AS o_totalprice, '1-URGENT' AS o_orderpriority"
+    spark.range(40).selectExpr(*orders.split(", ")).write.parquet(f"{tmp_path}/orders.parquet")
+    notices = derive(spark, str(tmp_path), "notices")
     seen = spark.sparkContext.accumulator(0)
 
     @F.udf("string")
@@ -93,8 +95,8 @@ def test_rows_are_judged_once_for_the_catalogue(spark):
         seen.add(1)
         return t
 
-    rows = notices.limit(40).withColumn("titulo", title.asNondeterministic()("titulo"))
-    out = C.publish_catalogue(derive(spark, "/root/testdata/sf0.001", "catalogue"), rows, AS_OF, datetime(1998, 8, 1))
+    rows = notices.withColumn("titulo", title.asNondeterministic()("titulo"))
+    out = C.publish_catalogue(derive(spark, str(tmp_path), "catalogue"), rows, AS_OF, datetime(1998, 8, 1))
     assert out.count() > 0 and seen.value == 40
 
 
@@ -104,3 +106,36 @@ def test_texts_are_cut_and_read_as_before(spark):
     df = spark.createDataFrame(rows, "t string, cut array<string>, n array<double>")
     got = df.select("cut", "n", money.segments("t").alias("s"), money.amounts("t").alias("a")).collect()
     assert all(r.s == r.cut and r.a == r.n for r in got)
+
+
+def test_only_texts_with_something_to_drop_are_cleaned_again(spark):
+    from grantspark.operators.chunks import chunk_documents
+
+    rows = [(1, "ab  cd ef gh"), (2, "ab\x01cd\\ ef"), (3, "\x02 \x03"), (4, "é\u3000é \t é"), (5, None)]
+    shown = chunk_documents(spark.createDataFrame(rows, "doc_id long, text string"), size=5, overlap=2)
+    assert "dirty" in shown._jdf.queryExecution().analyzed().toString()
+    got = {}
+    for r in shown.orderBy("doc_id", "chunk_index").collect():
+        got.setdefault(r.doc_id, []).append(r.content)
+    assert got == {1: ["ab cd", "cd ef", "ef gh"], 2: ["ab cd", "cd e", "ef"], 4: ["é é é"]}
+
+
+def test_orders_of_texts_store_no_vectors():
+    from grantspark.plans import q_retrieval as Q
+
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    class Frames:
+        def stored(self, name, build=None):
+            asked.append(name)
+            raise Stop
+
+    for query in (Q.reading_order, Q.sliding_windows):
+        try:
+            query(Frames())
+        except Stop:
+            pass
+    assert asked == ["chunk_keys", "chunk_texts"]
