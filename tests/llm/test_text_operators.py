@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import random
 import tarfile
 import zlib
 from collections import Counter, defaultdict
@@ -67,6 +68,32 @@ def test_chunked_ids_are_the_tokenizers(monkeypatch):
             assert got == tokenizer_ids(texts[i:i + 3])
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_of_texts_cut_at_match_starts(seed, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 400)
+    rng = random.Random(seed)
+    signs = [*" '\n\t\r\x0b\x0c\x1c\x00\x7f\x85\xa0\u1680\u180e\u2003\u2028\u3000abZst90.,!-(%²é×÷ßÇɏЀ\u0482Α;東あ\u0301😀«¡º", *[" "] * 6, "'s", "'ll", "\n\n", "the"]
+    texts = ["".join(rng.choices(signs, k=rng.choice((0, 1, 2, 4, 12, 40)))) for _ in range(1500)]
+    codec = packing.ChunkIds(TOKENIZER)
+    assert [np.frombuffer(b, "<u4").tolist() for b in codec.texts(texts, b"\0" * 4)] == tokenizer_ids(texts)
+
+
+def test_known_words_are_not_tokenized_again():
+    codec = packing.ChunkIds(TOKENIZER)
+    codec.texts(["Grün field field grün, Field\nfield, (field) 12 - \nGrün\nField"], b"")
+    given, library = [], codec.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, parts, **how):
+            given.extend(parts)
+            return library.encode_batch_fast(parts, **how)
+
+    codec.tokenizer = Counted()
+    texts = ["Grün grün,\nField field\nGrün,\nfield Field\nfield\nGrün", "field\nField,\nfield field,\nField 12"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in codec.texts(texts, b"\0" * 4)] == tokenizer_ids(texts)
+    assert given == []
+
+
 def test_pack_edge_rows(spark):
     cap = 64
     pieces = packing.pack(packing.cut(packing.tokenize(clashing(frame(spark)), TOKENIZER), cap), cap).collect()
