@@ -34,9 +34,9 @@ from .common import materialize, query, release_worker_state, runs_of, table, vo
 CAPACITY = 2048
 END_ID = 0
 #: Parts of texts a worker remembers the ids of, in each of two generations, and characters of the longest of them.
-KEPT_WORDS, KEPT_CHARS = 180_000, 64
+KEPT_WORDS, KEPT_CHARS = 300_000, 64
 #: Bytes of text worked on at once.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 8 << 20
 #: The solver's bounds: pricing rounds of a pass, fillings per round.
 ROUNDS, FILLINGS = 24, 96
 #: Passes: whole parts of fillings with at most so many empty places are fixed, then the rest is solved again.
