@@ -9,10 +9,10 @@ from .common import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the least node around it."""
+    """Link every larger neighbour of a node to the least node around it; repeated links, one an edge at most, go in the small star."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, query, table, texts_of, vocabulary_path, worker_state
+from .common import crc_of_id, query, return_memory, table, texts_of, vocabulary_path, worker_state
 
 #: Bound of the fit: about so many documents of each language.
 FIT_DOCS = 1500
@@ -249,7 +249,9 @@ def held_out() -> Column:
 
 
 def trained(docs: DataFrame, per_language: int = FIT_DOCS) -> Model:
-    return fit(sample(docs, ~held_out(), per_language), vocabulary_path("piece_bpe_32k.model"))
+    model = fit(sample(docs, ~held_out(), per_language), vocabulary_path("piece_bpe_32k.model"))
+    return_memory()
+    return model
 
 
 @query("op1_langid")

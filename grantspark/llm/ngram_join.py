@@ -201,6 +201,26 @@ class Join:
 
         ``likely_pairs`` makes pairs (a, b) of nodes from their texts (node, text): these are verified first, and the join looks for what they leave apart.
         """
+        stars, _, more = self._found(likely_pairs)
+        return stars if more is None else stars.union(more)
+
+    def roots(self, likely_pairs: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """(node, root) of every node that has a link; the root is the least node of its class.
+
+        The classes of the first round's links are known by then, so the later links, few of them, only join these classes.
+        """
+        _, rooted, more = self._found(likely_pairs)
+        if more is None:
+            return rooted
+        a, b = (rooted.select(F.col("node").alias(s), F.col("root").alias(f"_{s}")) for s in "ab")
+        more = more.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+        merged = materialize(components(more), "merged")
+        tops = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        alone = merged.join(rooted, "node", "left_anti")  # without a link in the first round
+        return rooted.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(alone)
+
+    def _found(self, likely_pairs: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """The first round's links, the classes (node, root) these make, and the links found between those classes, if any."""
         members = self.members()
         groups = materialize(members.groupBy("grp").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.min("node").alias("head"), F.count("*").alias("heads")), "groups")
         placed = groups.select("grp", "size", F.posexplode("prefix").alias("place", "shingle"))
@@ -239,9 +259,9 @@ class Join:
         x, y = (tops.select(F.col("grp").alias(s), F.col("node").alias(a), F.col("root").alias(f"_{a}")) for s, a in (("x", "a"), ("y", "b")))
         pairs = rest.toDF("x", "y").union(own).join(x, "x").join(y, "y").filter("_a <> _b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = materialize(pairs, "rest")
-        found = stars if pairs.isEmpty() else stars.union(self._verified(pairs))
+        more = None if pairs.isEmpty() else self._verified(pairs)
         forget(groups, met, likely, tops)
-        return found
+        return stars, rooted, None if more is None or more.isEmpty() else more
 
     def _near(self, m: Column, n: Column) -> Column:
         num, den = self.similarity
@@ -305,7 +325,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
             likely_pairs: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(row, id, size, root): each row with its class; rows without a word have root null."""
     join = Join(docs, id_col, text_col, k, similarity)
-    rooted = materialize(components(join.links(likely_pairs)), "rooted")
+    rooted = materialize(join.roots(likely_pairs), "rooted")
     roots = materialize(join.nodes.select("node").join(rooted, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
     forget(join.nodes)
     return materialize(join.rows.join(roots, "node", "left").select("row", "id", "size", "root"), "classes")

@@ -13,6 +13,7 @@ document of one of the two kinds is found, every score is 0. Repeated rows and f
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, query, table, texts_of, worker_state
+from .common import crc_of_id, query, return_memory, table, texts_of, worker_state
 
 #: Bound of the fit: so many labelled documents of either kind.
 FIT_DOCS = 1500
@@ -55,7 +56,7 @@ def odds(unary: np.ndarray, first: np.ndarray, pair: np.ndarray) -> np.ndarray:
     n = len(unary)
     lanes = -(-n // LANE)
     x = np.ones(lanes * LANE)
-    x[:n] = np.exp(np.clip(unary, -60, 60))
+    np.exp(np.clip(unary, -60, 60, out=x[:n]), out=x[:n])
     x = np.ascontiguousarray(x.reshape(lanes, LANE).T)
     new = np.ones(lanes * LANE, bool)
     new[:n] = first
@@ -81,8 +82,13 @@ def marginals(unary: np.ndarray, first: np.ndarray, pair: np.ndarray) -> tuple[n
     last = np.concatenate((first[1:], [True]))
     ahead = odds(unary, first, pair)
     behind = odds(unary[::-1], last[::-1], pair.T)[::-1]
-    logit = np.log(ahead) + np.log(behind) - np.clip(unary, -60, 60)
-    return 1 / (1 + np.exp(-np.clip(logit, -500, 500))), ahead
+    # in place, as a driver that fits holds few arrays of all tokens
+    p = np.log(ahead)
+    p += np.log(behind, out=behind)
+    p -= np.clip(unary, -60, 60, out=behind)
+    np.exp(np.negative(np.clip(p, -500, 500, out=p), out=p), out=p)
+    p += 1
+    return np.divide(1, p, out=p), ahead
 
 
 def summary(p: np.ndarray, text_of: np.ndarray, n: int) -> np.ndarray:
@@ -155,44 +161,60 @@ def fit(rows: list[tuple[str, int]], share: float = 0.5) -> Model:
         return Model()
     strong = strong_traits(rows)
     names = {t: i for i, t in enumerate(sorted(strong))}
-    token_at, trait_at, gold, first, text_of = [], [], [], [], []
+    token_at, trait_at = array("q"), array("q")
     known: dict[str, list[int]] = {}
+    sizes = np.zeros(len(rows), np.int64)
     n = 0
-    for d, (text, label) in enumerate(rows):
-        for k, w in enumerate(_TOKEN.findall(text)):
+    for d, (text, _) in enumerate(rows):
+        for w in _TOKEN.findall(text):
             if w not in known:
                 known[w] = [names[t] for t in traits(w) if t in names]
-            token_at += [n] * len(known[w])
-            trait_at += known[w]
-            gold.append(bool(label and known[w]))
-            first.append(k == 0)
-            text_of.append(d)
+            if known[w]:
+                token_at.extend([n] * len(known[w]))
+                trait_at.extend(known[w])
             n += 1
-    token_at, trait_at, text_of = (np.array(x, np.int64) for x in (token_at, trait_at, text_of))
-    y, first = np.array(gold, float), np.array(first)
+        sizes[d] = n
+    sizes = np.diff(sizes, prepend=0)
+    del known
+    token_at, trait_at = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (token_at, trait_at))
+    # tokens with a strong trait are toxic in toxic documents
+    y = np.zeros(n)
+    y[token_at] = 1
+    y *= np.repeat(labels != 0, sizes)
+    first = np.zeros(n, bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
     follows = ~first[1:]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[:-1][follows].astype(int), y[1:][follows].astype(int)), 1)
     theta = np.concatenate((np.zeros(len(names)), [np.log((y.sum() + 1) / (n - y.sum() + 1))], np.zeros(4)))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        weights, bias, pair = theta[:len(names)], theta[len(names)], theta[len(names) + 1:].reshape(2, 2)
-        unary = bias + np.bincount(token_at, weights[trait_at], n)
-        p, ahead = marginals(unary, first, pair)
-        # of each neighbouring pair: the states' joint probabilities, from forward odds and the later marginal
-        before, after = ahead[:-1][follows], p[1:][follows]
-        e = np.exp(pair)
-        to1, to0 = e[1, 1] * before / (e[0, 1] + e[1, 1] * before), e[1, 0] * before / (e[0, 0] + e[1, 0] * before)
-        expected = np.array([[((1 - after) * (1 - to0)).sum(), (after * (1 - to1)).sum()], [((1 - after) * to0).sum(), (after * to1).sum()]])
-        gradient = np.concatenate((np.bincount(trait_at, (y - p)[token_at], len(names)), [(y - p).sum()], (seen - expected).ravel())) - PENALTY * np.concatenate((weights, [0], pair.ravel()))
+        gradient = _gradient(theta, token_at, trait_at, y, first, follows, seen)
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     model = Model({t: float(theta[i]) for t, i in names.items()}, float(theta[len(names)]), theta[len(names) + 1:].reshape(2, 2).copy())
     p, _ = marginals(model.bias + np.bincount(token_at, theta[:len(names)][trait_at], n), first, model.pair)
-    model.document = _logistic(summary(p, text_of, len(rows)), labels, share)
+    model.document = _logistic(summary(p, np.repeat(np.arange(len(rows)), sizes), len(rows)), labels, share)
     return model
 
 
+def _gradient(theta: np.ndarray, token_at: np.ndarray, trait_at: np.ndarray, y: np.ndarray, first: np.ndarray, follows: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Gradient of the likelihood; what it works out for each token is given up before the next step."""
+    names = len(theta) - 5
+    weights, bias, pair = theta[:names], theta[names], theta[names + 1:].reshape(2, 2)
+    p, ahead = marginals(bias + np.bincount(token_at, weights[trait_at], len(y)), first, pair)
+    # of each neighbouring pair: the states' joint probabilities, from forward odds and the later marginal
+    before, after = ahead[:-1][follows], p[1:][follows]
+    del ahead
+    e = np.exp(pair)
+    to1, to0 = e[1, 1] * before / (e[0, 1] + e[1, 1] * before), e[1, 0] * before / (e[0, 0] + e[1, 0] * before)
+    del before
+    expected = np.array([[((1 - after) * (1 - to0)).sum(), (after * (1 - to1)).sum()], [((1 - after) * to0).sum(), (after * to1).sum()]])
+    del after, to1, to0
+    off = y - p
+    return np.concatenate((np.bincount(trait_at, off[token_at], names), [off.sum()], (seen - expected).ravel())) - PENALTY * np.concatenate((weights, [0], pair.ravel()))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     """Newton steps of a weighted, lightly penalised logistic fit; rows count as often as their kind does outside the sample."""
     x = np.concatenate((np.ones((len(x), 1)), x), axis=1)
@@ -274,7 +296,9 @@ def held_out() -> Column:
 
 
 def trained(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCS) -> Model:
-    return fit(*sample(docs, labels, ~held_out(), most))
+    model = fit(*sample(docs, labels, ~held_out(), most))
+    return_memory()
+    return model
 
 
 @query("op9_toxicity")

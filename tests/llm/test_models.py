@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -125,6 +126,20 @@ def test_toxic_documents_and_spans():
         assert not hit if not y else hit and all(any(w in h for w in ("idiot", "scum", "Vilement")) for h in hit)
 
 
+def test_a_fit_holds_few_bytes_a_token(monkeypatch):
+    """The driver fits beside Spark's own memory: about ten numbers a token at most."""
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    data = [(f"{text} {prose(1500, 9000 + i)}", label) for i, (text, label) in enumerate(toxic_rows(200))]
+    tokens = sum(len(toxicity._TOKEN.findall(text)) for text, _ in toxicity.distinct(data))
+    tracemalloc.start()
+    try:
+        assert toxicity.fit(data).weights
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert tokens > 200_000 and peak < 85 * tokens
+
+
 def test_toxicity_edge_rows(spark):
     model = toxicity.fit(toxic_rows(200), 0.2)
     got = toxicity.tag(clashing(frame(spark)), model).collect()

@@ -73,6 +73,20 @@ def test_links_are_those_of_all_pairs(spark, tmp_path, monkeypatch, crowded):
     assert op11(spark, frame(spark, data), tmp_path) == brute(data)
 
 
+@pytest.mark.parametrize("crowded", [3, 48])
+def test_later_links_join_known_classes(spark, tmp_path, monkeypatch, crowded):
+    """Components are found once over the first links; after that only over the links between classes."""
+    monkeypatch.setattr(ngram_join, "CROWDED", crowded)
+    seen = []
+    monkeypatch.setattr(ngram_join, "components", lambda edges, old=ngram_join.components: (seen.append(edges.count()), old(edges))[1])
+    data = corpus()
+    # a chain: each text is near its neighbours only
+    words = prose(200, 77).split()
+    data += [(7000 + i, " ".join(words[3 * i:3 * i + 100]), "en", "s", 1) for i in range(30)]
+    assert op11(spark, frame(spark, data), tmp_path) == brute(data)
+    assert seen[0] > 30 and sum(seen[1:]) < seen[0]
+
+
 def test_a_common_passage_makes_few_pairs(spark, monkeypatch):
     """Texts that share no more than a passage: their candidates grow with their number, not with its square."""
     passage, sizes = prose(60, 31), {}
