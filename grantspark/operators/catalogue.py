@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -41,12 +42,12 @@ def site_phases(raw: Column | str) -> Column:
     return let(kept, lambda fs: F.when(F.size(fs) > 0, fs))
 
 
-def audit_targets(notices: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
-    """One row per (notice, field): audit, or why it is skipped; and whether evidence can be asked first."""
+def audit_targets(notices: DataFrame, evidence: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per (notice, field): audit, or why it is skipped; and whether evidence can be asked first. ``keep`` names notice columns to carry along."""
     cells = F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("before"), meaningful(f).alias("meaningful"), F.lit(f in ALWAYS_AUDITED).alias("always")) for f in FIELDS
     ])
-    rows = notices.select("id", F.inline(cells))
+    rows = notices.select("id", *keep, F.inline(cells))
     structured = (F.col("field") == "valor_projeto") & is_structured(json_fields("before"))
     action = F.when(structured, "skip_structured").when(F.col("always") | F.col("meaningful"), "audit").otherwise("skip_empty")
     rows = rows.withColumn("action", action).withColumn("before", F.when(F.col("meaningful"), F.col("before"))).drop("always")

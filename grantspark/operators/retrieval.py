@@ -461,9 +461,29 @@ def build_requests(contexts: DataFrame, notices: DataFrame, stage: str) -> DataF
     return contexts.join(n, "notice_id").select("notice_id", "field", F.lit(stage).alias("stage"), "batch", prompt.alias("prompt"))
 
 
-def build_audit_requests(targets: DataFrame, notices: DataFrame) -> DataFrame:
-    """Audit request per target (id, field, before, optional source, snippet and document_ids); the document text follows the prompt."""
-    t = targets.join(notices.select("id", "numero", "titulo", "fonte"), "id")
+# What an audit request quotes of its notice.
+HEADINGS = ("numero", "titulo", "fonte")
+
+
+def with_headings(notices: DataFrame) -> DataFrame:
+    """Notices joined with the headings of all notices of their id: as many rows as those, none for a null id.
+
+    An id that occurs once meets only itself, so ids are counted and only the headings of shared ones are looked up; no notice is dealt out for it.
+    """
+    known = notices.where("id IS NOT NULL")
+    # stored, so that their sizes are known: few shared ids, the usual case, are sent to where the notices are
+    shared = materialize(known.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "shared-ids")
+    twins = materialize(known.select("id", F.struct(*HEADINGS).alias("_twin")).join(shared, "id", "left_semi"), "twins")
+    heads = {c: F.when(F.col("_twin").isNull(), F.col(c)).otherwise(F.col(f"_twin.{c}")) for c in HEADINGS}
+    return known.join(twins, "id", "left").withColumns(heads).drop("_twin")
+
+
+def build_audit_requests(targets: DataFrame, notices: DataFrame | None = None) -> DataFrame:
+    """Audit request per target (id, field, before, optional source, snippet and document_ids); the document text follows the prompt.
+
+    Without ``notices`` the targets carry HEADINGS themselves.
+    """
+    t = targets if notices is None else targets.join(notices.select("id", *HEADINGS), "id")
     for c, kind in (("source", "string"), ("snippet", "string"), ("document_ids", "array<string>")):
         if c not in t.columns:
             t = t.withColumn(c, F.lit(None).cast(kind))

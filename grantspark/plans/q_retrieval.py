@@ -266,10 +266,10 @@ _CELLS = " UNION ALL ".join(
  ||chr(10)||chr(10)||'Formato de saída: APENAS JSON válido (uma linha se possível) com:'||chr(10)||'- a chave do campo "'||field||'" com o valor final (tipo correto: string, boolean, objeto timeline, ou null)'||chr(10)||'- a chave "_audit" com objeto {{ "decision": "accept"|"replace"|"reject", "reason": "breve, PT-BR" }}'
  ||chr(10)||'Exemplo de chaves: "'||field||'" e "_audit".'||chr(10)||'Referência de tipo/estrutura: '||CASE field {" ".join(f"WHEN '{n}' THEN {d.q(prompts.example(n, audit=True))}" for n in FIELDS)} END AS prompt FROM c""")
 def build_requests_audit(f):
-    targets = C.audit_targets(f.notices).where("action = 'audit'")
+    targets = C.audit_targets(R.with_headings(f.notices), keep=R.HEADINGS).where("action = 'audit'")
     snippet = F.when(F.col("id") % 2 == 0, F.concat(F.lit("trecho "), "id"))
     ids = F.array(F.concat(F.lit("c"), "id"), F.lit(""), F.lit("x"))
-    return R.build_audit_requests(targets.withColumns({"source": F.lit("topk"), "snippet": snippet, "document_ids": ids}), f.notices)
+    return R.build_audit_requests(targets.withColumns({"source": F.lit("topk"), "snippet": snippet, "document_ids": ids}))
 
 
 @query("build_requests_stipend", f"{USES}", f"""WITH {_ORD}, k AS (SELECT notice_id, id, content, {_KW} AS kw FROM od), r AS (SELECT *, row_number() OVER (PARTITION BY notice_id ORDER BY kw DESC, id) AS rn FROM k),

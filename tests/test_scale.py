@@ -139,3 +139,30 @@ def test_orders_of_texts_store_no_vectors():
         except Stop:
             pass
     assert asked == ["chunk_keys", "chunk_texts"]
+
+
+def test_audit_requests_carry_the_headings_of_their_notices(spark, tmp_path):
+    import __spark_entry__
+    from grantspark.config import FIELDS
+    from grantspark.operators import catalogue, retrieval
+
+    # ids that repeat or are null: as many rows as a join by id makes
+    rows = [(i, n, t, s, *[f"{n} {c}" for c in FIELDS]) for i, n, t, s in ((1, "a", "x", "f"), (2, "b", "y", "g"), (2, None, "z", None), (2, "b", "y", "g"), (None, "c", "w", "h"))]
+    notices = spark.createDataFrame(rows, "id long, numero string, titulo string, fonte string, " + ", ".join(f"{c} string" for c in FIELDS))
+    want = retrieval.build_audit_requests(catalogue.audit_targets(notices).where("action = 'audit'"), notices)
+    got = retrieval.build_audit_requests(catalogue.audit_targets(retrieval.with_headings(notices), keep=retrieval.HEADINGS).where("action = 'audit'"))
+    # one notice and three times three; a timeline without phases is not audited
+    assert got.columns == want.columns and got.count() == (1 + 9) * (len(FIELDS) - 1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+    orders = "id AS o_orderkey, id % 7 AS o_custkey, 'F' AS o_orderstatus, 1.5D AS o_totalprice, TIMESTAMP '1998-01-02' AS o_orderdate, '1-URGENT' AS o_orderpriority"
+    spark.range(20_000).selectExpr(*orders.split(", ")).write.parquet(f"{tmp_path}/orders.parquet")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        plan = __spark_entry__.queries()["build_requests_audit"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    # rows of (notice, field) are made last and never dealt out
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
