@@ -117,16 +117,17 @@ def near_duplicates(fingerprints: DataFrame, id_col: str = "doc_id", radius: int
 
 
 def near_pairs(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """Pairs (a, b) of the nodes of a table (node, text) whose fingerprints link: each with one partner, so no more pairs than nodes.
+    """Pairs (a, b) of the nodes of a table (node, text) that connect all whose fingerprints are within the radius, as ``links`` does.
 
-    Of equal fingerprints the least node stands for all; of the fingerprints within the radius each meets the least.
+    Of equal fingerprints the least node stands for all and meets each of the others; every link of two fingerprints is one of their least nodes.
+    A fingerprint is in at most 65 centres and has at most one link to the least of each, so the pairs grow with the nodes.
     """
     named = materialize(texts.select("node", fingerprint(F.col("text"), shingle_words)), "fingerprints")
     heads = materialize(named.groupBy("fingerprint").agg(F.min("node").alias("head")), "heads")
     equal = named.join(heads, "fingerprint").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    met = links(heads.select("fingerprint"), radius).groupBy("b").agg(F.min("a").alias("a"))
     a, b = (heads.select(F.col("fingerprint").alias(s), F.col("head").alias(f"_{s}")) for s in "ab")
-    return materialize(equal.union(met.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "near")
+    met = links(heads.select("fingerprint"), radius).join(a, "a").join(b, "b")
+    return materialize(equal.union(met.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "near")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS,

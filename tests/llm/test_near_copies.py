@@ -95,3 +95,34 @@ def test_stage_finds_near_copies_by_fingerprints(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(simhash, "near_pairs", lambda texts, **k: texts.select("node").toDF("a").crossJoin(texts.select("node").toDF("b")).filter("a < b"))
     got = corpus_pipeline.drop_near_copies(spark, frame(spark, data), str(tmp_path))
     assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3]
+
+
+def test_all_fingerprints_within_the_radius_are_connected(spark, monkeypatch):
+    """The pairs the stage checks first connect what all pairs of fingerprints do, in the middle of a chain too."""
+    from grantspark.llm import simhash
+
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, *a: text.cast("long").alias("fingerprint"))
+    rng = random.Random(3)
+    # 15 is two bits from 3 and from 12, which are four bits apart
+    for held in ([3, 12, 15], [7 << 40 ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) & (1 << 62) - 1 for _ in range(300)]):
+        held = held + held[:2]  # equal fingerprints of other nodes
+        root = list(range(len(held)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        def classes():
+            return sorted(sorted(i for i in range(len(held)) if find(i) == r) for r in {find(i) for i in range(len(held))})
+
+        for i in range(len(held)):
+            for j in range(i):
+                if (held[i] ^ held[j]).bit_count() <= 2:
+                    root[find(i)] = find(j)
+        want, root[:] = classes(), range(len(held))
+        pairs = simhash.near_pairs(spark.createDataFrame([(i, str(x)) for i, x in enumerate(held)], "node long, text string")).collect()
+        for a, b in pairs:
+            assert (held[a] ^ held[b]).bit_count() <= 2
+            root[find(a)] = find(b)
+        assert classes() == want
